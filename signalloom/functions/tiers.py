@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Lower bounds (inclusive) and names of the score bands.
-CART_BANDS = [(80, "Act now"), (60, "Today"), (40, "Monitor"), (None, "Low")]
-ORDER_BANDS = [(80, "Escalate"), (60, "Watch"), (40, "Monitor"), (None, "Low")]
+CART_BANDS = [(80, "🔴 Act now"), (60, "🟠 Today"), (40, "🟡 Monitor"), (None, "⚪ Low")]
+ORDER_BANDS = [(80, "🔴 Escalate"), (60, "🟠 Watch"), (40, "🟡 Monitor"), (None, "⚪ Low")]
 # On-time rate at or above which the light shows.
 RATE_LIGHTS = [(0.95, "green"), (0.90, "amber"), (None, "red")]
 

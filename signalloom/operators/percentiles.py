@@ -103,5 +103,5 @@ def _at_rank(rank: Column) -> Column:
     """
     reached = F.col("_upto") >= rank
     inside = F.min(F.when(reached, F.col("_v")))
-    missed = F.bool_or(reached & F.col("_v").isNull())
+    missed = F.bool_or(reached & F.col("_v").isNull()) | (inside.isNull() & (F.count(F.lit(1)) > 0))
     return F.when(missed, F.raise_error(F.lit("percentile bracket misses the wanted rank"))).otherwise(inside)
