@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.clock import AsOf, days, instant, minutes
 from signalloom.model import EventNames, OrderStates
-from signalloom.session import scratch_path
+from signalloom.operators.staging import staging_path
 
 FAIL, WARN = "fail", "warn"
 REASONS, WARNINGS = "_dq_fail_reasons", "_dq_warnings"
@@ -100,7 +100,7 @@ def split_once(df: DataFrame, rules: Iterable[Rule], label: str) -> tuple[DataFr
     then reads its own directory only.
     """
     checked = tag(df, rules).withColumn("_clean", F.size(REASONS) == 0)
-    path = scratch_path(df.sparkSession, label)
+    path = staging_path(df.sparkSession, label)
     checked.write.partitionBy("_clean").parquet(path)
     stored = df.sparkSession.read.schema(checked.schema).parquet(path)
     return (

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +13,28 @@ from signalloom.session import scratch_path
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+_area: ContextVar[str | None] = ContextVar("staging_area", default=None)
+
+
+@contextmanager
+def staging_area(spark: SparkSession, label: str):
+    """Tables staged inside the block are deleted at its end, once its results are written.
+
+    Outside of any block they stay until the shared folder is cleaned up.
+    """
+    folder = scratch_path(spark, label)
+    token = _area.set(folder)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staging_path(spark: SparkSession, label: str) -> str:
+    return scratch_path(spark, label, _area.get())
+
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
@@ -17,7 +42,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     For a result that is small next to its inputs and is read more than once: the inputs are
     scanned one time only, and a lost executor costs a re-read instead of a recomputation.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

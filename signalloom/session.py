@@ -56,6 +56,6 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, label: str, below: str | None = None) -> str:
+    """A path that nothing else uses, in the shared folder unless ``below`` names another."""
+    return f"{below or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

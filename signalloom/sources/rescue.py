@@ -25,14 +25,14 @@ def rescued_json(lines: DataFrame, schema: T.StructType, value: str = "value") -
     def typed(field: T.StructField) -> Column:
         return F.col("_fields")[field.name].try_cast(field.dataType)
 
-    strict = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
-    known_text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    known = [f.name for f in schema.fields]
+    checked = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
 
     def unfit(key: Column, text: Column) -> Column:
-        bad = ~key.isin([f.name for f in schema.fields])
-        for f in strict:
-            bad = bad | ((key == f.name) & text.isNotNull() & text.try_cast(f.dataType).isNull())
-        return bad & ~key.isin(known_text)
+        out = ~key.isin(known)
+        for f in checked:
+            out = out | ((key == f.name) & text.isNotNull() & text.try_cast(f.dataType).isNull())
+        return out
 
     left_over = F.map_filter("_fields", unfit)
     rescued = F.when(
