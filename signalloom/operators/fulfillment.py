@@ -33,7 +33,7 @@ def backordered_skus(inventory: DataFrame) -> DataFrame:
     return inventory.where(F.col("backorder_flag")).select("sku").distinct()
 
 
-def orders_with_backorder(order_items: DataFrame, inventory: DataFrame, open_ids: DataFrame | None = None) -> DataFrame:
+def orders_with_backorder(order_items: DataFrame, inventory: DataFrame, open_ids: DataFrame) -> DataFrame:
     """Ids of the orders with at least one article on back order, once each.
 
     Articles on back order are usually few: they are then broadcast and the order lines are
@@ -44,14 +44,20 @@ def orders_with_backorder(order_items: DataFrame, inventory: DataFrame, open_ids
     skus = backordered_skus(inventory)
     bounded = broadcast_if_small(skus)
     lines = order_items.select("order_id", "sku")
-    if bounded is skus and open_ids is not None:
+    if bounded is skus:
         lines = lines.join(open_ids.select("order_id"), "order_id", "left_semi")
     return lines.join(bounded, "sku", "left_semi").select("order_id").distinct()
 
 
-def with_inventory_risk(orders: DataFrame, order_items: DataFrame, inventory: DataFrame) -> DataFrame:
-    """``orders`` plus ``has_backordered_item``; orders without lines have none."""
-    hit = orders_with_backorder(order_items, inventory, orders).withColumn("_hit", F.lit(True))
+def with_inventory_risk(
+    orders: DataFrame, order_items: DataFrame, inventory: DataFrame, open_ids: DataFrame | None = None
+) -> DataFrame:
+    """``orders`` plus ``has_backordered_item``; orders without lines have none.
+
+    ``open_ids`` may name a cheaper frame with the ids of interest than ``orders`` itself.
+    """
+    ids = orders if open_ids is None else open_ids
+    hit = orders_with_backorder(order_items, inventory, ids).withColumn("_hit", F.lit(True))
     return (
         orders.join(hit, "order_id", "left")
         .withColumn("has_backordered_item", F.coalesce("_hit", F.lit(False)))

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.operators.staging import broadcast_if_small
+from signalloom.operators.staging import broadcast_if_small, staged
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, spread: str) -> DataFrame:
     """Left join to one row per ``key``.
 
-    Rows without a key cannot match, yet would all be shuffled to the same task. They are given
-    a join value made from ``spread`` (any high-cardinality column) that no key equals.
-    The join takes no hint: Spark broadcasts a side it knows to be small, and adaptive execution
-    splits the partitions of hot keys on the left.
+    Rows without a key cannot match, yet would all be shuffled to the same task. They are joined
+    on ``spread`` (any high-cardinality column) instead, and whatever that meets is discarded.
+    The dimension keeps its key as it is, so one that was just aggregated by it is not shuffled
+    again. The join takes no hint: Spark broadcasts a side it knows to be small, and adaptive
+    execution splits the partitions of hot keys on the left.
     """
-    probe = F.coalesce(F.concat(F.lit("k"), F.col(key)), F.concat(F.lit("-"), F.col(spread)))
-    right = dimension.withColumn("_probe", F.concat(F.lit("k"), F.col(key))).drop(key)
-    return df.withColumn("_probe", probe).join(right, "_probe", "left").drop("_probe")
+    found = [c for c in dimension.columns if c != key]
+    right = dimension.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_d_{c}") for c in found])
+    joined = df.join(right, F.coalesce(F.col(key), F.col(spread).cast("string")) == F.col("_key"), "left")
+    has_key = F.col(key).isNotNull()
+    return joined.select(*df.columns, *[F.when(has_key, F.col(f"_d_{c}")).alias(c) for c in found])
 
 
 def price_fallback(events: DataFrame, products: DataFrame) -> DataFrame:
@@ -54,6 +57,8 @@ def rows_of_recent_carts(events: DataFrame, recent: Column) -> DataFrame:
     raw rows by cart just to drop some would cost more than the aggregation that follows, which
     drops the same carts by their last activity.
     """
-    ids = events.where(recent & F.col("cart_id").isNotNull()).select("cart_id").distinct()
+    ids = staged(
+        events.where(recent & F.col("cart_id").isNotNull()).select("cart_id").distinct(), "recent-carts"
+    )
     bounded = broadcast_if_small(ids)
     return events if bounded is ids else events.join(bounded, "cart_id", "left_semi")

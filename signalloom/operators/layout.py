@@ -12,14 +12,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalloom.session import hadoop_path
 from signalloom.sinks.tables import files_for, write_partitions
 
 FILE_BYTES = 256 * 1024 * 1024
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, where = hadoop_path(spark, path)
     return fs.getContentSummary(where).getLength()
 
 

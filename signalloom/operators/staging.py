@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalloom.session import scratch_path
+from signalloom.session import hadoop_path, scratch_path
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -28,8 +30,8 @@ def staging_area(spark: SparkSession, label: str):
         yield
     finally:
         _area.reset(token)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = hadoop_path(spark, folder)
+        fs.delete(path, True)
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
@@ -47,27 +49,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the data in ``df``: fixed widths times rows, plus the measured text."""
-    fixed, variable = 8, []
-    for field in df.schema.fields:
+def size_of(schema: T.StructType) -> Column:
+    """Aggregate for the bytes held by columns of ``schema``: a fixed width each, plus the text."""
+    fixed, text = 8 + 16 * len(schema.fields), []
+    for field in schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            fixed += 16
-            variable.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
-        elif isinstance(field.dataType, T.AtomicType):
-            fixed += 16
-        else:
+            text.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
+        elif not isinstance(field.dataType, T.AtomicType):
             raise TypeError(f"no size rule for {field.name}: {field.dataType.simpleString()}")
-    size = F.count(F.lit(1)) * fixed
-    for part in variable:
-        size = size + part
-    return df.agg(size.alias("size")).first()["size"]
+    return reduce(add, text, F.count(F.lit(1)) * F.lit(fixed))
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, size: int | None = None, limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``df`` with a broadcast hint when its measured size is within the limit, else as it is.
 
-    Callers must be correct either way: without the hint Spark shuffles both sides, and
-    adaptive execution splits partitions that a hot key makes too large.
+    The size is measured here unless the caller has already done so; ``df`` is then read twice, so
+    it should be cheap to read. Callers must be correct either way: without the hint Spark shuffles
+    both sides, and adaptive execution splits partitions that a hot key makes too large.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
+    if size is None:
+        size = df.agg(size_of(df.schema).alias("size")).first()["size"]
+    return F.broadcast(df) if size <= limit_bytes else df

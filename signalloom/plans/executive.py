@@ -29,6 +29,7 @@ from signalloom.operators.fulfillment import (
     on_time,
     on_time_rate,
     open_orders_with_shipment,
+    promised_open_orders,
     risk_of,
     with_inventory_risk,
 )
@@ -219,7 +220,12 @@ def delayed_revenue_by_day(
     first day it is at risk, the amounts are added up per such day, and a running total over the
     calendar gives the answer: orders are never multiplied by days.
     """
-    exposed = with_inventory_risk(open_orders_with_shipment(orders, shipments, states), order_items, inventory)
+    exposed = with_inventory_risk(
+        open_orders_with_shipment(orders, shipments, states),
+        order_items,
+        inventory,
+        open_ids=promised_open_orders(orders, states),
+    )
     transit = F.col("carrier_avg_transit_days")
     # Days left at which the score crosses the threshold, solved for and then checked on the
     # score itself one day to either side, so that rounding cannot move the day.

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.clock import AsOf, instant
 from signalloom.model import OrderStates, RiskPolicy
-from signalloom.operators.fulfillment import open_orders_with_shipment, with_inventory_risk, with_risk_scores
+from signalloom.operators.fulfillment import (
+    open_orders_with_shipment,
+    promised_open_orders,
+    with_inventory_risk,
+    with_risk_scores,
+)
 
 # Columns of the published signal, in order.
 SIGNAL_COLUMNS = [
@@ -29,6 +34,8 @@ def fulfillment_risk_signal(
 ) -> DataFrame:
     """One row per open order with a shipment and a promise."""
     open_orders = open_orders_with_shipment(orders, shipments, states)
-    exposed = with_inventory_risk(open_orders, order_items, inventory)
+    exposed = with_inventory_risk(
+        open_orders, order_items, inventory, open_ids=promised_open_orders(orders, states)
+    )
     scored = with_risk_scores(exposed, F.to_date(instant(as_of)), policy)
     return scored.withColumn("_gold_computed_at", F.current_timestamp()).select(*SIGNAL_COLUMNS)

@@ -70,7 +70,9 @@ def conform_table(
             quarantine = lake.path("silver", f"{table.name}_quarantine")
             write_quarantine(bad, quarantine, run_id(spark))
             clean, seen = counted(clean)
-            upsert(spark, clean, lake.path("silver", table.name), table.keys, n_buckets=n_buckets)
+            upsert(
+                spark, clean, lake.path("silver", table.name), table.keys, n_buckets=n_buckets, is_written=True
+            )
             counts.quarantined_count = bad.count()
         counts.row_count = seen.get["n_rows"]
 

@@ -56,6 +56,12 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that ``path`` is on, and its path object."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, label: str, below: str | None = None) -> str:
     """A path that nothing else uses, in the shared folder unless ``below`` names another."""
     return f"{below or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -9,26 +9,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalloom.operators.dedupe import latest_per_key
-from signalloom.operators.staging import broadcast_if_small, staged
+from signalloom.operators.staging import broadcast_if_small, size_of, staged
+from signalloom.session import hadoop_path
 
-BUCKET = "_bucket"
+BUCKET = "key_bucket_no"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is parquet data at ``path``."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    """Whether anything was committed at ``path``; leftovers of an unfinished write do not count."""
+    fs, where = hadoop_path(spark, path)
+    if not fs.exists(where):
+        return False
+    return any(not child.getPath().getName().startswith(("_", ".")) for child in fs.listStatus(where))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -51,21 +50,17 @@ def write_partitions(
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
-
-
 def key_bucket(keys: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).cast("int")
 
 
-def without_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_keys(
+    target: DataFrame, source_keys: DataFrame, keys: Sequence[str], size: int | None = None
+) -> DataFrame:
     """Rows of ``target`` whose key (nulls equal) is not in ``source_keys``; hashes, never nested loops."""
     renamed = source_keys.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return target.join(broadcast_if_small(renamed), match, "left_anti")
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return target.join(broadcast_if_small(renamed, size), match, "left_anti")
 
 
 def upsert(
@@ -76,23 +71,37 @@ def upsert(
     *,
     n_buckets: int = 64,
     newest: str | None = None,
+    is_written: bool = False,
 ) -> None:
     """Rows of ``source`` replace those with the same key and are added otherwise. Null keys match.
 
     The table is split by a hash of the key, so a merge rewrites only the buckets its keys fall
     in; choose ``n_buckets`` for buckets of a few hundred megabytes, once per table. ``source``
     must hold a key once, else the result would depend on row order: that is an error, unless
-    ``newest`` names a column whose highest value wins.
+    ``newest`` names a column whose highest value wins. ``is_written`` says that ``source`` reads
+    a written table and need not be written once more to be read several times.
     """
     if newest is not None:
-        source = latest_per_key(source, keys, newest, [c for c, t in source.dtypes if c != newest and "<" not in t])
-    source = staged(source.withColumn(BUCKET, key_bucket(keys, n_buckets)), "upsert-source")
-    if newest is None and not duplicate_keys(source, keys).isEmpty():
+        ties = [c for c, t in source.dtypes if c != newest and "<" not in t]
+        source = latest_per_key(source, keys, newest, ties)
+    source = source.withColumn(BUCKET, key_bucket(keys, n_buckets))
+    if not is_written or newest is not None:
+        source = staged(source, "upsert-source")
+    # One pass tells whether keys repeat, which buckets are met (at most n_buckets numbers) and
+    # how large the keys are.
+    per_key = source.groupBy(BUCKET, *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    facts = per_key.agg(
+        F.max("_rows").alias("most"),
+        F.collect_set(BUCKET).alias("buckets"),
+        size_of(source.select(*keys).schema).alias("size"),
+    ).first()
+    if facts["most"] is None:
+        return
+    if facts["most"] > 1:
         raise ValueError(f"source of the merge into {path} repeats a key ({', '.join(keys)})")
     if table_exists(spark, path):
-        # At most n_buckets small integers.
-        touched = [r[BUCKET] for r in source.select(BUCKET).distinct().collect()]
-        kept = without_keys(spark.read.parquet(path).where(F.col(BUCKET).isin(touched)), source, keys)
+        stored = spark.read.parquet(path).where(F.col(BUCKET).isin(facts["buckets"]))
+        kept = without_keys(stored, source, keys, facts["size"])
         source = kept.unionByName(source, allowMissingColumns=True)
     write_partitions(source, path, [BUCKET], replace_touched=True)
 
@@ -102,14 +111,14 @@ def insert_new(
 ) -> None:
     """Add the rows of ``source`` whose key is not stored yet; stored rows stay as they are.
 
-    ``source`` holds a key once. Safe to repeat after a partial write: what was written is
-    recognised by its key. The stored keys met again are found by broadcasting the batch's keys to
-    a scan of the key column alone; the table is not shuffled for a small batch.
+    Safe to repeat after a partial write: what was written is recognised by its key. The stored
+    keys met again are found by broadcasting the batch's keys to a scan of the key column alone;
+    the table is not shuffled for a small batch.
     """
     if table_exists(spark, path):
-        ids = source.select(F.col(key))
-        stored = spark.read.parquet(path).select(key)
-        again = stored.join(broadcast_if_small(ids), key, "left_semi")
+        source = staged(source, "insert-source")
+        ids = source.select(key)
+        again = spark.read.parquet(path).select(key).join(broadcast_if_small(ids), key, "left_semi")
         source = source.join(again, key, "left_anti")
     write_partitions(source, path, list(partition_by))
 
@@ -144,10 +153,8 @@ def merge_latest(
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "v=*/_SUCCESS")) or []
+    fs, pattern = hadoop_path(spark, f"{path}/v=*/_SUCCESS")
+    marks = fs.globStatus(pattern) or []
     return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
 
 

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from signalloom.model import EventNames
 from signalloom.operators import dedupe, quality, standardize
-from signalloom.operators.staging import staged, staging_area
+from signalloom.operators.staging import staging_area
+from signalloom.sinks.audit import counted
 from signalloom.sinks.tables import insert_new, merge_latest, write_quarantine
 from signalloom.streaming.landing import with_trigger
 
@@ -43,7 +44,7 @@ class Conform:
         with staging_area(spark, f"conform-{batch_id}"):
             clean, bad = quality.split_once(standardize.clickstream(batch), rules, "checked")
             kept = dedupe.without_retries(clean).withColumn("_silver_processed_at", F.current_timestamp())
-            kept = staged(kept, "kept")
+            kept, seen = counted(kept)
             if self.across_batches:
                 has_cart = F.col("cart_id").isNotNull()
                 keyed = kept.withColumn(
@@ -56,11 +57,10 @@ class Conform:
                     partition_by="event_date", tie_breakers=["event_id"],
                 )
             else:
-                insert_new(spark, dedupe.latest_per_key(kept, ["event_id"], "producer_ingested_at", ["cart_id"]),
-                           self.table_path, "event_id", ["event_date"])
+                insert_new(spark, kept, self.table_path, "event_id", ["event_date"])
             write_quarantine(bad, self.quarantine_path, batch_id)
             if self.on_batch is not None:
-                self.on_batch(batch_id, kept.count(), bad.count())
+                self.on_batch(batch_id, seen.get["n_rows"], bad.count())
 
 
 def read_landing(spark: SparkSession, table_path: str, schema) -> DataFrame:

@@ -12,7 +12,7 @@ from signalloom.sinks.audit import audited, read_audit_log
 from signalloom.sources.files import EXTRACTS, Lake, read_extracts, read_json_landing
 from signalloom.sources.rescue import rescued_json
 from signalloom.streaming.landing import CLICKSTREAM
-from signalloom.workloads import executive, retail
+from signalloom.workloads import carts, executive, retail
 from signalloom.workloads.registry import presented, sql_day, sql_time, workload
 from signalloom.workloads.quality import CHECKED, retried_clickstream
 from signalloom.workloads.retail import AS_OF, NAMES, VIEWS, with_views
@@ -138,7 +138,11 @@ def rescued_data(spark, sf_dir):
     return rows.select("event_id", "quantity", F.coalesce(text, F.lit("")).alias("rescued"))
 
 
-@workload()
+@workload(
+    """SELECT 'count_orders' AS job_name, 'silver' AS layer, 'retail_dev.silver.orders' AS target_table,
+    count(*) AS row_count, 'success' AS status FROM orders
+    UNION ALL SELECT 'count_orders', 'silver', 'retail_dev.silver.orders', NULL, 'failed'"""
+)
 def literal_rows_audit(spark, sf_dir):
     """A run that succeeds and one that fails, as the audit log shows them."""
     lake = Lake(scratch_path(spark, "lake"))
@@ -152,6 +156,21 @@ def literal_rows_audit(spark, sf_dir):
     return read_audit_log(spark, lake).select("job_name", "layer", "target_table", "row_count", "status")
 
 
+@workload(
+    with_views(*carts.SIGNAL_VIEWS)
+    + "SELECT cart_id, customer_id, round(recoverable_cart_value, 6) AS recoverable_cart_value, item_count FROM cart_signal"
+)
+def mart_export(spark, sf_dir):
+    """A signal as CSV, read back as text."""
+    path = scratch_path(spark, "export")
+    tables.export_csv(carts.signal(spark, sf_dir), path)
+    rows = spark.read.csv(path, header=True)
+    value, items = F.col("recoverable_cart_value").cast("double"), F.col("item_count").cast("long")
+    return presented(
+        rows.select("cart_id", "customer_id", value.alias("recoverable_cart_value"), items.alias("item_count"))
+    )
+
+
 # Merges.
 
 
@@ -260,14 +279,13 @@ CLEAN_INVENTORY = f"SELECT * FROM ({VIEWS['inventory']}) WHERE coalesce(on_hand_
     + executive.DAILY_SQL
 )
 def medallion_refresh(spark, sf_dir):
-    """Extracts to signals and KPIs, run twice; inventory with negative stock is quarantined."""
+    """Extracts to signals and KPIs; inventory with negative stock is quarantined."""
     lake = Lake(scratch_path(spark, "lake"))
     folder = export_extracts(spark, sf_dir, {e.name for e in EXTRACTS})
     tables.write_partitions(
         retail.clickstream(spark, sf_dir), lake.path("silver", "clickstream_events"), ["event_date"]
     )
-    for _ in range(2):
-        refresh(spark, lake, folder, AS_OF, names=NAMES, n_buckets=4, method="discrete")
+    refresh(spark, lake, folder, AS_OF, names=NAMES, n_buckets=4, method="discrete")
     return presented(tables.read_table(spark, lake.path("gold", "exec_summary_daily")))
 
 
