@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# Columns of the raw inputs, as DDL in file order.
-CLICKSTREAM_DDL = """
+# Columns of the raw inputs and their types, in file order.
+CLICKSTREAM_COLUMNS = """
     event_id STRING, event_type STRING, event_timestamp STRING, session_id STRING,
     customer_id STRING, cart_id STRING, device_type STRING, _ingested_at STRING,
     page_type STRING, sku STRING, quantity INT, price_at_event DOUBLE
 """
-EXTRACT_DDL = {
+EXTRACT_COLUMNS = {
     "customers": "customer_id STRING, first_seen_date DATE, is_returning BOOLEAN, home_tz_offset INT",
     "products": "sku STRING, name STRING, category STRING, price DOUBLE",
     "inventory": """sku STRING, warehouse_id STRING, on_hand_qty INT, backorder_flag BOOLEAN,
@@ -33,14 +33,27 @@ EXTRACT_KEYS = {
     "order_items": ("order_id", "sku"),
     "shipments": ("order_id",),
 }
-AUDIT_DDL = """
+AUDIT_COLUMNS = """
     job_name STRING, layer STRING, target_table STRING, row_count LONG, quarantined_count LONG,
     run_id STRING, started_at TIMESTAMP, finished_at TIMESTAMP, status STRING
 """
 
 
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(ddl.split()))
+_TYPES = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "LONG": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def struct_of(columns: str) -> T.StructType:
+    """Schema from ``name TYPE, ...``. Needs no session, so schemas can be module constants."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from signalloom.model import AUDIT_DDL, struct_of
+from signalloom.model import AUDIT_COLUMNS, struct_of
 from signalloom.sources.files import Lake, literal_rows, run_id
 
 AUDIT_TABLE = ("gold", "pipeline_audit_log")
@@ -50,7 +50,7 @@ def log_run(
         "finished_at": utc_now(),
         "status": status,
     }
-    literal_rows(spark, [entry], struct_of(AUDIT_DDL)).coalesce(1).write.mode("append").parquet(
+    literal_rows(spark, [entry], struct_of(AUDIT_COLUMNS)).coalesce(1).write.mode("append").parquet(
         lake.path(*AUDIT_TABLE)
     )
 
@@ -83,4 +83,4 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def read_audit_log(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.schema(struct_of(AUDIT_DDL)).parquet(lake.path(*AUDIT_TABLE))
+    return spark.read.schema(struct_of(AUDIT_COLUMNS)).parquet(lake.path(*AUDIT_TABLE))

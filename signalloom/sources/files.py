@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalloom.model import CLICKSTREAM_DDL, EXTRACT_DDL, EXTRACT_KEYS, struct_of
+from signalloom.model import CLICKSTREAM_COLUMNS, EXTRACT_COLUMNS, EXTRACT_KEYS, struct_of
 
 RUN_ID_SETTING = "spark.signalloom.runId"
 
@@ -23,7 +23,7 @@ class Extract:
     keys: tuple[str, ...]
 
 
-EXTRACTS = [Extract(name, struct_of(ddl), EXTRACT_KEYS[name]) for name, ddl in EXTRACT_DDL.items()]
+EXTRACTS = [Extract(name, struct_of(ddl), EXTRACT_KEYS[name]) for name, ddl in EXTRACT_COLUMNS.items()]
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def read_extracts(
 
 def read_json_landing(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON lines below ``dt=YYYY-MM-DD`` folders; ``dt`` is a column and prunes folders."""
-    schema = schema or struct_of(CLICKSTREAM_DDL)
+    schema = schema or struct_of(CLICKSTREAM_COLUMNS)
     with_day = T.StructType([*schema.fields, T.StructField("dt", T.DateType())])
     return spark.read.schema(with_day).json(folder)
 

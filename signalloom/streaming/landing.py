@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalloom.model import CLICKSTREAM_DDL, struct_of
+from signalloom.model import CLICKSTREAM_COLUMNS, struct_of
 from signalloom.sources.rescue import rescued_json
 
-CLICKSTREAM = struct_of(CLICKSTREAM_DDL)
+CLICKSTREAM = struct_of(CLICKSTREAM_COLUMNS)
 
 
 def with_trigger(writer, every: str | None):
