@@ -25,14 +25,18 @@ def sessionize(
     no session number.
     """
     gap = F.make_dt_interval(mins=F.lit(gap_minutes))
-    sliced = events.withColumn("_slice", F.floor(F.unix_timestamp(at) / F.lit(60 * slice_minutes)))
+    # Rows without a time have no slice; they are scattered instead of meeting in one task.
+    scattered = F.pmod(F.xxhash64(tie_breaker), F.lit(4096))
+    sliced = events.withColumn(
+        "_slice", F.coalesce(F.floor(F.unix_timestamp(at) / F.lit(60 * slice_minutes)), scattered)
+    )
 
     in_slice = Window.partitionBy(key, "_slice").orderBy(at, tie_breaker)
     opens = F.coalesce((F.col(at) > F.lag(at).over(in_slice) + gap).cast("int"), F.lit(0))
-    numbered = sliced.withColumn("_opens", opens).withColumn("_local", F.sum("_opens").over(in_slice))
+    numbered = sliced.withColumn("_opens", opens).withColumn("_local", F.sum("_opens").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)))
 
     slices = (
-        numbered.where(F.col(key).isNotNull() & F.col("_slice").isNotNull())
+        numbered.where(F.col(key).isNotNull() & F.col(at).isNotNull())
         .groupBy(key, "_slice")
         .agg(F.min(at).alias("_first"), F.max(at).alias("_last"), F.max("_local").alias("_n"))
     )
@@ -45,7 +49,7 @@ def sessionize(
     )
     return (
         numbered.join(offsets, [key, "_slice"], "left")
-        .withColumn("session_number", F.col("_base") + F.col("_local"))
+        .withColumn("session_number", F.when(F.col(at).isNotNull(), F.col("_base") + F.col("_local")))
         .drop("_slice", "_opens", "_local", "_base")
     )
 

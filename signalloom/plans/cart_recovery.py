@@ -7,11 +7,11 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.functions.clock import AsOf, instant_like
+from signalloom.functions.clock import AsOf, days, instant_like
 from signalloom.functions.scoring import blend, either, fading, share_of_cap
 from signalloom.model import CartPolicy, EventNames, OrderStates
 from signalloom.operators.carts import abandoned_carts, cart_state, prior_order_counts
-from signalloom.operators.joins import lookup
+from signalloom.operators.joins import lookup, rows_of_recent_carts
 from signalloom.operators.percentiles import percentile
 from signalloom.operators.staging import staged
 
@@ -68,14 +68,19 @@ def cart_recovery_signal(
     states: OrderStates = OrderStates(),
     percentile_method: str = "approx",
 ) -> DataFrame:
-    """One row per abandoned cart. ``events`` are read once.
+    """One row per abandoned cart.
 
-    The abandoned carts are needed twice, for the percentile and for the scores. They are a small
+    With an ``event_date`` to prune by, the carts active within the horizon are looked up first and
+    only their history is aggregated. The abandoned carts are needed twice, for the percentile and for the scores. They are a small
     part of the events, so they are written once and both uses read that table. The percentile
     comes back as a scalar subquery, not through the driver and not as a join.
     """
     now = instant_like(events, "event_timestamp", as_of)
     horizon = max(policy.stale_days, policy.percentile_days or 0)
+    if "event_date" in events.columns:
+        since = now - days(horizon)
+        in_horizon = (F.col("event_date") >= F.to_date(since)) & (F.col("event_timestamp") > since)
+        events = rows_of_recent_carts(events, in_horizon & F.col("event_type").isin(*names.cart))
     candidates = staged(
         abandoned_carts(cart_state(events, names), now, replace(policy, stale_days=horizon)), "abandoned-carts"
     )

@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalloom.operators.dedupe import latest_per_key
-from signalloom.operators.staging import broadcast_if_small, size_of, staged
+from signalloom.operators.staging import BROADCAST_BYTES, broadcast_if_small, size_of, staged
 from signalloom.session import hadoop_path
 
 BUCKET = "key_bucket_no"
+# A merge that finds more files than this per bucket also compacts.
+MOST_FILES = 8
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -36,14 +38,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_partitions(
-    df: DataFrame, path: str, by: Sequence[str], mode: str = "append", replace_touched: bool = False
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    mode: str = "append",
+    replace_touched: bool = False,
+    arrange: bool = True,
 ) -> None:
     """Write ``df`` below ``path``, one folder per value of ``by``.
 
     Rows are first brought together by ``by`` with a rebalance: Spark merges small partitions and
-    splits a value that holds too many rows over several tasks and files.
+    splits a value that holds too many rows over several tasks and files. ``arrange=False`` is for
+    rows that already lie together.
     """
-    spread = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
+    spread = df.hint("rebalance", *[F.col(c) for c in by]) if by and arrange else df
     writer = spread.write.mode("overwrite" if replace_touched else mode)
     if replace_touched:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -54,13 +62,11 @@ def key_bucket(keys: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).cast("int")
 
 
-def without_keys(
-    target: DataFrame, source_keys: DataFrame, keys: Sequence[str], size: int | None = None
-) -> DataFrame:
+def without_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key (nulls equal) is not in ``source_keys``; hashes, never nested loops."""
     renamed = source_keys.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
     match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    return target.join(broadcast_if_small(renamed, size), match, "left_anti")
+    return target.join(renamed, match, "left_anti")
 
 
 def upsert(
@@ -72,6 +78,7 @@ def upsert(
     n_buckets: int = 64,
     newest: str | None = None,
     is_written: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Rows of ``source`` replace those with the same key and are added otherwise. Null keys match.
 
@@ -80,6 +87,10 @@ def upsert(
     must hold a key once, else the result would depend on row order: that is an error, unless
     ``newest`` names a column whose highest value wins. ``is_written`` says that ``source`` reads
     a written table and need not be written once more to be read several times.
+
+    When the source's keys are small enough to broadcast, stored rows are not shuffled: they are
+    read, filtered and written bucket by bucket. Otherwise stored and new rows are brought together
+    by bucket in one shuffle, and the new one of each key is kept.
     """
     if newest is not None:
         ties = [c for c, t in source.dtypes if c != newest and "<" not in t]
@@ -99,11 +110,22 @@ def upsert(
         return
     if facts["most"] > 1:
         raise ValueError(f"source of the merge into {path} repeats a key ({', '.join(keys)})")
-    if table_exists(spark, path):
-        stored = spark.read.parquet(path).where(F.col(BUCKET).isin(facts["buckets"]))
-        kept = without_keys(stored, source, keys, facts["size"])
-        source = kept.unionByName(source, allowMissingColumns=True)
-    write_partitions(source, path, [BUCKET], replace_touched=True)
+    if not table_exists(spark, path):
+        write_partitions(source, path, [BUCKET], replace_touched=True)
+        return
+
+    stored = spark.read.parquet(path).where(F.col(BUCKET).isin(facts["buckets"]))
+    crowded = len(stored.inputFiles()) > MOST_FILES * len(facts["buckets"])
+    if facts["size"] <= broadcast_bytes:
+        kept = without_keys(stored, F.broadcast(source.select(*keys)), keys)
+        merged = kept.unionByName(source.hint("rebalance", F.col(BUCKET)), allowMissingColumns=True)
+    else:
+        both = stored.withColumn("_new", F.lit(0)).unionByName(
+            source.withColumn("_new", F.lit(1)), allowMissingColumns=True
+        )
+        merged = latest_per_key(both.repartition(BUCKET), [BUCKET, *keys], "_new").drop("_new")
+        crowded = False
+    write_partitions(merged, path, [BUCKET], replace_touched=True, arrange=crowded)
 
 
 def insert_new(
@@ -135,7 +157,8 @@ def merge_latest(
     """Keep the newest row per key over table and batch, also when copies come in different batches.
 
     ``partition_by`` must follow from the key, so that all copies of a key share a partition; only
-    the partitions of the batch are read and rewritten.
+    the partitions of the batch are read and rewritten. That is still a rewrite of whole days: for
+    hourly or daily batches rather than for a stream of small ones.
     """
     source = staged(source, "merge-source")
     if table_exists(spark, path):

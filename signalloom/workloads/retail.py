@@ -191,8 +191,13 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.make_dt_interval(days=F.lit(SHIFT_DAYS))
     lines = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.concat(F.lit("O"), "l_orderkey").alias("order_id"))
-        .agg((F.min("l_shipdate") + shift).alias("shipped_at"), (F.max("l_shipdate") + shift).alias("arrived_at"))
+        .groupBy("l_orderkey")
+        .agg(F.min("l_shipdate").alias("shipped_on"), F.max("l_shipdate").alias("arrived_on"))
+        .select(
+            F.concat(F.lit("O"), "l_orderkey").alias("order_id"),
+            (F.col("shipped_on") + shift).alias("shipped_at"),
+            (F.col("arrived_on") + shift).alias("arrived_at"),
+        )
     )
     heads = orders(spark, sf_dir).select(
         "order_id",

@@ -20,7 +20,7 @@ def frame(spark, *data):
 def either_join(request, monkeypatch):
     if request.param == "shuffle":
         monkeypatch.setattr(staging.broadcast_if_small, "__defaults__", (None, 0))
-        monkeypatch.setattr(tables.broadcast_if_small, "__defaults__", (None, 0))
+        monkeypatch.setitem(tables.upsert.__kwdefaults__, "broadcast_bytes", 0)
 
 
 def test_upsert_updates_inserts_and_matches_nulls(spark, either_join):
@@ -68,6 +68,17 @@ def test_upsert_rewrites_only_the_buckets_it_meets(spark):
     assert len({f.rsplit("/", 2)[-2] for f in before - after}) == 1
 
 
+def test_upsert_compacts_crowded_buckets(spark, monkeypatch):
+    path = scratch_path(spark, "t")
+    for i in range(4):
+        tables.upsert(spark, spark.range(i * 10, i * 10 + 10), path, ["id"], n_buckets=2)
+    assert len(spark.read.parquet(path).inputFiles()) > 4
+    monkeypatch.setattr(tables, "MOST_FILES", 1)
+    tables.upsert(spark, spark.range(10), path, ["id"], n_buckets=2)
+    assert len(spark.read.parquet(path).inputFiles()) <= 2
+    assert tables.read_table(spark, path).count() == 40
+
+
 def test_insert_new_keeps_what_is_stored(spark, either_join):
     path = scratch_path(spark, "t")
     tables.insert_new(spark, frame(spark, ("a", "d1", 1), ("b", "d1", 1)), path, "k1", ["k2"])
