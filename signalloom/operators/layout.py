@@ -12,17 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalloom.session import hadoop_path
+from signalloom.session import stored_bytes
 from signalloom.sinks.tables import files_for, write_partitions
 
 FILE_BYTES = 256 * 1024 * 1024
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    fs, where = hadoop_path(spark, path)
-    return fs.getContentSummary(where).getLength()
-
-
 def compact(df: DataFrame, path: str, by: Sequence[str] = ("event_date",)) -> None:
     """Write ``df`` with as few files per partition as its size allows; large ones stay split."""
     write_partitions(df, path, list(by), mode="overwrite")

@@ -15,6 +15,7 @@ from signalloom.operators.standardize import STANDARD_FORMS
 from signalloom.plans.cart_recovery import cart_recovery_signal
 from signalloom.plans.executive import daily_summary
 from signalloom.plans.fulfillment_risk import fulfillment_risk_signal
+from signalloom.session import size_shuffles, stored_bytes
 from signalloom.sinks.audit import audited, counted
 from signalloom.sinks.tables import (
     read_snapshot,
@@ -103,12 +104,16 @@ def refresh(
     The conformed clickstream is expected to be there: its stream runs on its own. Running the
     refresh again gives the same tables.
     """
+    size_shuffles(spark, stored_bytes(spark, extracts_folder))
     for extract in extracts:
         ingest_extract(spark, lake, extracts_folder, extract, n_buckets)
     for table in CONFORMINGS:
         if table_exists(spark, lake.path("bronze", table.name)):
             conform_table(spark, lake, table, n_buckets)
 
+    silver_folder = lake.path("silver", "clickstream_events").rsplit("/", 1)[0]
+    size_shuffles(spark, stored_bytes(spark, silver_folder))
+
     def silver(name: str) -> DataFrame:
         return read_table(spark, lake.path("silver", name))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 import tempfile
 import uuid
 
@@ -19,6 +20,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+SHUFFLE_BYTES = 256 * 1024**2
+MOST_SHUFFLE_PARTITIONS = 100_000
+LARGE_INPUT_BYTES = 10 * 1024**4
+
 
 def build_session(app_name: str = "signalloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -36,6 +41,26 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, where = hadoop_path(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to one per 256 MB of input, and scan larger splits.
+
+    The number is only ever raised: adaptive execution joins small partitions again, but it cannot
+    split an aggregation's partition that is too large. Returns the number in effect.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, min(math.ceil(input_bytes / SHUFFLE_BYTES), MOST_SHUFFLE_PARTITIONS))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    if input_bytes > LARGE_INPUT_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512m")
+    return wanted
+
+
 @functools.cache
 def _local_shared_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="signalloom-")

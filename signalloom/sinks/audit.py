@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,64 +17,36 @@ AUDIT_TABLE = ("gold", "pipeline_audit_log")
 
 
 @dataclass
-class RunCounts:
-    """Filled in by the job while it runs."""
-
+class Run:
+    """A job run as it is logged. The job fills in its counts while it runs."""
+
+    job_name: str
+    layer: str
+    target_table: str
+    run_id: str
+    started_at: datetime
     row_count: int | None = None
     quarantined_count: int = 0
+    finished_at: datetime | None = None
+    status: str = "failed"
 
 
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc)
-
-
-def log_run(
-    spark: SparkSession,
-    lake: Lake,
-    *,
-    job_name: str,
-    layer: str,
-    target_table: str,
-    row_count: int | None,
-    started_at: datetime,
-    quarantined_count: int = 0,
-    status: str = "success",
-) -> None:
-    entry = {
-        "job_name": job_name,
-        "layer": layer,
-        "target_table": target_table,
-        "row_count": row_count,
-        "quarantined_count": quarantined_count,
-        "run_id": run_id(spark),
-        "started_at": started_at,
-        "finished_at": utc_now(),
-        "status": status,
-    }
-    literal_rows(spark, [entry], struct_of(AUDIT_COLUMNS)).coalesce(1).write.mode("append").parquet(
-        lake.path(*AUDIT_TABLE)
-    )
+def append_run(spark: SparkSession, lake: Lake, run: Run) -> None:
+    entry = literal_rows(spark, [asdict(run)], struct_of(AUDIT_COLUMNS))
+    entry.coalesce(1).write.mode("append").parquet(lake.path(*AUDIT_TABLE))
 
 
 @contextmanager
-def audited(spark: SparkSession, lake: Lake, job_name: str, layer: str, target_table: str):
-    """Run a job body and log it, as ``failed`` when it raises."""
-    started_at, counts, status = utc_now(), RunCounts(), "failed"
+def audited(spark: SparkSession, lake: Lake, job_name: str, layer: str, table: str):
+    """Run a job body and log it when it ends, as ``failed`` when it raises."""
+    now = partial(datetime.now, timezone.utc)
+    run = Run(job_name, layer, lake.table(layer, table), run_id(spark), started_at=now())
     try:
-        yield counts
-        status = "success"
+        yield run
+        run.status = "success"
     finally:
-        log_run(
-            spark,
-            lake,
-            job_name=job_name,
-            layer=layer,
-            target_table=lake.table(layer, target_table),
-            row_count=counts.row_count,
-            started_at=started_at,
-            quarantined_count=counts.quarantined_count,
-            status=status,
-        )
+        run.finished_at = now()
+        append_run(spark, lake, run)
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from signalloom.operators.dedupe import latest_per_key
 from signalloom.operators.staging import BROADCAST_BYTES, broadcast_if_small, size_of, staged
-from signalloom.session import hadoop_path
+from signalloom.session import hadoop_path, stored_bytes
 
 BUCKET = "key_bucket_no"
 # A merge that finds more files than this per bucket also compacts.
@@ -83,14 +83,13 @@ def upsert(
     """Rows of ``source`` replace those with the same key and are added otherwise. Null keys match.
 
     The table is split by a hash of the key, so a merge rewrites only the buckets its keys fall
-    in; choose ``n_buckets`` for buckets of a few hundred megabytes, once per table. ``source``
-    must hold a key once, else the result would depend on row order: that is an error, unless
+    in. ``n_buckets`` is chosen once per table. ``source`` must hold a key once, else the result would depend on row order: that is an error, unless
     ``newest`` names a column whose highest value wins. ``is_written`` says that ``source`` reads
     a written table and need not be written once more to be read several times.
 
     When the source's keys are small enough to broadcast, stored rows are not shuffled: they are
     read, filtered and written bucket by bucket. Otherwise stored and new rows are brought together
-    by bucket in one shuffle, and the new one of each key is kept.
+    by bucket and slice in one shuffle, and the new one of each key is kept.
     """
     if newest is not None:
         ties = [c for c, t in source.dtypes if c != newest and "<" not in t]
@@ -120,10 +119,14 @@ def upsert(
         kept = without_keys(stored, F.broadcast(source.select(*keys)), keys)
         merged = kept.unionByName(source.hint("rebalance", F.col(BUCKET)), allowMissingColumns=True)
     else:
-        both = stored.withColumn("_new", F.lit(0)).unionByName(
-            source.withColumn("_new", F.lit(1)), allowMissingColumns=True
+        # A bucket is cut into slices of about one file, so that no task gets a whole large bucket.
+        n_slices = files_for(stored_bytes(spark, path) // n_buckets)
+        piece = F.pmod(F.shiftright(F.xxhash64(*keys), 32), F.lit(n_slices)).alias("_slice")
+        both = stored.select("*", F.lit(0).alias("_new"), piece).unionByName(
+            source.select("*", F.lit(1).alias("_new"), piece), allowMissingColumns=True
         )
-        merged = latest_per_key(both.repartition(BUCKET), [BUCKET, *keys], "_new").drop("_new")
+        together = both.repartition(BUCKET, "_slice")
+        merged = latest_per_key(together, [BUCKET, "_slice", *keys], "_new").drop("_new", "_slice")
         crowded = False
     write_partitions(merged, path, [BUCKET], replace_touched=True, arrange=crowded)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from signalloom.model import CLICKSTREAM_COLUMNS, EXTRACT_COLUMNS, EXTRACT_KEYS, struct_of
 
+LAYERS = ("bronze", "silver", "gold")
 RUN_ID_SETTING = "spark.signalloom.runId"
 
 
@@ -28,30 +29,25 @@ EXTRACTS = [Extract(name, struct_of(ddl), EXTRACT_KEYS[name]) for name, ddl in E
 
 @dataclass(frozen=True)
 class Lake:
-    """Where tables and checkpoints live: ``<root>/<project>_<env>/<layer>/<table>``."""
+    """Names and places of tables: ``<project>_<env>.<layer>.<table>``, stored likewise below ``root``."""
 
     root: str
     env: str = "dev"
     project: str = "retail"
-    layers: tuple[str, ...] = field(default=("bronze", "silver", "gold"))
 
-    @property
-    def catalog(self) -> str:
-        return f"{self.project}_{self.env}"
-
-    def schema(self, layer: str) -> str:
-        if layer not in self.layers:
-            raise ValueError(f"unknown layer: {layer!r}, expected one of {', '.join(self.layers)}")
-        return f"{self.catalog}.{layer}"
+    def _parts(self, layer: str, name: str) -> list[str]:
+        if layer not in LAYERS:
+            raise ValueError(f"unknown layer {layer!r}: it must be one of {', '.join(LAYERS)}")
+        return [f"{self.project}_{self.env}", layer, name]
 
     def table(self, layer: str, name: str) -> str:
-        return f"{self.schema(layer)}.{name}"
+        return ".".join(self._parts(layer, name))
 
     def path(self, layer: str, name: str) -> str:
-        return "/".join([self.root.rstrip("/"), *self.table(layer, name).split(".")])
+        return "/".join([self.root.rstrip("/"), *self._parts(layer, name)])
 
     def checkpoint(self, stream: str) -> str:
-        return f"{self.root.rstrip('/')}/checkpoints/{self.env}/{stream}"
+        return "/".join([self.root.rstrip("/"), "checkpoints", self.env, stream])
 
 
 def run_id(spark: SparkSession) -> str:

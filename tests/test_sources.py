@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from signalloom.model import AUDIT_COLUMNS, struct_of
-from signalloom.session import scratch_path
+from signalloom.session import scratch_path, size_shuffles
 from signalloom.sources.files import EXTRACTS, Lake, literal_rows, read_extract, read_extracts, read_json_landing, run_id
 from signalloom.sources.rescue import rescued_json
 
@@ -82,6 +82,16 @@ def test_names_and_paths():
         lake.path("copper", "orders")
 
 
+def test_shuffle_partitions_grow_with_the_input_only(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10_000) == int(before)
+        assert size_shuffles(spark, 100 * 256 * 1024**2) == 100
+        assert size_shuffles(spark, 0) == 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_a_row_of_nulls_has_the_declared_types(spark):
     df = literal_rows(spark, [{"job_name": "j"}], struct_of(AUDIT_COLUMNS))
     assert df.schema == struct_of(AUDIT_COLUMNS)
