@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.operators.staging import broadcast_if_small
+from signalloom.operators.staging import broadcast_if_small, staged
 
 ACCURACY = 10_000
 
@@ -37,7 +37,8 @@ def percentile(
 
     Null values are ignored; without any value the result is null. The exact methods read ``df``
     three times: pass a written table. ``by`` is for few groups (days, carriers): their brackets
-    are joined back, as a broadcast when their measured size allows it.
+    are written and joined back, as a broadcast when their measured size allows it. A null
+    group has no brackets and is left out by the exact methods.
     """
     values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     if method == "approx":
@@ -90,7 +91,7 @@ def percentile(
 def _beside(values: DataFrame, per_group: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``values`` with the columns of their group's row."""
     if by:
-        return values.join(broadcast_if_small(per_group), list(by))
+        return values.join(broadcast_if_small(staged(per_group, "brackets")), list(by))
     one_row = per_group.select(F.struct(*columns).alias("_s")).scalar()
     return values.withColumn("_s", one_row).select("_v", *[F.col(f"_s.{c}").alias(c) for c in columns])
 

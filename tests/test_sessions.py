@@ -23,8 +23,8 @@ def test_sessions_equal_brute_force_with_a_hot_key(spark):
     for i in range(400):
         key = "hot" if i % 3 == 0 else f"s{rng.randrange(12)}"
         data.append((i, key, NOW + dt.timedelta(minutes=rng.randrange(3 * 24 * 60), seconds=rng.randrange(60))))
-    for slice_minutes in (1, 15, 45, 600):
-        out = sessionize(spark.createDataFrame(data, EVENTS), slice_minutes=slice_minutes)
+    for hot_rows, slice_minutes in ((1000, 15), (50, 15), (50, 600), (0, 1), (0, 45)):
+        out = sessionize(spark.createDataFrame(data, EVENTS), hot_rows=hot_rows, slice_minutes=slice_minutes)
         assert {r.event_id: r.session_number for r in out.collect()} == brute_force(data)
 
 
@@ -36,5 +36,7 @@ def test_a_gap_of_exactly_30_minutes_stays_inside(spark):
 
 def test_rows_without_key_or_time_are_kept(spark):
     data = [(1, "s", NOW), (2, None, NOW), (3, "s", None)]
-    out = sessionize(spark.createDataFrame(data, EVENTS))
-    assert rows(out, "event_id", "session_number") == [(1, 1), (2, None), (3, None)]
+    for hot_rows in (10, 0):
+        out = sessionize(spark.createDataFrame(data, EVENTS), hot_rows=hot_rows)
+        assert rows(out, "event_id", "session_number") == [(1, 1), (2, None), (3, None)]
+        assert set(out.columns) == {"event_id", "session_id", "event_timestamp", "session_number"}
