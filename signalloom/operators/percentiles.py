@@ -10,6 +10,8 @@ in order. All passes aggregate before they shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ def percentile(
 
     Null values are ignored; without any value the result is null. The exact methods read ``df``
     three times: pass a written table. ``by`` is for few groups (days, carriers): their brackets
-    are written and joined back, as a broadcast when their measured size allows it. A null
-    group has no brackets and is left out by the exact methods.
+    are written and joined back, as a broadcast when their measured size allows it. Null
+    is a group like any other.
     """
     values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     if method == "approx":
@@ -91,7 +93,10 @@ def percentile(
 def _beside(values: DataFrame, per_group: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``values`` with the columns of their group's row."""
     if by:
-        return values.join(broadcast_if_small(staged(per_group, "brackets")), list(by))
+        named = per_group.select(*[F.col(g).alias(f"_g_{g}") for g in by], *columns)
+        same_group = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in by])
+        joined = values.join(broadcast_if_small(staged(named, "brackets")), same_group)
+        return joined.select(*by, "_v", *columns)
     one_row = per_group.select(F.struct(*columns).alias("_s")).scalar()
     return values.withColumn("_s", one_row).select("_v", *[F.col(f"_s.{c}").alias(c) for c in columns])
 

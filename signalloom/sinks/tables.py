@@ -62,11 +62,14 @@ def key_bucket(keys: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).cast("int")
 
 
+def _renamed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_s_{c}") for c in columns])
+
+
 def without_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key (nulls equal) is not in ``source_keys``; hashes, never nested loops."""
-    renamed = source_keys.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
     match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    return target.join(renamed, match, "left_anti")
+    return target.join(_renamed(source_keys, keys), match, "left_anti")
 
 
 def upsert(
@@ -116,7 +119,7 @@ def upsert(
     stored = spark.read.parquet(path).where(F.col(BUCKET).isin(facts["buckets"]))
     crowded = len(stored.inputFiles()) > MOST_FILES * len(facts["buckets"])
     if facts["size"] <= broadcast_bytes:
-        kept = without_keys(stored, F.broadcast(source.select(*keys)), keys)
+        kept = without_keys(stored, F.broadcast(source), keys)
         merged = kept.unionByName(source.hint("rebalance", F.col(BUCKET)), allowMissingColumns=True)
     else:
         # A bucket is cut into slices of about one file, so that no task gets a whole large bucket.
@@ -131,21 +134,42 @@ def upsert(
     write_partitions(merged, path, [BUCKET], replace_touched=True, arrange=crowded)
 
 
+def _in_partitions_of(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The stored partitions that ``batch`` meets. Their values, one per partition, are listed in the
+    filter, so that all others are pruned before anything is read."""
+    met = [r[0] for r in batch.select(column).distinct().collect()]
+    hit = F.col(column).isin([v for v in met if v is not None])
+    return stored.where(hit | F.col(column).isNull() if None in met else hit)
+
+
 def insert_new(
-    spark: SparkSession, source: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    key: str,
+    partition_by: str | None = None,
+    copies_share_partition: bool = False,
 ) -> None:
     """Add the rows of ``source`` whose key is not stored yet; stored rows stay as they are.
 
-    Safe to repeat after a partial write: what was written is recognised by its key. The stored
-    keys met again are found by broadcasting the batch's keys to a scan of the key column alone;
-    the table is not shuffled for a small batch.
+    Safe to repeat after a partial write: what was written is recognised by its key (rows without
+    a key cannot be, and are always added). The stored keys met again are found by broadcasting the
+    batch's keys to a scan of the key column alone; the table is not shuffled for a small batch.
+    With ``copies_share_partition`` a stored copy is looked for in its own partition only, so the
+    cost of a batch does not grow with the age of the table; keys are then unique per partition.
     """
     if table_exists(spark, path):
         source = staged(source, "insert-source")
-        ids = source.select(key)
-        again = spark.read.parquet(path).select(key).join(broadcast_if_small(ids), key, "left_semi")
-        source = source.join(again, key, "left_anti")
-    write_partitions(source, path, list(partition_by))
+        stored = spark.read.parquet(path)
+        columns, same = [key], F.col(key) == F.col(f"_s_{key}")
+        if copies_share_partition and partition_by:
+            stored = _in_partitions_of(stored, source, partition_by)
+            columns.append(partition_by)
+            same = same & F.col(partition_by).eqNullSafe(F.col(f"_s_{partition_by}"))
+        ids = _renamed(source, columns)
+        again = stored.select(*columns).join(broadcast_if_small(ids), same, "left_semi")
+        source = source.join(_renamed(again, columns), same, "left_anti")
+    write_partitions(source, path, [partition_by] if partition_by else [])
 
 
 def merge_latest(
@@ -165,8 +189,7 @@ def merge_latest(
     """
     source = staged(source, "merge-source")
     if table_exists(spark, path):
-        touched = source.select(partition_by).distinct()
-        stored = spark.read.parquet(path).join(broadcast_if_small(touched), partition_by, "left_semi")
+        stored = _in_partitions_of(spark.read.parquet(path), source, partition_by)
         source = stored.unionByName(source, allowMissingColumns=True)
     write_partitions(
         latest_per_key(source, keys, newest, tie_breakers), path, [partition_by], replace_touched=True

@@ -25,7 +25,9 @@ class Conform:
 
     ``as_of`` is what event times are checked against: the wall clock by default, or a column of
     the row. ``across_batches`` also removes retries that arrive in a later batch than the first
-    copy; by default only the event id is compared with what is stored.
+    copy; by default only the event id is compared with what is stored. ``copies_share_day`` looks
+    for a stored event id on the event's own day only, which keeps the cost of a batch constant as
+    the table grows; it is right when a resent event keeps its time.
     """
 
     table_path: str
@@ -34,6 +36,7 @@ class Conform:
     as_of: Column | None = None
     past_days: int = 1
     across_batches: bool = False
+    copies_share_day: bool = False
     on_batch: Callable[[int, int, int], None] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -57,7 +60,9 @@ class Conform:
                     partition_by="event_date", tie_breakers=["event_id"],
                 )
             else:
-                insert_new(spark, kept, self.table_path, "event_id", ["event_date"])
+                insert_new(
+                    spark, kept, self.table_path, "event_id", "event_date", self.copies_share_day
+                )
             write_quarantine(bad, self.quarantine_path, batch_id)
             if self.on_batch is not None:
                 self.on_batch(batch_id, seen.get["n_rows"], bad.count())

@@ -209,7 +209,7 @@ def insert_only_merge(spark, sf_dir):
     events = retail.clickstream(spark, sf_dir).select("event_id", "event_type", "price_at_event", "event_date")
     later = events.withColumn("price_at_event", F.col("price_at_event") + 1)
     for source in (events.where("event_type <> 'view'"), later, later):
-        tables.insert_new(spark, source, path, "event_id", ["event_date"])
+        tables.insert_new(spark, source, path, "event_id", "event_date")
     return presented(spark.read.parquet(path).drop("event_type"))
 
 

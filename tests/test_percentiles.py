@@ -38,9 +38,9 @@ def test_exact_beyond_the_sketch_and_with_a_hot_value(spark):
 
 
 def test_groups_and_names(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 10.0), ("c", None)], "g STRING, v DOUBLE")
-    assert rows(percentile(df, "v", 0.5, by=["g"], method="continuous", name="m"), "g", "m") == [("a", 2.0), ("b", 10.0)]
-    assert rows(percentile(df, "v", 0.5, by=["g"], method="discrete"), "g", "q") == [("a", 1.0), ("b", 10.0)]
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 10.0), ("c", None), (None, 5.0)], "g STRING, v DOUBLE")
+    assert rows(percentile(df, "v", 0.5, by=["g"], method="continuous", name="m"), "g", "m") == [("a", 2.0), ("b", 10.0), (None, 5.0)]
+    assert rows(percentile(df, "v", 0.5, by=["g"], method="discrete"), "g", "q") == [("a", 1.0), ("b", 10.0), (None, 5.0)]
 
 
 @pytest.mark.parametrize("method", ["approx", "discrete", "continuous"])

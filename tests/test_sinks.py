@@ -81,13 +81,24 @@ def test_upsert_compacts_crowded_buckets(spark, monkeypatch):
 
 def test_insert_new_keeps_what_is_stored(spark, either_join):
     path = scratch_path(spark, "t")
-    tables.insert_new(spark, frame(spark, ("a", "d1", 1), ("b", "d1", 1)), path, "k1", ["k2"])
+    tables.insert_new(spark, frame(spark, ("a", "d1", 1), ("b", "d1", 1)), path, "k1", "k2")
     batch = frame(spark, ("a", "d2", 9), ("c", "d2", 2))
     for _ in range(2):
-        tables.insert_new(spark, batch, path, "k1", ["k2"])
+        tables.insert_new(spark, batch, path, "k1", "k2")
     assert rows(spark.read.parquet(path), "k1", "k2", "v") == [("a", "d1", 1), ("b", "d1", 1), ("c", "d2", 2)]
 
 
+def test_insert_new_may_look_in_the_own_partition_only(spark, either_join):
+    path = scratch_path(spark, "t")
+    tables.insert_new(spark, frame(spark, ("a", "d1", 1), ("n", None, 1)), path, "k1", "k2")
+    batch = frame(spark, ("a", "d1", 9), ("a", "d2", 9), ("m", None, 2))
+    for _ in range(2):
+        tables.insert_new(spark, batch, path, "k1", "k2", copies_share_partition=True)
+    assert rows(spark.read.parquet(path), "k1", "k2", "v") == [
+        ("a", "d1", 1), ("a", "d2", 9), ("m", None, 2), ("n", None, 1),
+    ]
+
+
 def test_merge_latest_across_batches(spark):
     path = scratch_path(spark, "t")
     batches = [
