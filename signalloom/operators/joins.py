@@ -58,7 +58,9 @@ def rows_of_recent_carts(events: DataFrame, recent: Column) -> DataFrame:
     drops the same carts by their last activity.
     """
     ids = staged(
-        events.where(recent & F.col("cart_id").isNotNull()).select("cart_id").distinct(), "recent-carts"
+        events.where(recent).select(F.col("cart_id").alias("_recent_id")).distinct(), "recent-carts"
     )
     bounded = broadcast_if_small(ids)
-    return events if bounded is ids else events.join(bounded, "cart_id", "left_semi")
+    if bounded is ids:
+        return events
+    return events.join(bounded, F.col("cart_id").eqNullSafe(F.col("_recent_id")), "left_semi")

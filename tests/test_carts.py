@@ -137,6 +137,17 @@ def test_recent_carts_keep_their_whole_history(spark, monkeypatch):
     assert joins.rows_of_recent_carts(df, recent) is df
 
 
+def test_the_signal_is_the_same_with_and_without_days_to_prune_by(spark):
+    orders = spark.createDataFrame([("CA", "delivered")], ORDERS)
+    df = four_carts(spark).unionByName(
+        events(spark, ("A", "CA", "add_to_cart", ago(days=20), 3.0, 1), (None, "N", "add_to_cart", ago(hours=2), 1.0, 1))
+    )
+    by_day = df.withColumn("event_date", F.to_date("event_timestamp"))
+    plain, narrowed = (cart_recovery_signal(e, orders, NOW).drop("_gold_computed_at") for e in (df, by_day))
+    assert rows(narrowed) == rows(plain)
+    assert rows(plain, "cart_id", "recoverable_cart_value") == [("A", 103.0), (None, 1.0)]
+
+
 def test_top_is_ranked_with_ties_by_key(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "cart_id STRING, priority_score DOUBLE")
     assert [r.cart_id for r in top(df, "priority_score", "cart_id", 2).collect()] == ["c", "a"]

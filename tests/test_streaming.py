@@ -107,6 +107,22 @@ def test_retries_in_a_later_batch(spark):
         assert stored(spark, root) == expected
 
 
+def test_an_interval_keeps_the_stream_running(spark):
+    root = scratch_path(spark, "stream")
+    add(spark, root, record("e1"))
+    query = landing.start_landing(
+        spark, f"{root}/raw", f"{root}/landed", f"{root}/cp", every="100 milliseconds", max_files=1
+    )
+    try:
+        query.processAllAvailable()
+        add(spark, root, record("e2"))
+        query.processAllAvailable()
+        assert query.isActive
+        assert rows(spark.read.parquet(f"{root}/landed"), "event_id") == [("e1",), ("e2",)]
+    finally:
+        query.stop()
+
+
 def test_first_copies_survive_a_restart(spark):
     root = scratch_path(spark, "stream")
     schema = "event_id STRING, cart_id STRING, event_type STRING, event_timestamp TIMESTAMP"
