@@ -30,12 +30,12 @@ LAG = f"""(SELECT quantile_disc(lag_minutes, 0.5) FROM lags
     WHERE checkout_complete_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY)"""
 
 
-@workload(with_views(*carts.SIGNAL_VIEWS) + f"SELECT round({REVENUE}, 6) AS recoverable_revenue")
+@workload(with_views(*carts.SIGNAL_VIEWS) + f"SELECT round({REVENUE}, 2) AS recoverable_revenue")
 def recoverable_revenue(spark, sf_dir):
     return presented(executive.recoverable_revenue(carts.signal(spark, sf_dir)))
 
 
-@workload(with_views(*fulfillment.RISK_VIEWS) + f"SELECT round({DELAYED}, 6) AS delayed_order_revenue_risk")
+@workload(with_views(*fulfillment.RISK_VIEWS) + f"SELECT round({DELAYED}, 2) AS delayed_order_revenue_risk")
 def delayed_revenue_risk(spark, sf_dir):
     return presented(executive.delayed_revenue_risk(fulfillment.signal(spark, sf_dir)))
 
@@ -50,7 +50,7 @@ def at_risk_count(spark, sf_dir):
 
 @workload(
     with_views(*BOTH_SIGNALS)
-    + f"""SELECT round({REVENUE}, 6) AS recoverable_revenue, round({DELAYED}, 6) AS delayed_order_revenue_risk,
+    + f"""SELECT round({REVENUE}, 2) AS recoverable_revenue, round({DELAYED}, 2) AS delayed_order_revenue_risk,
     (SELECT count(*) FROM risk_signal WHERE fulfillment_risk_score >= 60) AS at_risk_orders"""
 )
 def live_headline(spark, sf_dir):
@@ -68,8 +68,8 @@ def conversion_lag_median(spark, sf_dir):
     )
 
 
-DAILY_SQL = f"""SELECT '{AS_OF[:10]}' AS metric_date, round({REVENUE}, 6) AS recoverable_revenue,
-    round({DELAYED}, 6) AS delayed_order_revenue_risk, round({RATE}, 6) AS on_time_delivery_rate,
+DAILY_SQL = f"""SELECT '{AS_OF[:10]}' AS metric_date, round({REVENUE}, 2) AS recoverable_revenue,
+    round({DELAYED}, 2) AS delayed_order_revenue_risk, round({RATE}, 6) AS on_time_delivery_rate,
     round({LAG}, 6) AS conversion_lag_median_minutes"""
 
 
@@ -208,9 +208,9 @@ def calendar_days(spark, sf_dir):
 @workload(
     HISTORY
     + f"""SELECT {sql_day("metric_date", "metric_date")},
-    round(sum(recoverable_revenue) OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 0 DAY PRECEDING AND CURRENT ROW), 6) AS d1,
-    round(sum(recoverable_revenue) {LAST_7}, 6) AS d7,
-    round(sum(recoverable_revenue) OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW), 6) AS d30
+    round(sum(recoverable_revenue) OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 0 DAY PRECEDING AND CURRENT ROW), 2) AS d1,
+    round(sum(recoverable_revenue) {LAST_7}, 2) AS d7,
+    round(sum(recoverable_revenue) OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW), 2) AS d30
     FROM history"""
 )
 def trailing_n_sum(spark, sf_dir):
@@ -251,8 +251,8 @@ LIGHT = "CASE WHEN {0} >= 0.95 THEN 'green' WHEN {0} >= 0.9 THEN 'amber' WHEN {0
         avg(on_time_delivery_rate) {LAST_7.replace("metric_date", "d")} AS rate,
         avg(conversion_lag_median_minutes) {LAST_7.replace("metric_date", "d")} AS lag
         FROM closes LEFT JOIN history ON metric_date = d)
-    SELECT {sql_day("t.metric_date", "metric_date")}, round(t.revenue, 6) AS recoverable_revenue_trailing,
-    round(t.delayed, 6) AS delayed_order_revenue_risk_trailing,
+    SELECT {sql_day("t.metric_date", "metric_date")}, round(t.revenue, 2) AS recoverable_revenue_trailing,
+    round(t.delayed, 2) AS delayed_order_revenue_risk_trailing,
     round((t.revenue - b.revenue) / b.revenue, 6) AS recovery_wow, round(t.rate, 6) AS on_time_rate_trend,
     printf('%.1f%%', t.rate * 100) AS on_time_rate_label, {LIGHT.format("t.rate")} AS on_time_light,
     round(t.lag, 6) AS conversion_lag_trend FROM t LEFT JOIN t b ON b.metric_date = t.metric_date - 7"""
@@ -273,8 +273,8 @@ def history_averages(spark, sf_dir):
 @workload(
     HISTORY
     + f"""SELECT {sql_day("date_trunc('week', metric_date)", "week_start")}, count(*) AS n_days,
-    round(sum(recoverable_revenue), 6) AS recoverable_revenue,
-    round(sum(delayed_order_revenue_risk), 6) AS delayed_order_revenue_risk,
+    round(sum(recoverable_revenue), 2) AS recoverable_revenue,
+    round(sum(delayed_order_revenue_risk), 2) AS delayed_order_revenue_risk,
     round(avg(on_time_delivery_rate), 6) AS avg_on_time_rate, round(avg(conversion_lag_median_minutes), 6) AS avg_median_lag
     FROM history GROUP BY date_trunc('week', metric_date)"""
 )

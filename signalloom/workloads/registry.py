@@ -17,6 +17,16 @@ class Workload:
     sql: str | None
 
 
+MONEY_SUMS = {
+    "recoverable_revenue",
+    "delayed_order_revenue_risk",
+    "recoverable_revenue_trailing",
+    "delayed_order_revenue_risk_trailing",
+    "d1",
+    "d7",
+    "d30",
+}
+
 WORKLOADS: dict[str, Workload] = {}
 
 
@@ -33,7 +43,8 @@ def workload(sql: str | None = None):
 def presented(df: DataFrame) -> DataFrame:
     """Plain scalar columns that compare exactly across engines.
 
-    Times and dates become text, doubles keep six digits, arrays become comma-separated text.
+    Times and dates become text, doubles keep six digits, sums of money two (more would show the
+    order of addition), arrays become comma-separated text.
     """
 
     def plain(field: T.StructField):
@@ -44,7 +55,7 @@ def presented(df: DataFrame) -> DataFrame:
             case T.DateType():
                 return F.date_format(c, "yyyy-MM-dd")
             case T.DoubleType():
-                return F.round(c, 6)
+                return F.round(c, 2 if field.name in MONEY_SUMS else 6)
             case T.ArrayType():
                 return F.array_join(c, ",")
         return c
