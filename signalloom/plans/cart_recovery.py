@@ -71,9 +71,9 @@ def cart_recovery_signal(
     """One row per abandoned cart.
 
     With an ``event_date`` to prune by, the carts active within the horizon are looked up first and
-    only their history is aggregated. The abandoned carts are needed twice, for the percentile and for the scores. They are a small
-    part of the events, so they are written once and both uses read that table. The percentile
-    comes back as a scalar subquery, not through the driver and not as a join.
+    only their history is aggregated. The abandoned carts are needed twice, for the percentile and
+    for the scores. They are a small part of the events, so they are written once and both uses read
+    that table. The percentile comes back as a scalar subquery, not as a join.
     """
     now = instant_like(events, "event_timestamp", as_of)
     horizon = max(policy.stale_days, policy.percentile_days or 0)

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's partition even where that takes one more shuffle later.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # One hot session in a micro-batch is merged map-side before it is shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # INT96 (the default) carries no row-group statistics, so timestamp filters could not skip.

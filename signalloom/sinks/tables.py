@@ -86,9 +86,10 @@ def upsert(
     """Rows of ``source`` replace those with the same key and are added otherwise. Null keys match.
 
     The table is split by a hash of the key, so a merge rewrites only the buckets its keys fall
-    in. ``n_buckets`` is chosen once per table. ``source`` must hold a key once, else the result would depend on row order: that is an error, unless
-    ``newest`` names a column whose highest value wins. ``is_written`` says that ``source`` reads
-    a written table and need not be written once more to be read several times.
+    in. ``n_buckets`` is chosen once per table. ``source`` must hold a key once, else the result
+    would depend on row order: that is an error, unless ``newest`` names a column whose highest
+    value wins. ``is_written`` says that ``source`` reads a written table and need not be written
+    once more to be read several times.
 
     When the source's keys are small enough to broadcast, stored rows are not shuffled: they are
     read, filtered and written bucket by bucket. Otherwise stored and new rows are brought together

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from signalloom.operators import fulfillment
 from signalloom.operators.measures import carrier_scorecard as scorecard
 from signalloom.plans import cart_recovery, fulfillment_risk, reports
@@ -37,7 +35,10 @@ def risk_sql(today: str) -> str:
 
 
 VIEWS["risk_signal"] = risk_sql(f"CAST(TIMESTAMP '{AS_OF}' AS DATE)")
-RISK_VIEWS = ("shop_orders", "shipments", "order_items", "inventory", "open_orders", "backordered", "exposed_orders", "risk_signal")
+RISK_VIEWS = (
+    "shop_orders", "shipments", "order_items", "inventory", "open_orders", "backordered", "exposed_orders",
+    "risk_signal",
+)
 
 
 def signal(spark, sf_dir, as_of=AS_OF):

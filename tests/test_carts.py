@@ -26,28 +26,28 @@ def events(spark, *data):
 def four_carts(spark):
     return events(
         spark,
-        ("A", "CA", "add_to_cart", ago(minutes=45), 50.0, 2),
-        ("B", "CB", "add_to_cart", ago(minutes=10), 20.0, 1),
-        ("C", "CC", "add_to_cart", ago(days=10), 20.0, 1),
-        ("D", "CD", "add_to_cart", ago(minutes=45), 30.0, 1),
-        ("D", "CD", "checkout_complete", ago(minutes=40), None, None),
+        ("A", "CA", "add_to_cart", ago(minutes=90), 40.0, 3),
+        ("B", "CB", "add_to_cart", ago(minutes=12), 15.0, 1),
+        ("C", "CC", "add_to_cart", ago(days=9), 15.0, 1),
+        ("D", "CD", "add_to_cart", ago(hours=2), 35.0, 1),
+        ("D", "CD", "checkout_complete", ago(hours=1), None, None),
     )
 
 
 def test_only_the_idle_unfinished_recent_cart_is_abandoned(spark):
     out = abandoned_carts(cart_state(four_carts(spark)), NOW)
-    assert rows(out, "cart_id", "recoverable_cart_value", "minutes_since_last_activity") == [("A", 100.0, 45.0)]
+    assert rows(out, "cart_id", "recoverable_cart_value", "minutes_since_last_activity") == [("A", 120.0, 90.0)]
 
 
 def test_removed_items_are_deducted(spark):
     df = events(
         spark,
-        ("A", "C", "add_to_cart", ago(minutes=50), 100.0, 1),
-        ("A", "C", "remove_from_cart", ago(minutes=48), 100.0, 1),
-        ("A", "C", "add_to_cart", ago(minutes=45), 25.0, 2),
+        ("A", "C", "add_to_cart", ago(minutes=70), 80.0, 2),
+        ("A", "C", "remove_from_cart", ago(minutes=60), 80.0, 1),
+        ("A", "C", "add_to_cart", ago(minutes=50), 7.5, 4),
     )
     row = abandoned_carts(cart_state(df), NOW).first()
-    assert (row.recoverable_cart_value, row.item_count) == (50.0, 1)
+    assert (row.recoverable_cart_value, row.item_count) == (110.0, 1)
 
 
 def test_value_and_count_never_fall_below_zero_and_missing_prices_count_nothing(spark):
@@ -145,7 +145,7 @@ def test_the_signal_is_the_same_with_and_without_days_to_prune_by(spark):
     by_day = df.withColumn("event_date", F.to_date("event_timestamp"))
     plain, narrowed = (cart_recovery_signal(e, orders, NOW).drop("_gold_computed_at") for e in (df, by_day))
     assert rows(narrowed) == rows(plain)
-    assert rows(plain, "cart_id", "recoverable_cart_value") == [("A", 103.0), (None, 1.0)]
+    assert rows(plain, "cart_id", "recoverable_cart_value") == [("A", 123.0), (None, 1.0)]
 
 
 def test_top_is_ranked_with_ties_by_key(spark):
