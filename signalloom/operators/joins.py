@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.operators.staging import broadcast_if_small, staged
+from signalloom.operators.staging import broadcast_if_small, staged_with_size
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, spread: str) -> DataFrame:
@@ -57,10 +57,10 @@ def rows_of_recent_carts(events: DataFrame, recent: Column) -> DataFrame:
     raw rows by cart just to drop some would cost more than the aggregation that follows, which
     drops the same carts by their last activity.
     """
-    ids = staged(
+    ids, size = staged_with_size(
         events.where(recent).select(F.col("cart_id").alias("_recent_id")).distinct(), "recent-carts"
     )
-    bounded = broadcast_if_small(ids)
+    bounded = broadcast_if_small(ids, size)
     if bounded is ids:
         return events
     return events.join(bounded, F.col("cart_id").eqNullSafe(F.col("_recent_id")), "left_semi")

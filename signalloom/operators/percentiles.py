@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.operators.staging import broadcast_if_small, staged
+from signalloom.operators.staging import broadcast_if_small, staged_with_size
 
 ACCURACY = 10_000
 
@@ -95,7 +95,7 @@ def _beside(values: DataFrame, per_group: DataFrame, by: Sequence[str], columns:
     if by:
         named = per_group.select(*[F.col(g).alias(f"_g_{g}") for g in by], *columns)
         same_group = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in by])
-        joined = values.join(broadcast_if_small(staged(named, "brackets")), same_group)
+        joined = values.join(broadcast_if_small(*staged_with_size(named, "brackets")), same_group)
         return joined.select(*by, "_v", *columns)
     one_row = per_group.select(F.struct(*columns).alias("_s")).scalar()
     return values.withColumn("_s", one_row).select("_v", *[F.col(f"_s.{c}").alias(c) for c in columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.operators.staging import broadcast_if_small, staged
+from signalloom.operators.staging import broadcast_if_small, staged_with_size
 
 
 def sessionize(
@@ -29,7 +29,7 @@ def sessionize(
     """
     gap = F.make_dt_interval(mins=F.lit(gap_minutes))
     in_session = F.col(key).isNotNull() & F.col(at).isNotNull()
-    hot_keys = staged(
+    hot_keys, size = staged_with_size(
         events.where(in_session)
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -37,10 +37,10 @@ def sessionize(
         .select(key, F.lit(True).alias("_hot")),
         "hot-sessions",
     )
-    any_hot = not hot_keys.isEmpty()
+    any_hot = size > 0
     marked = events.withColumn("_hot", F.lit(False))
     if any_hot:
-        marked = events.join(broadcast_if_small(hot_keys), key, "left")
+        marked = events.join(broadcast_if_small(hot_keys, size), key, "left")
 
     # Rows in no session are scattered instead of meeting in one task.
     scattered = F.pmod(F.xxhash64(tie_breaker), F.lit(4096))

@@ -7,7 +7,7 @@ from contextvars import ContextVar
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,13 @@ def size_of(schema: T.StructType) -> Column:
     return reduce(add, text, F.count(F.lit(1)) * F.lit(fixed))
 
 
+def staged_with_size(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``staged``, and the bytes of its data as measured by the write itself (0 without rows)."""
+    observation = Observation()
+    written = staged(df.observe(observation, size_of(df.schema).alias("size")), label)
+    return written, observation.get["size"]
+
+
 def broadcast_if_small(
     df: DataFrame, size: int | None = None, limit_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
