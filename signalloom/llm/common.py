@@ -9,12 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalloom.session import hadoop_path
-
 #: Bytes of text that a task works on at once; one longer text is a batch of its own.
 BATCH_BYTES = 4 << 20
-#: Bytes of stored text per partition where an operator chooses the number of partitions itself.
-PARTITION_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,38 +49,5 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
-def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]):
-    """Yield (key tuple, iterator of one-row-group batches) for rows that arrive sorted by ``keys``.
-
-    The pieces of one run come one after another and must be used up before the next run is asked for.
-    """
-    import itertools
-
-    def pieces():
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(k).to_pylist() for k in keys]
-            rows = list(zip(*columns, strict=True))
-            start = 0
-            for i in range(1, len(rows) + 1):
-                if i == len(rows) or rows[i] != rows[start]:
-                    yield rows[start], batch.slice(start, i - start)
-                    start = i
-
-    for key, group in itertools.groupby(pieces(), key=lambda x: x[0]):
-        yield key, (piece for _, piece in group)
-
-
-def stored_size(spark: SparkSession, df: DataFrame) -> int:
-    """Bytes of the files that ``df`` reads, 0 where it reads none."""
-    return sum(hadoop_path(spark, f)[0].getContentSummary(hadoop_path(spark, f)[1]).getLength() for f in _roots(df))
-
-
-def _roots(df: DataFrame) -> list[str]:
-    files = df.inputFiles()
-    return sorted({f.rsplit("/", 1)[0] for f in files}) if len(files) > 1 else files
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

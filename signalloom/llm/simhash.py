@@ -9,8 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from signalloom.llm.common import map_batches, shuffle_partitions, whole_text
+from signalloom.llm.common import map_batches, shuffle_partitions, slices, whole_text
 from signalloom.llm.components import components
 from signalloom.operators.staging import staged
 
@@ -269,6 +270,16 @@ def fingerprint_links(fps: DataFrame, piece: int = PIECE) -> DataFrame:
     return found.where("key is null").union(across.where("key is null")).select("a", "b").distinct()
 
 
+def grouped(documents: DataFrame, shingle: int = SHINGLE, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of all rows, and (fp, root, component_id) of all distinct fingerprints, both written."""
+    docs = staged(fingerprinted(documents, shingle), "fingerprints")
+    least = staged(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    linked = components(fingerprint_links(least.select("fp"), piece))
+    rooted = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return docs, staged(rooted.join(ids, "root").select("fp", "root", "component_id"), "mapping")
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, piece: int = PIECE) -> DataFrame:
     """(doc_id, fp, root, component_id) for every row of ``documents``.
 
@@ -277,24 +288,35 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, piece: int = P
     Null and wordless texts share fingerprint zero, which is linked like any other. Repeated rows stay rows. Null
     doc_ids are never the smallest; a component of null ids only has a null id. An empty table gives no rows.
     """
-    docs = staged(fingerprinted(documents, shingle), "fingerprints")
-    least = docs.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    least = staged(least, "distinct")
-    linked = components(fingerprint_links(least.select("fp"), piece))
-    rooted = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    mapping = staged(rooted.join(ids, "root").select("fp", "root", "component_id"), "mapping")
+    docs, mapping = grouped(documents, shingle, piece)
     return docs.join(mapping, "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
-    """One document of each component, the one of the smallest id, with all its columns."""
-    groups = near_duplicates(documents)
-    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"), "root").distinct()
-    # Null ids name no document: of components that have nothing else, one row each is kept by its fingerprint.
-    ids = kept.where("kept_id is not null").select("kept_id")
-    rows = documents.join(ids, documents["doc_id"].cast("long") == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return rows
+def deduplicated(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of ``documents`` for each component, one of the smallest id, with all its columns.
+
+    Of rows that share that id and the fingerprint one is kept; a component without ids keeps one row too.
+    """
+    docs, mapping = grouped(documents, shingle)
+    kept = (
+        docs.join(mapping, "fp")
+        .where("doc_id <=> component_id")
+        .groupBy("root")
+        .agg(F.min("fp").alias("kept_fp"), F.first("component_id").alias("kept_id"))
+        .drop("root")
+    )
+    own = "fingerprint_of_row"
+
+    def run(batches):
+        for batch in slices(batches):
+            data = ((x or "").encode("utf-8", "surrogatepass") for x in batch.column("text").to_pylist())
+            fps = np.frombuffer(b"".join(fingerprint(x, shingle) for x in data), ">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], [*batch.schema.names, own])
+
+    schema = T.StructType([*documents.schema.fields, T.StructField(own, T.LongType())])
+    rows = documents.mapInArrow(run, schema)
+    same = (rows[own] == kept["kept_fp"]) & rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
 
 
 def digest(documents: DataFrame) -> DataFrame:
