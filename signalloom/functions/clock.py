@@ -51,5 +51,5 @@ def minutes_between(earlier: Column, later: Column) -> Column:
 
 
 def trailing(at: Column, now: Column, n_days: int) -> Column:
-    """True inside the last ``n_days`` before ``now``; the lower bound is inclusive."""
-    return at >= now - days(n_days)
+    """True inside the last ``n_days`` up to ``now``, both bounds included: what comes later isn't known yet."""
+    return at.between(now - days(n_days), now)

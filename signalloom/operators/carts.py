@@ -108,8 +108,12 @@ def conversion_lags(
 ) -> DataFrame:
     """Converted carts with the minutes from first add to last completed checkout.
 
-    Only carts completed in the last ``n_days`` before ``as_of``; all of them with ``None``.
+    Only carts completed in the last ``n_days`` up to ``as_of``, judged by the events until then; all of them
+    with ``None``.
     """
+    if n_days is not None:
+        now = instant_like(events, "event_timestamp", as_of)
+        events = events.where(F.col("event_timestamp") <= now)
     kind, at = F.col("event_type"), F.col("event_timestamp")
     per_cart = (
         events.where(kind.isin(names.add, names.complete) & F.col("cart_id").isNotNull())
@@ -121,7 +125,6 @@ def conversion_lags(
         .where(F.col("checkout_complete_at").isNotNull())
     )
     if n_days is not None:
-        now = instant_like(events, "event_timestamp", as_of)
         per_cart = per_cart.where(trailing(F.col("checkout_complete_at"), now, n_days))
     return per_cart.withColumn(
         "lag_minutes", minutes_between(F.col("first_add_at"), F.col("checkout_complete_at"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from signalloom.functions.clock import AsOf, instant_like, trailing
 from signalloom.functions.scoring import blend, deadline_pressure, either
 from signalloom.model import TRAILING_DAYS, OrderStates, RiskPolicy
-from signalloom.operators.staging import broadcast_if_small
+from signalloom.operators.staging import broadcast_if_small, staged, staged_with_size
 
 
 def promised_open_orders(orders: DataFrame, states: OrderStates = OrderStates()) -> DataFrame:
@@ -38,14 +38,14 @@ def orders_with_backorder(order_items: DataFrame, inventory: DataFrame, open_ids
 
     Articles on back order are usually few: they are then broadcast and the order lines are
     reduced in their scan, so that only hits are shuffled. Otherwise the lines are first reduced
-    to the open orders (a shuffle by order, which no article can make uneven), and adaptive
-    execution splits hot articles in the join that follows.
+    to the open orders (a shuffle by order, which no article can make uneven) and written, and adaptive
+    execution splits hot articles in the join that follows: both its sides are plain tables.
     """
-    skus = backordered_skus(inventory)
-    bounded = broadcast_if_small(skus)
+    skus, size = staged_with_size(backordered_skus(inventory), "backordered-skus")
+    bounded = broadcast_if_small(skus, size)
     lines = order_items.select("order_id", "sku")
     if bounded is skus:
-        lines = lines.join(open_ids.select("order_id"), "order_id", "left_semi")
+        lines = staged(lines.join(open_ids.select("order_id"), "order_id", "left_semi"), "open-lines")
     return lines.join(bounded, "sku", "left_semi").select("order_id").distinct()
 
 

@@ -13,9 +13,9 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str, spread: str) -> DataFr
 
     Rows without a key cannot match, yet would all be shuffled to the same task. They are joined
     on ``spread`` (any high-cardinality column) instead, and whatever that meets is discarded.
-    The dimension keeps its key as it is, so one that was just aggregated by it is not shuffled
-    again. The join takes no hint: Spark broadcasts a side it knows to be small, and adaptive
-    execution splits the partitions of hot keys on the left.
+    The join takes no hint: Spark broadcasts a side it knows to be small, and adaptive execution
+    splits the partitions of hot keys on the left. It can do so only if the dimension comes straight
+    from a table; one that was aggregated has to be ``staged`` first.
     """
     found = [c for c in dimension.columns if c != key]
     right = dimension.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_d_{c}") for c in found])
@@ -52,15 +52,11 @@ def orders_by_origin(orders: DataFrame) -> DataFrame:
 def rows_of_recent_carts(events: DataFrame, recent: Column) -> DataFrame:
     """Whole history of the carts that have at least one event for which ``recent`` holds.
 
-    The ids come from the recent partitions alone. When they are few enough to broadcast, the
-    history is reduced in its scan. When they are not, the history is returned as it is: sorting
-    raw rows by cart just to drop some would cost more than the aggregation that follows, which
-    drops the same carts by their last activity.
+    The ids come from the recent partitions alone, and are written once. When they are few enough to
+    broadcast, the history is reduced in its scan; otherwise both sides are shuffled, and adaptive
+    execution splits hot carts.
     """
     ids, size = staged_with_size(
         events.where(recent).select(F.col("cart_id").alias("_recent_id")).distinct(), "recent-carts"
     )
-    bounded = broadcast_if_small(ids, size)
-    if bounded is ids:
-        return events
-    return events.join(bounded, F.col("cart_id").eqNullSafe(F.col("_recent_id")), "left_semi")
+    return events.join(broadcast_if_small(ids, size), F.col("cart_id").eqNullSafe(F.col("_recent_id")), "left_semi")

@@ -39,7 +39,7 @@ def score_carts(
     carts: DataFrame, orders: DataFrame, cap: Column, states: OrderStates, policy: CartPolicy
 ) -> DataFrame:
     """Abandoned carts with their three part scores and the priority."""
-    known = prior_order_counts(orders, counted_orders(states, policy))
+    known = staged(prior_order_counts(orders, counted_orders(states, policy)), "order-counts")
     with_history = lookup(carts, known, "customer_id", spread="cart_id")
     scored = with_history.withColumns(
         {
@@ -68,7 +68,7 @@ def cart_recovery_signal(
     states: OrderStates = OrderStates(),
     percentile_method: str = "approx",
 ) -> DataFrame:
-    """One row per abandoned cart.
+    """One row per abandoned cart, judged by the events up to ``as_of``.
 
     With an ``event_date`` to prune by, the carts active within the horizon are looked up first and
     only their history is aggregated. The abandoned carts are needed twice, for the percentile and
@@ -76,6 +76,7 @@ def cart_recovery_signal(
     that table. The percentile comes back as a scalar subquery, not as a join.
     """
     now = instant_like(events, "event_timestamp", as_of)
+    events = events.where(F.col("event_timestamp") <= now)
     horizon = max(policy.stale_days, policy.percentile_days or 0)
     if "event_date" in events.columns:
         since = now - days(horizon)

@@ -178,7 +178,7 @@ def recoverable_revenue_by_day(
     caps = percentile(
         carts, "recoverable_cart_value", policy.value_percentile, by=["metric_date"], method=method, name="_cap"
     )
-    known = prior_order_counts(orders, counted_orders(states, policy))
+    known = staged(prior_order_counts(orders, counted_orders(states, policy)), "order-counts")
     cap = F.coalesce(F.nullif(F.col("_cap"), F.lit(0.0)), F.lit(1.0))
     # One row per day of the range: its size is bounded by the calendar.
     priced = lookup(carts, known, "customer_id", spread="cart_id").join(F.broadcast(caps), "metric_date")

@@ -23,8 +23,6 @@ RUNTIME_SETTINGS = {
 }
 
 SHUFFLE_BYTES = 256 * 1024**2
-MOST_SHUFFLE_PARTITIONS = 100_000
-LARGE_INPUT_BYTES = 10 * 1024**4
 
 
 def build_session(app_name: str = "signalloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,17 +47,15 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the number of shuffle partitions to one per 256 MB of input, and scan larger splits.
+    """Raise the number of shuffle partitions to one per 256 MB of input.
 
     The number is only ever raised: adaptive execution joins small partitions again, but it cannot
     split an aggregation's partition that is too large. Returns the number in effect.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, min(math.ceil(input_bytes / SHUFFLE_BYTES), MOST_SHUFFLE_PARTITIONS))
+    wanted = max(current, math.ceil(input_bytes / SHUFFLE_BYTES))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", wanted)
-    if input_bytes > LARGE_INPUT_BYTES:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "512m")
     return wanted
 
 

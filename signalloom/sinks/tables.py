@@ -1,12 +1,15 @@
 """Writes to parquet tables: append, snapshot, and merges on a key.
 
 Without a table format a merge is a rewrite. It is kept to the partitions it touches: Spark's
-dynamic partition overwrite writes beside the table and swaps whole partitions in at commit. Every
-merge gives the same table when it is run again, so a job that died is simply repeated.
+dynamic partition overwrite writes beside the table and moves whole partitions in at commit. A merge
+that dies before its commit leaves the table as it was and is simply repeated. The commit itself is not
+atomic: if the driver dies in the middle of it, a partition that was removed and not yet moved in has lost
+its stored rows, and has to be restored from the layer below.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from functools import reduce
@@ -14,6 +17,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalloom.operators.dedupe import latest_per_key
 from signalloom.operators.staging import BROADCAST_BYTES, broadcast_if_small, size_of, staged
@@ -32,9 +36,47 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not child.getPath().getName().startswith(("_", ".")) for child in fs.listStatus(where))
 
 
+LAYOUT = "_layout.json"
+
+
+def stored_layout(spark: SparkSession, path: str) -> dict | None:
+    """Keys, number of buckets and schema of a merged table, as kept beside its files; None without them."""
+    fs, where = hadoop_path(spark, f"{path}/{LAYOUT}")
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _keep_layout(spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int, schema: T.StructType) -> None:
+    fs, where = hadoop_path(spark, f"{path}/{LAYOUT}")
+    layout = {"keys": list(keys), "n_buckets": n_buckets, "schema": json.loads(schema.json())}
+    out = fs.create(where, True)
+    out.write(json.dumps(layout).encode())
+    out.close()
+
+
+def _agreed_schema(stored: T.StructType, source: T.StructType, path: str) -> T.StructType:
+    """The stored columns and then the source's new ones; a column that changes its type is an error."""
+    types = {f.name: f.dataType for f in stored.fields}
+    for f in source.fields:
+        if f.name in types and types[f.name] != f.dataType:
+            raise ValueError(f"{path} stores {f.name} as {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    return T.StructType([*stored.fields, *(f for f in source.fields if f.name not in types)])
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    layout = stored_layout(spark, path)
+    reader = spark.read
+    return (reader.schema(T.StructType.fromJson(layout["schema"])) if layout else reader).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table without its storage columns."""
-    return spark.read.parquet(path).drop(BUCKET)
+    """A stored table without its storage columns, in the schema kept beside it if there is one."""
+    return _stored(spark, path).drop(BUCKET)
 
 
 def write_partitions(
@@ -86,7 +128,8 @@ def upsert(
     """Rows of ``source`` replace those with the same key and are added otherwise. Null keys match.
 
     The table is split by a hash of the key, so a merge rewrites only the buckets its keys fall
-    in. ``n_buckets`` is chosen once per table. ``source`` must hold a key once, else the result
+    in. ``n_buckets`` counts when the table is made; number, keys and schema are then kept beside it. New
+    columns are added, a column that changes its type is an error. ``source`` must hold a key once, else the result
     would depend on row order: that is an error, unless ``newest`` names a column whose highest
     value wins. ``is_written`` says that ``source`` reads a written table and need not be written
     once more to be read several times.
@@ -98,6 +141,11 @@ def upsert(
     if newest is not None:
         ties = [c for c, t in source.dtypes if c != newest and "<" not in t]
         source = latest_per_key(source, keys, newest, ties)
+    layout = stored_layout(spark, path) if table_exists(spark, path) else None
+    if layout is not None:
+        if layout["keys"] != list(keys):
+            raise ValueError(f"{path} is merged by {', '.join(layout['keys'])}, not by {', '.join(keys)}")
+        n_buckets = layout["n_buckets"]
     source = source.withColumn(BUCKET, key_bucket(keys, n_buckets))
     if not is_written or newest is not None:
         source = staged(source, "upsert-source")
@@ -113,11 +161,15 @@ def upsert(
         return
     if facts["most"] > 1:
         raise ValueError(f"source of the merge into {path} repeats a key ({', '.join(keys)})")
+    # The layout goes first: a column that no file has yet reads as null, one that it lacks would be lost.
     if not table_exists(spark, path):
+        _keep_layout(spark, path, keys, n_buckets, source.schema)
         write_partitions(source, path, [BUCKET], replace_touched=True)
         return
 
-    stored = spark.read.parquet(path).where(F.col(BUCKET).isin(facts["buckets"]))
+    schema = _agreed_schema(_stored(spark, path).schema, source.schema, path)
+    _keep_layout(spark, path, keys, n_buckets, schema)
+    stored = _stored(spark, path).where(F.col(BUCKET).isin(facts["buckets"]))
     crowded = len(stored.inputFiles()) > MOST_FILES * len(facts["buckets"])
     if facts["size"] <= broadcast_bytes:
         kept = without_keys(stored, F.broadcast(source), keys)

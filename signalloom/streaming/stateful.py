@@ -15,10 +15,22 @@ def first_copies(
     stream: DataFrame,
     keys: Sequence[str] = ("cart_id", "event_type", "event_timestamp"),
     at: str = "event_timestamp",
-    horizon: str = "2 hours",
+    horizon: str = "1 day",
+    keyed: str = "cart_id",
+    own_id: str = "event_id",
 ) -> DataFrame:
-    """The first copy of each key within ``horizon``, across batches and restarts."""
-    return stream.withWatermark(at, horizon).dropDuplicatesWithinWatermark(list(keys))
+    """The first copy of each key within ``horizon``, across batches and restarts.
+
+    Rows without ``keyed`` are the same event only if they share ``own_id`` too. Rows that come later than
+    the horizon are dropped; its default is the age that the quality rules accept.
+    """
+    apart = F.when(F.col(keyed).isNull(), F.col(own_id))
+    return (
+        stream.withColumn("_apart", apart)
+        .withWatermark(at, horizon)
+        .dropDuplicatesWithinWatermark([*keys, "_apart"])
+        .drop("_apart")
+    )
 
 
 def sessions(

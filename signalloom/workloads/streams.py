@@ -83,14 +83,15 @@ def drained(spark, stream):
 
 @workload(
     with_views("clickstream", "retried")
-    + f"""SELECT DISTINCT cart_id, event_type, {sql_time("event_timestamp", "event_timestamp")} FROM retried
-    WHERE cart_id IS NOT NULL"""
+    + f"""SELECT DISTINCT cart_id, event_type, {sql_time("event_timestamp", "event_timestamp")},
+    CASE WHEN cart_id IS NULL THEN event_id END AS own_id FROM retried"""
 )
 def stream_dedupe(spark, sf_dir):
-    rows = retried_clickstream(spark, sf_dir).where(F.col("cart_id").isNotNull())
+    rows = retried_clickstream(spark, sf_dir)
     rows = rows.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
     kept = drained(spark, stateful.first_copies(as_stream(spark, rows)))
-    return presented(kept.select("cart_id", "event_type", "event_timestamp"))
+    own = F.when(F.col("cart_id").isNull(), F.col("event_id")).alias("own_id")
+    return presented(kept.select("cart_id", "event_type", "event_timestamp", own))
 
 
 @workload(

@@ -134,7 +134,7 @@ def test_recent_carts_keep_their_whole_history(spark, monkeypatch):
     expected = rows(abandoned_carts(cart_state(df), NOW))
     assert rows(abandoned_carts(cart_state(reduced), NOW)) == expected
     monkeypatch.setattr(staging.broadcast_if_small, "__defaults__", (None, 0))
-    assert joins.rows_of_recent_carts(df, recent) is df
+    assert rows(joins.rows_of_recent_carts(df, recent), "event_id") == [("e0",), ("e1",)]
 
 
 def test_the_signal_is_the_same_with_and_without_days_to_prune_by(spark):
@@ -203,3 +203,18 @@ def test_time_zone_of_the_evaluation_time_is_honoured(spark):
     df = four_carts(spark).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
     shifted = NOW.replace(tzinfo=dt.timezone.utc).astimezone(dt.timezone(dt.timedelta(hours=5)))
     assert rows(abandoned_carts(cart_state(df), shifted), "cart_id") == [("A",)]
+
+
+def test_a_past_close_sees_nothing_later(spark):
+    df = events(
+        spark,
+        ("A", "CA", "add_to_cart", ago(minutes=45), 50.0, 1),
+        ("A", "CA", "checkout_complete", ago(minutes=-10), None, None),
+        ("B", "CB", "add_to_cart", ago(minutes=45), 20.0, 1),
+        ("B", "CB", "add_to_cart", ago(minutes=-5), 20.0, 1),
+    )
+    orders = spark.createDataFrame([], "customer_id STRING, status STRING")
+    signal = cart_recovery_signal(df, orders, NOW)
+    assert rows(signal, "cart_id", "recoverable_cart_value") == [("A", 50.0), ("B", 20.0)]
+    assert conversion_lags(df, NOW).isEmpty()
+    assert conversion_lags(df, NOW + dt.timedelta(hours=1)).count() == 1

@@ -1,7 +1,9 @@
 from conftest import NOW, ago, rows
 from test_sources import write_lines
 
-from signalloom.plans.refresh import refresh
+from pyspark.sql import functions as F
+
+from signalloom.plans.refresh import content_id, refresh
 from signalloom.session import scratch_path
 from signalloom.sinks.audit import read_audit_log
 from signalloom.sinks.tables import read_snapshot, read_table, write_partitions
@@ -49,3 +51,9 @@ def test_extracts_become_signals_and_a_rerun_changes_nothing(spark):
     assert log.where("status = 'success'").count() == log.count() == 2 * 15
     orders = log.where("job_name = 'conform_orders'").first()
     assert (orders.row_count, orders.quarantined_count) == (1, 1)
+
+
+def test_runs_without_an_id_keep_each_others_quarantine(spark):
+    one, other = (spark.createDataFrame([(i, "x", str(i))], "k INT, v STRING, _batch STRING") for i in (1, 2))
+    again = one.withColumn("_batch", F.lit("another run"))
+    assert content_id(one) == content_id(again) != content_id(other)

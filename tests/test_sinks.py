@@ -177,3 +177,19 @@ def test_broadcast_only_within_the_limit(spark):
     assert staging.broadcast_if_small(df, limit_bytes=10_000) is not df
     long_text = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
     assert staging.broadcast_if_small(long_text, limit_bytes=9_000) is long_text
+
+
+def test_upsert_keeps_columns_and_buckets_and_refuses_other_types(spark):
+    path = scratch_path(spark, "layout")
+    first = spark.createDataFrame([(i, "a") for i in range(20)], "k INT, v STRING")
+    tables.upsert(spark, first, path, ["k"], n_buckets=4)
+    tables.upsert(spark, spark.createDataFrame([(3, "b", 7)], "k INT, v STRING, extra INT"), path, ["k"], n_buckets=64)
+    tables.upsert(spark, spark.createDataFrame([(i, "c") for i in range(20) if i != 3], "k INT, v STRING"), path, ["k"])
+    stored = tables.read_table(spark, path)
+    assert stored.count() == 20
+    assert rows(stored.where("k = 3"), "k", "v", "extra") == [(3, "b", 7)]
+    with pytest.raises(ValueError, match="stores k as int"):
+        tables.upsert(spark, spark.createDataFrame([(5, "x")], "k LONG, v STRING"), path, ["k"])
+    with pytest.raises(ValueError, match="merged by k"):
+        tables.upsert(spark, first, path, ["v"])
+    assert tables.read_table(spark, path).count() == 20

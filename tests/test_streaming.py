@@ -147,3 +147,18 @@ def test_a_session_is_emitted_once_the_watermark_passes_it(spark):
     assert feed(*[("s", BASE + dt.timedelta(minutes=m)) for m in times]).count() == 0
     out = feed(("late", BASE + dt.timedelta(days=1)))
     assert rows(out.where("session_id = 's'"), "n_events") == [(1,), (2,)]
+
+
+def test_first_copies_keep_distinct_rows_without_a_cart(spark):
+    root = scratch_path(spark, "stream")
+    schema = "event_id STRING, cart_id STRING, event_type STRING, event_timestamp TIMESTAMP"
+    early = BASE - dt.timedelta(hours=5)
+    batches = [
+        [("a", None, "page_view", BASE), ("b", None, "page_view", BASE), ("c", "c1", "add_to_cart", BASE)],
+        [("a", None, "page_view", BASE), ("d", "c1", "add_to_cart", early), ("e", "c1", "add_to_cart", BASE)],
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(f"{root}/in")
+        stream = stateful.first_copies(spark.readStream.schema(schema).parquet(f"{root}/in"))
+        stateful.start_append(stream, f"{root}/out", f"{root}/cp").awaitTermination()
+    assert rows(spark.read.parquet(f"{root}/out"), "event_id") == [("a",), ("b",), ("c",), ("d",)]
