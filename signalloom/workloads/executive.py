@@ -19,7 +19,7 @@ BOTH_SIGNALS = ("clickstream", "cart_state", "abandoned", "shop_orders", "cart_s
 REVENUE = "(SELECT coalesce(sum(recoverable_cart_value), 0.0) FROM cart_signal WHERE priority_score >= 60)"
 DELAYED = "(SELECT coalesce(sum(order_total_usd), 0.0) FROM risk_signal WHERE fulfillment_risk_score >= 60)"
 RATE = f"""(SELECT avg(CAST(CAST(delivered_at AS DATE) <= promised_delivery_date AS INTEGER)) FROM shipments
-    WHERE delivered_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY)"""
+    WHERE delivered_at BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{AS_OF}')"""
 VIEWS["lags"] = """
     SELECT cart_id, min(event_timestamp) FILTER (event_type = 'click') AS first_add_at,
         max(event_timestamp) FILTER (event_type = 'purchase') AS checkout_complete_at,

@@ -129,7 +129,7 @@ def carrier_scorecard(spark, sf_dir):
 @workload(
     with_views("shop_orders", "shipments")
     + f"""SELECT round(avg(CAST(CAST(delivered_at AS DATE) <= promised_delivery_date AS INTEGER)), 6) AS on_time_delivery_rate
-    FROM shipments WHERE delivered_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY"""
+    FROM shipments WHERE delivered_at BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{AS_OF}'"""
 )
 def on_time_rate(spark, sf_dir):
     return presented(fulfillment.on_time_rate(retail.shipments(spark, sf_dir), AS_OF))
