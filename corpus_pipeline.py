@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalloom.llm import decontaminate, mixing, pii, simhash, toxicity
+from signalloom.llm import decontaminate, mixing, near_copies, pii, toxicity
 from signalloom.llm.common import table
 from signalloom.operators.staging import staged
 
@@ -18,8 +18,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash neighbours, that of the smallest id."""
-    return simhash.deduplicated(docs)
+    """One document of each group of near copies, that of the smallest id."""
+    return near_copies.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -273,11 +273,16 @@ def fingerprint_links(fps: DataFrame, piece: int = PIECE) -> DataFrame:
 def grouped(documents: DataFrame, shingle: int = SHINGLE, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of all rows, and (fp, root, component_id) of all distinct fingerprints, both written."""
     docs = staged(fingerprinted(documents, shingle), "fingerprints")
+    return docs, fingerprint_groups(docs, piece)
+
+
+def fingerprint_groups(docs: DataFrame, piece: int = PIECE) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints in the written ``docs`` (doc_id, fp), written as well."""
     least = staged(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     linked = components(fingerprint_links(least.select("fp"), piece))
     rooted = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return docs, staged(rooted.join(ids, "root").select("fp", "root", "component_id"), "mapping")
+    return staged(rooted.join(ids, "root").select("fp", "root", "component_id"), "mapping")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, piece: int = PIECE) -> DataFrame:

@@ -18,6 +18,7 @@ from signalloom.llm import (
     fingerprints,
     html_text,
     mixing,
+    near_copies,
     pii,
     quality,
     simhash,
@@ -488,6 +489,66 @@ def test_every_document_is_compared_with_the_next(spark, docs):
     assert own[200] == own[201] == own[0] and own[300] == own[301] == "0" * 256
 
 
+# Near copies
+
+
+def five_word_sets(texts):
+    out = {}
+    for t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        out[t] = frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+    return out
+
+
+def near_copy_groups(texts):
+    """Text -> all texts that links of similarity 0.8 or more reach; texts without words reach each other."""
+    sets, rest, out = five_word_sets(texts), set(texts), {}
+    while rest:
+        group, todo = set(), [rest.pop()]
+        while todo:
+            x = todo.pop()
+            group.add(x)
+            a = sets[x]
+            near = {y for y in rest if a == sets[y] or len(a & sets[y]) >= 0.8 * len(a | sets[y]) > 0}
+            rest -= near
+            todo += near
+        out |= {x: group for x in group}
+    return out
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"edit{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("piece_bytes", [near_copies.PIECE_BYTES, 3000])
+def test_near_copies_equal_brute_force(spark, piece_bytes):
+    rng = random.Random(8)
+    data = corpus()
+    for start in range(400, 460, 10):
+        base = text_of(rng, rng.randrange(60, 250))
+        n = len(base.split())
+        # Copies of an inner text are copies of each other through it alone; heavier edits are no copies.
+        data += [(start + 9 - k, edited(rng, base, k * n // 70), "s1") for k in range(6)]
+    hub = text_of(rng, 120)
+    data += [(500 + k, edited(rng, hub, 2), "s0") for k in range(25)] + [(600, hub, "s0")]
+    passage = text_of(rng, 70)
+    data += [(700 + k, f"{passage} {text_of(rng, 30)}", "s2") for k in range(20)]
+    groups = near_copy_groups({t for _, t, _ in data})
+    least = {}
+    for i, t, _ in data:
+        key = frozenset(groups[t])
+        least[key] = min((x for x in (least.get(key), i) if x is not None), default=None)
+    docs = frame(spark, data).repartition(3)
+    kept = near_copies.deduplicated(docs, piece_bytes)
+    assert kept.columns == docs.columns
+    assert sorted(kept.toPandas()["doc_id"].tolist()) == sorted(least.values())
+    assert len(groups[hub]) == 26 and len(groups[data[-1][1]]) == 1
+    assert near_copies.deduplicated(docs.where("false")).isEmpty()
+
+
 # The pipeline
 
 
