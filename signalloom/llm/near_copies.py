@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from signalloom.llm.common import map_batches, whole_text
 from signalloom.llm.components import components
-from signalloom.llm.simhash import SEED, fingerprint, fingerprint_groups
+from signalloom.llm.simhash import SEED, fingerprint_groups, majority
 from signalloom.operators.staging import staged
 
 WORDS = 5
@@ -26,33 +26,66 @@ BANDS, ROWS = 36, 7
 #: Min-hashes that are compared before the shingles are, and how many have to agree. At the threshold 51 of 64 do
 #: on average; fewer than 35 do once in a million pairs.
 SKETCH, AGREE = 64, 35
+#: Bytes of a text whose words are hashed at once.
+BLOCK_BYTES = 1 << 20
 #: Bytes of shingles that one piece of a group holds; pieces are compared in pairs.
 PIECE_BYTES = 4 << 20
 
 _RANDOM = np.random.default_rng(SEED)
 _FLIP = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _FACTOR = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+#: Of the word hash: a number for each byte, the factor of places, and the factors that spread bits.
+_CODE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASE, *_SPREAD = _RANDOM.integers(0, 1 << 64, 3, dtype=np.uint64) | np.uint64(1)
+_IN_WORD = np.array([b not in b" \t\n\v\f\r" for b in range(256)])
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A hash of each word, A-Z in lower case; long texts are worked on in blocks that end between words."""
+    codes, found, start = np.frombuffer(data.lower(), np.uint8), [np.empty(0, np.uint64)], 0
+    while start < len(codes):
+        end = min(len(codes), start + BLOCK_BYTES)
+        while end < len(codes) and _IN_WORD[codes[end]]:
+            end += 1
+        block = codes[start:end]
+        start, inside = end, np.flatnonzero(_IN_WORD[block])
+        if len(inside):
+            first = np.flatnonzero(np.diff(inside, prepend=-2) > 1)
+            place = np.arange(len(inside)) - np.repeat(first, np.diff(first, append=len(inside)))
+            powers = np.cumprod(np.full(place.max() + 1, _BASE))
+            found.append(_mixed(np.add.reduceat(_CODE[block[inside]] * powers[place], first)))
+    return np.concatenate(found)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the differences of 64-bit numbers over all bits, one to one."""
+    for factor in _SPREAD:
+        x = (x ^ (x >> np.uint64(32))) * factor
+    return x ^ (x >> np.uint64(32))
+
+
+def shingle_hashes(data: bytes, words: int = WORDS) -> np.ndarray:
+    """A hash of each shingle, repeats included; shorter texts are one shingle, wordless ones have none."""
+    each = word_hashes(data)
+    wide = min(words, len(each))
+    out = np.zeros(len(each) - wide + 1 if wide else 0, np.uint64)
+    for i in range(wide):
+        out = out * _BASE + each[i : i + len(out)]
+    return _mixed(out)
 
 
 def shingle_set(data: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; shorter texts are one shingle, wordless ones have none."""
-    parts = data.lower().split()
-    if not parts:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(parts)
-    if len(parts) <= words:
-        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    starts = [0, *itertools.accumulate(len(w) + 1 for w in parts)]
-    digest = xxhash.xxh64_digest
-    hashed = b"".join([digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[words:])])
-    return np.unique(np.frombuffer(hashed, ">u8").astype(np.uint64))
+    """Sorted distinct hashes of the shingles."""
+    return np.unique(shingle_hashes(data, words))
 
 
 def min_hashes(shingles: np.ndarray) -> np.ndarray:
     out = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
     high = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(high), 256):
-        np.minimum(out, ((high[at : at + 256, None] ^ _FLIP) * _FACTOR).min(axis=0), out=out)
+        block = high[at : at + 256, None] ^ _FLIP
+        block *= _FACTOR
+        np.minimum(out, block.min(axis=0), out=out)
     return out
 
 
@@ -63,10 +96,11 @@ def described(documents: DataFrame) -> DataFrame:
         fps, nodes, keys, sketches, sets = [], [], [], [], []
         for text in batch.column("text").to_pylist():
             data = text.encode("utf-8", "surrogatepass")
-            found = shingle_set(data)
+            hashed = shingle_hashes(data)
+            found = np.unique(hashed)
             least = min_hashes(found)
             bands = least.reshape(BANDS, ROWS)
-            fps.append(fingerprint(data))
+            fps.append(majority(hashed.astype(">u8").tobytes()))
             nodes.append(xxhash.xxh64_digest(found.tobytes(), SEED))
             keys.append([xxhash.xxh64_digest(b.tobytes(), n) for n, b in enumerate(bands)] if len(found) else [])
             sketches.append(least[:SKETCH].astype(np.uint8).tobytes())

@@ -38,13 +38,16 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> bytes:
         return xxhash.xxh64_digest(joined, SEED)
     starts = [0, *itertools.accumulate(len(w) + 1 for w in words)]
     digest = xxhash.xxh64_digest
-    hashed = b"".join([digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[shingle:])])
-    n = len(hashed) // 8
+    return majority(b"".join([digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[shingle:])]))
+
+
+def majority(hashed: bytes) -> bytes:
+    """The bits that are set in over half of the hashes, of eight bytes each; zero without any."""
+    rows = np.frombuffer(hashed, np.uint8).reshape(-1, 8)
     counts = np.zeros(64, np.int64)
-    rows = np.frombuffer(hashed, np.uint8).reshape(n, 8)
-    for at in range(0, n, 8192):
+    for at in range(0, len(rows), 8192):
         counts += np.unpackbits(rows[at : at + 8192], axis=1).sum(axis=0, dtype=np.int32)
-    return np.packbits(counts * 2 > n).tobytes()
+    return np.packbits(counts * 2 > len(rows)).tobytes()
 
 
 def fingerprinted(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
