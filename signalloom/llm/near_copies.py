@@ -174,12 +174,14 @@ def verified_links(rows: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame
     groups = fingerprint_groups(rows.select("doc_id", "fp")).select("fp", F.col("root").alias("key"))
     some = rows.where("size(keys) > 0")
     by_bits = some.select("node", "fp").distinct().join(groups, "fp").select("node", "key")
-    filed = staged(some.select("node", F.explode("keys").alias("key")).distinct().union(by_bits), "filed")
+    by_bands = some.select("node", "keys").dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
+    filed = staged(by_bands.union(by_bits), "filed")
     ranges = filed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     shared = staged(ranges.where("a < z").select("key", "a"), "shared")
     candidates = components(filed.join(shared, "key").select("a", F.col("node").alias("b")))
 
-    sets = some.select("node", "sketch", "shingles").join(candidates, "node").dropDuplicates(["node"])
+    # Hashing the short side spares sorting all shingles.
+    sets = some.select("node", "sketch", "shingles").join(candidates.hint("shuffle_hash"), "node").dropDuplicates(["node"])
     members = staged(sets, "members")
     pieces = F.ceil(F.sum(F.length("shingles") + SKETCH) / piece_bytes).cast("int")
     counts = staged(members.groupBy("root").agg(pieces.alias("pieces")), "pieces")
@@ -203,13 +205,25 @@ def deduplicated(documents: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFr
     rows = staged(described(documents), "described")
     roots = staged(components(verified_links(rows, piece_bytes)), "roots")
     rooted = rows.select("doc_id", "text_hash", "node").join(roots, "node", "left")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
-    kept = (
-        rooted.groupBy(F.coalesce("root", "node").alias("group"))
+    group = F.coalesce("root", "node").alias("group")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("first")
+    kept = staged(
+        rooted.groupBy(group, "doc_id", "text_hash")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("group")
         .agg(first)
-        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"), F.col("first.n").alias("n")),
+        "kept",
     )
     own = "text_hash_of_row"
     marked = documents.withColumn(own, F.xxhash64(whole_text()))
-    same = (marked[own] == kept["kept_hash"]) & marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+
+    def among(kept: DataFrame) -> DataFrame:
+        same = (marked[own] == kept["kept_hash"]) & marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
+        return marked.join(kept.hint("shuffle_hash"), same, "left_semi")
+
+    # Only rows that are there more than once need their texts sorted.
+    once, repeated = among(kept.where("n = 1")), kept.where("n > 1")
+    if repeated.isEmpty():
+        return once.drop(own)
+    return once.union(among(repeated).dropDuplicates(["doc_id", own])).drop(own)
