@@ -6,6 +6,7 @@ can reach. Their neighbours are therefore joined by bands of min-hashes, and eve
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 import numpy as np
@@ -27,7 +28,7 @@ BANDS, ROWS = 36, 7
 #: on average; fewer than 35 do once in a million pairs.
 SKETCH, AGREE = 64, 35
 #: Bytes of a text whose words are hashed at once.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 16
 #: Bytes of shingles that one piece of a group holds; pieces are compared in pairs.
 PIECE_BYTES = 4 << 20
 
@@ -37,23 +38,32 @@ _FACTOR = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint3
 #: Of the word hash: a number for each byte, the factor of places, and the factors that spread bits.
 _CODE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASE, *_SPREAD = _RANDOM.integers(0, 1 << 64, 3, dtype=np.uint64) | np.uint64(1)
-_IN_WORD = np.array([b not in b" \t\n\v\f\r" for b in range(256)])
+_IN_WORD = bytes(b not in b" \t\n\v\f\r" for b in range(256))
+
+
+@functools.lru_cache(maxsize=2)
+def _places(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base, and their inverses."""
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, x)])) for x in (_BASE, inverse))
 
 
 def word_hashes(data: bytes) -> np.ndarray:
     """A hash of each word, A-Z in lower case; long texts are worked on in blocks that end between words."""
-    codes, found, start = np.frombuffer(data.lower(), np.uint8), [np.empty(0, np.uint64)], 0
-    while start < len(codes):
-        end = min(len(codes), start + BLOCK_BYTES)
-        while end < len(codes) and _IN_WORD[codes[end]]:
+    data, found, start = data.lower(), [np.empty(0, np.uint64)], 0
+    while start < len(data):
+        end = min(len(data), start + BLOCK_BYTES)
+        while end < len(data) and _IN_WORD[data[end]]:
             end += 1
-        block = codes[start:end]
-        start, inside = end, np.flatnonzero(_IN_WORD[block])
-        if len(inside):
-            first = np.flatnonzero(np.diff(inside, prepend=-2) > 1)
-            place = np.arange(len(inside)) - np.repeat(first, np.diff(first, append=len(inside)))
-            powers = np.cumprod(np.full(place.max() + 1, _BASE))
-            found.append(_mixed(np.add.reduceat(_CODE[block[inside]] * powers[place], first)))
+        block = data[start:end]
+        start = end
+        powers, inverses = _places(BLOCK_BYTES if len(block) <= BLOCK_BYTES else len(block))
+        inside = np.frombuffer(b"\0" + block.translate(_IN_WORD) + b"\0", np.uint8)
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        first, last = edges[::2], edges[1::2]
+        sums = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(_CODE[np.frombuffer(block, np.uint8)] * powers[: len(block)], out=sums[1:])
+        found.append(_mixed((sums[last] - sums[first]) * inverses[first]))
     return np.concatenate(found)
 
 
