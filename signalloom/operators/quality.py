@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.clock import AsOf, days, instant, minutes
 from signalloom.model import EventNames, OrderStates
+from signalloom.operators.joins import lookup
 from signalloom.operators.staging import staging_path
 
 FAIL, WARN = "fail", "warn"
@@ -115,6 +116,15 @@ def orphans(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return lost.withColumn(REASONS, F.array(F.lit(f"orphan_{key}")))
 
 
+def with_orphan_flag(df: DataFrame, known: DataFrame, key: str, spread: str, flag: str) -> DataFrame:
+    """``df`` with a column that is true where the key is set but not among ``known``, which has each key once.
+
+    Rows without the key are joined on ``spread``, a column of many values.
+    """
+    found = lookup(df, known.select(key, F.lit(True).alias(flag)), key, spread)
+    return found.withColumn(flag, F.col(key).isNotNull() & F.col(flag).isNull())
+
+
 def referenced(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key is among ``known``."""
     return df.join(known.select(key), key, "left_semi")
@@ -158,6 +168,11 @@ def clickstream_rules(
     ]
 
 
+def event_id_rule() -> Rule:
+    """For rows that are merged by their id: without one a resent row can't be told from the first."""
+    return Rule("missing_event_id", any_null("event_id"))
+
+
 def order_rules(states: OrderStates = OrderStates()) -> list[Rule]:
     not_cancelled = F.col("status") != states.cancelled
     return [

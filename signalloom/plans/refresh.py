@@ -44,11 +44,19 @@ class Conforming:
     keys: tuple[str, ...]
     standardize: Callable[[DataFrame], DataFrame]
     rules: Callable[[], list[quality.Rule]] = field(default=list)
-
-
-CONFORMINGS = [
-    Conforming(e.name, e.keys, STANDARD_FORMS[e.name], RULES.get(e.name, list)) for e in EXTRACTS
-]
+    #: The conformed table that a key refers to, for the full contract.
+    references: dict[str, str] = field(default_factory=dict)
+
+
+REFERENCES = {"orders": {"customer_id": "customers"}}
+#: In the order of the extracts, but for what others refer to, which goes first.
+CONFORMINGS = sorted(
+    (
+        Conforming(e.name, e.keys, STANDARD_FORMS[e.name], RULES.get(e.name, list), REFERENCES.get(e.name, {}))
+        for e in EXTRACTS
+    ),
+    key=lambda c: bool(c.references),
+)
 
 
 def ingest_extract(spark: SparkSession, lake: Lake, folder: str, extract: Extract, n_buckets: int = 64) -> None:
@@ -68,15 +76,34 @@ def content_id(rows: DataFrame) -> str:
 
 
 def conform_table(
-    spark: SparkSession, lake: Lake, table: Conforming, n_buckets: int = 64, only_run: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    table: Conforming,
+    n_buckets: int = 64,
+    only_run: str | None = None,
+    full_contract: bool = False,
 ) -> None:
-    """Check and merge one table. ``only_run`` limits it to the rows that this run ingested."""
+    """Check and merge one table. ``only_run`` limits it to the rows that this run ingested.
+
+    ``full_contract`` also puts aside rows whose keys refer to nothing that is known, and orders whose time isn't
+    near that of their ingestion; a first load of old orders would fail the latter.
+    """
     with audited(spark, lake, f"conform_{table.name}", "silver", table.name) as counts:
         rows = read_table(spark, lake.path("bronze", table.name))
         if only_run is not None:
             rows = rows.where(rows["_batch_run_id"] == only_run)
         with staging_area(spark, "conform"):
-            clean, bad = quality.split_once(table.standardize(rows), table.rules(), "checked")
+            rows, rules = table.standardize(rows), table.rules()
+            flags = []
+            if full_contract:
+                for key, other in table.references.items():
+                    known = read_table(spark, lake.path("silver", other))
+                    flags.append(f"_orphan_{key}")
+                    rows = quality.with_orphan_flag(rows, known, key, table.keys[0], flags[-1])
+                    rules.append(quality.Rule(f"orphan_{key}", F.col(flags[-1])))
+                if table.name == "orders":
+                    rules.append(quality.order_clock_rule(F.col("_bronze_ingested_at")))
+            clean, bad = (side.drop(*flags) for side in quality.split_once(rows, rules, "checked"))
             quarantine = lake.path("silver", f"{table.name}_quarantine")
             write_quarantine(bad, quarantine, spark.conf.get(RUN_ID_SETTING, None) or content_id(bad))
             clean, seen = counted(clean)
@@ -107,18 +134,26 @@ def refresh(
     states: OrderStates = OrderStates(),
     n_buckets: int = 64,
     method: str = "approx",
+    only_new: bool = False,
+    full_contract: bool = False,
 ) -> None:
     """Ingest and conform the extracts, publish both signals, and record the day's KPIs.
 
     The conformed clickstream is expected to be there: its stream runs on its own. Running the
     refresh again gives the same tables.
+
+    ``only_new`` conforms what this run ingests and not the whole landing tables again; the run then needs an
+    id of its own, under which it is also repeated if it dies. ``full_contract`` is that of ``conform_table``.
     """
+    only_run = spark.conf.get(RUN_ID_SETTING, None) if only_new else None
+    if only_new and only_run is None:
+        raise ValueError(f"set {RUN_ID_SETTING} to the id of this run")
     size_shuffles(spark, stored_bytes(spark, extracts_folder))
     for extract in extracts:
         ingest_extract(spark, lake, extracts_folder, extract, n_buckets)
     for table in CONFORMINGS:
         if table_exists(spark, lake.path("bronze", table.name)):
-            conform_table(spark, lake, table, n_buckets)
+            conform_table(spark, lake, table, n_buckets, only_run, full_contract)
 
     silver_folder = lake.path("silver", "clickstream_events").rsplit("/", 1)[0]
     size_shuffles(spark, stored_bytes(spark, silver_folder))

@@ -27,7 +27,8 @@ class Conform:
     the row. ``across_batches`` also removes retries that arrive in a later batch than the first
     copy; by default only the event id is compared with what is stored. ``copies_share_day`` looks
     for a stored event id on the event's own day only, which keeps the cost of a batch constant as
-    the table grows; it is right when a resent event keeps its time.
+    the table grows; it is right when a resent event keeps its time. ``require_event_id`` puts rows
+    without an id aside, which otherwise are stored again by each batch that resends them.
     """
 
     table_path: str
@@ -37,6 +38,7 @@ class Conform:
     past_days: int = 1
     across_batches: bool = False
     copies_share_day: bool = False
+    require_event_id: bool = False
     on_batch: Callable[[int, int, int], None] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -47,6 +49,8 @@ class Conform:
         landed = F.col("_bronze_ingested_at") if "_bronze_ingested_at" in batch.columns else None
         as_of = landed if self.as_of is None else self.as_of
         rules = quality.clickstream_rules(as_of, self.names, self.past_days)
+        if self.require_event_id:
+            rules.append(quality.event_id_rule())
         with staging_area(spark, f"conform-{batch_id}"):
             clean, bad = quality.split_once(standardize.clickstream(batch), rules, "checked")
             kept = dedupe.without_retries(clean).withColumn("_silver_processed_at", F.current_timestamp())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from signalloom.operators import fulfillment
+from signalloom.operators import fulfillment, standardize
 from signalloom.operators.measures import carrier_scorecard as scorecard
 from signalloom.plans import cart_recovery, fulfillment_risk, reports
 from signalloom.workloads import retail
@@ -95,16 +95,19 @@ def fulfillment_risk_signal(spark, sf_dir):
 
 
 @workload(
-    with_views(*RISK_VIEWS)
-    + f"""SELECT order_id, customer_id, carrier, {sql_day("promised_delivery_date", "promised_delivery_date")},
+    with_views(*RISK_VIEWS, "customers", "std_customers")
+    + f"""SELECT order_id, s.customer_id, CASE WHEN is_returning THEN 'returning' WHEN NOT is_returning THEN 'new' END
+        AS customer_segment, carrier, {sql_day("promised_delivery_date", "promised_delivery_date")},
     days_to_promise, round(order_total_usd, 6) AS order_total_usd,
     CASE WHEN fulfillment_risk_score >= 80 THEN '🔴 Escalate' WHEN fulfillment_risk_score >= 60 THEN '🟠 Watch'
         WHEN fulfillment_risk_score >= 40 THEN '🟡 Monitor' ELSE '⚪ Low' END AS risk_tier,
     round(fulfillment_risk_score, 6) AS fulfillment_risk_score, round(time_pressure_score, 6) AS time_pressure_score,
-    inventory_risk_score, carrier_risk_score FROM risk_signal"""
+    inventory_risk_score, carrier_risk_score
+    FROM risk_signal s LEFT JOIN std_customers c ON s.customer_id = c.customer_id"""
 )
 def order_ops_table(spark, sf_dir):
-    return presented(reports.order_action_list(signal(spark, sf_dir)))
+    people = standardize.customers(retail.customers(spark, sf_dir))
+    return presented(reports.order_action_list(signal(spark, sf_dir), people))
 
 
 @workload(

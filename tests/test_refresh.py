@@ -1,13 +1,17 @@
+import datetime as dt
+
+import pytest
 from conftest import NOW, ago, rows
 from test_sources import write_lines
 
 from pyspark.sql import functions as F
 
-from signalloom.plans.refresh import content_id, refresh
+from signalloom.plans.refresh import CONFORMINGS, conform_table, content_id, ingest_extract, refresh
 from signalloom.session import scratch_path
 from signalloom.sinks.audit import read_audit_log
 from signalloom.sinks.tables import read_snapshot, read_table, write_partitions
-from signalloom.sources.files import Lake
+from signalloom.sources.files import EXTRACTS as EXTRACT_SPECS
+from signalloom.sources.files import RUN_ID_SETTING, Lake
 
 PROMISED = NOW.date()
 EXTRACTS = {
@@ -53,6 +57,49 @@ def test_extracts_become_signals_and_a_rerun_changes_nothing(spark):
     assert (orders.row_count, orders.quarantined_count) == (1, 1)
 
 
+def test_only_new_rows_are_conformed_under_the_full_contract(spark):
+    lake = Lake(scratch_path(spark, "lake"))
+    extracts = {e.name: e for e in EXTRACT_SPECS}
+    tables = {c.name: c for c in CONFORMINGS}
+    folder = scratch_path(spark, "extracts")
+    write_lines(spark, f"{folder}/customers.csv", *EXTRACTS["customers"])
+    fresh, head = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), EXTRACTS["orders"][0]
+
+    def line(order, customer, at):
+        return f"{order},{customer},,{at},web,USD,1.0,75.0,in_transit,{PROMISED}"
+
+    runs = {
+        "r1": [line("o1", "cust1", fresh), line("o2", "nobody", fresh), line("o3", "", fresh)],
+        "r2": [line("o4", "cust1", fresh), line("o5", "cust1", "2020-01-01T00:00:00Z")],
+    }
+    seen = {}
+    try:
+        for run, lines in runs.items():
+            spark.conf.set(RUN_ID_SETTING, run)
+            orders = scratch_path(spark, "extracts")
+            write_lines(spark, f"{orders}/orders.csv", head, *lines)
+            ingest_extract(spark, lake, folder, extracts["customers"], 2)
+            ingest_extract(spark, lake, orders, extracts["orders"], 2)
+            for name in ("customers", "orders"):
+                conform_table(spark, lake, tables[name], 2, only_run=run, full_contract=True)
+            log = read_audit_log(spark, lake).where(f"job_name = 'conform_orders' AND run_id = '{run}'").first()
+            seen[run] = (log.row_count, log.quarantined_count)
+    finally:
+        spark.conf.unset(RUN_ID_SETTING)
+    assert seen == {"r1": (2, 1), "r2": (1, 1)}
+    silver = read_table(spark, lake.path("silver", "orders"))
+    assert sorted(r.order_id for r in silver.collect()) == ["o1", "o3", "o4"]
+    assert not [c for c in silver.columns if c.startswith("_orphan")]
+    bad = spark.read.parquet(lake.path("silver", "orders_quarantine"))
+    reasons = rows(bad, "order_id", F.array_join("_dq_fail_reasons", ","))
+    assert reasons == [("o2", "orphan_customer_id"), ("o5", "invalid_order_created_at")]
+
+
+def test_only_new_needs_a_run_id(spark):
+    with pytest.raises(ValueError, match=RUN_ID_SETTING):
+        refresh(spark, Lake(scratch_path(spark, "lake")), scratch_path(spark, "extracts"), NOW, only_new=True)
+
+
 def test_runs_without_an_id_keep_each_others_quarantine(spark):
     one, other = (spark.createDataFrame([(i, "x", str(i))], "k INT, v STRING, _batch STRING") for i in (1, 2))
     again = one.withColumn("_batch", F.lit("another run"))

@@ -162,3 +162,12 @@ def test_first_copies_keep_distinct_rows_without_a_cart(spark):
         stream = stateful.first_copies(spark.readStream.schema(schema).parquet(f"{root}/in"))
         stateful.start_append(stream, f"{root}/out", f"{root}/cp").awaitTermination()
     assert rows(spark.read.parquet(f"{root}/out"), "event_id") == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_rows_without_an_event_id_are_put_aside(spark):
+    root = scratch_path(spark, "stream")
+    add(spark, root, record("e1"), record(None, cart_id=None, event_type="page_view"), record(None))
+    run(spark, root, require_event_id=True)
+    assert stored(spark, root) == ["e1"]
+    reasons = rows(spark.read.parquet(f"{root}/quarantine"), F.array_join("_dq_fail_reasons", ","))
+    assert reasons == [("missing_event_id",)] * 2
