@@ -581,3 +581,20 @@ def test_every_stage_acts_and_keeps_clean_documents(spark, tmp_path):
     assert "x.y@example.com" not in changed.text and changed.n_chars == len(changed.text)
     mix = corpus_pipeline.run(spark, folder)
     assert {r.doc_id for r in mix.collect()} == ids[3]
+
+
+def test_shingles_are_those_of_the_words_whatever_the_blocks(monkeypatch):
+    texts = [b"", b" \n", b"one", b"One two\tTHREE", b"a b c d e f a b c d e", "äÖ 中文 \x00 x".encode(), b"word " * 40 + b"x" * 300]
+    whole = [near_copies.shingle_hashes(t) for t in texts]
+    hashes = {}
+    for text, got in zip(texts, whole):
+        words = text.lower().split()
+        want = [tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+        assert len(got) == len(want)
+        for shingle, value in zip(want, got.tolist()):
+            assert hashes.setdefault(shingle, value) == value
+    assert len(set(hashes.values())) == len(hashes)
+    near_copies._places.cache_clear()
+    monkeypatch.setattr(near_copies, "BLOCK_BYTES", 7)
+    assert all((near_copies.shingle_hashes(t) == w).all() for t, w in zip(texts, whole))
+    near_copies._places.cache_clear()
