@@ -12,7 +12,7 @@ from signalloom.session import scratch_path
 from signalloom.sinks.tables import read_table, upsert
 from signalloom.workloads import carts, fulfillment, retail
 from signalloom.workloads.registry import presented, sql_day, sql_time, workload
-from signalloom.workloads.retail import AS_OF, FIRST_DAY, LAST_DAY, NAMES, STATES, VIEWS, with_views
+from signalloom.workloads.retail import AS_OF, NAMES, STATES, VIEWS, with_views
 
 BOTH_SIGNALS = ("clickstream", "cart_state", "abandoned", "shop_orders", "cart_signal", *fulfillment.RISK_VIEWS[1:])
 
@@ -92,9 +92,16 @@ def exec_summary_daily(spark, sf_dir):
     return presented(read_table(spark, path))
 
 
-VIEWS["closes"] = f"""
+def days_of_events(spark, sf_dir):
+    """The first and the last day that the events span."""
+    span = retail.table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    return str(span["a"].date()), str(span["b"].date())
+
+
+VIEWS["closes"] = """
     SELECT CAST(d AS DATE) AS d, d + INTERVAL 23 HOUR + INTERVAL 59 MINUTE AS closing
-    FROM (SELECT unnest(generate_series(TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}', INTERVAL 1 DAY)) AS d)
+    FROM (SELECT unnest(generate_series((SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) FROM events),
+        (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) FROM events), INTERVAL 1 DAY)) AS d)
 """
 VIEWS["day_carts"] = """
     SELECT d, closing, cart_id,
@@ -154,8 +161,7 @@ def exec_history_backfill(spark, sf_dir):
             retail.shipments(spark, sf_dir),
             retail.order_items(spark, sf_dir),
             retail.inventory(spark, sf_dir),
-            FIRST_DAY,
-            LAST_DAY,
+            *days_of_events(spark, sf_dir),
             names=NAMES,
             states=STATES,
             method="discrete",
@@ -207,8 +213,7 @@ LAST_7 = "OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND
 )
 def calendar_days(spark, sf_dir):
     """The days the events span."""
-    span = retail.table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    return presented(calendar(spark, span["a"].date(), span["b"].date()))
+    return presented(calendar(spark, *days_of_events(spark, sf_dir)))
 
 
 @workload(
@@ -264,7 +269,7 @@ LIGHT = "CASE WHEN {0} >= 0.95 THEN 'green' WHEN {0} >= 0.9 THEN 'amber' WHEN {0
     round(t.lag, 6) AS conversion_lag_trend FROM t LEFT JOIN t b ON b.metric_date = t.metric_date - 7"""
 )
 def kpi_trend(spark, sf_dir):
-    return presented(measures.kpi_trend(history(spark, sf_dir), calendar(spark, FIRST_DAY, LAST_DAY)))
+    return presented(measures.kpi_trend(history(spark, sf_dir), calendar(spark, *days_of_events(spark, sf_dir))))
 
 
 @workload(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from signalloom.model import EventNames, OrderStates
 
 AS_OF = "2024-01-31 00:00:00"
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
+FIRST_DAY = "2024-01-01"
 SHIFT_DAYS = 8217
 NAMES = EventNames(add="click", remove="error", begin_checkout="signup", complete="purchase")
 STATES = OrderStates(open="O", cancelled="P", done="F")
