@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +24,8 @@ WORD = re.compile(r"\w+")
 class ToxicityParams:
     """Bounds and weights of the model; the bounds hold for what is learned, never for what is scored."""
 
-    #: Most labelled documents to learn from (those of the smallest hashes); each costs the driver about a kilobyte.
+    #: Most labelled documents to learn from (those of the smallest hashes); each costs about 20 bytes a term.
     max_labelled: int = 20_000
-    #: Most terms in the vocabulary, by G-squared.
-    max_terms: int = 4096
-    #: A term counts if its G-squared is this high and one class has it this many times as often as the other.
-    least_g2: float = 30.0
-    least_ratio: float = 10.0
     neighbours: int = 25
     block: int = 64
     #: Cosine distance at which a neighbour's vote falls to 1/e.
@@ -75,146 +72,282 @@ def terms_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
 
 
+#: Terms that no labelled document has share so many document frequencies, by hash.
+SLOTS = 1 << 20
+#: Terms in more than one of so many examples are kept as rows of all examples, the others as postings.
+COMMON = 8
+#: Documents whose common terms are multiplied at once.
+AT_ONCE = 32
+#: Terms of a document that are shown, the heaviest; all of them are weighed.
+SHOWN = 20
+
+
+def hash_of(term: str) -> int:
+    """Signed 64-bit hash, which stands for the term."""
+    h = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
+
+
+class Vocabulary:
+    """Numbers of all terms: those of the labelled sample have their own, the others one of ``SLOTS`` behind them."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def numbers(self, terms: list[str]) -> list[int]:
+        h = np.array([hash_of(t) for t in terms], np.int64)
+        i = np.searchsorted(self.hashes, h)
+        known = np.append(self.hashes, 0)[i] == h
+        return np.where(known & (i < len(self.hashes)), i, len(self.hashes) + h % SLOTS).tolist()
+
+
 class Lookup(dict):
-    """Word -> numbers of the known terms it counts as; forgets all when it has grown to ``most`` words."""
+    """Word -> numbers of the terms it counts as; forgets all when it has grown to ``most`` words."""
 
-    def __init__(self, terms: dict[str, int], most: int = 100_000):
+    def __init__(self, terms: Vocabulary, most: int = 100_000):
         self.terms, self.most = terms, most
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= self.most:
             self.clear()
-        found = self[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
+        found = self[word] = tuple(self.terms.numbers(terms_of(word)))
         return found
 
+    def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Term numbers and how often each text has them; words that are new are looked up together."""
+        found = [Counter(words(text)) for text in texts]
+        if len(self) >= self.most:
+            self.clear()
+        new = list({w for c in found for w in c if w not in self})
+        every = [terms_of(w) for w in new]
+        numbers = iter(self.terms.numbers([t for ts in every for t in ts]))
+        for word, ts in zip(new, every):
+            self[word] = tuple(next(numbers) for _ in ts)
+        out = []
+        for c in found:
+            tf: dict[int, int] = {}
+            for word, n in c.items():
+                for t in self[word]:
+                    tf[t] = tf.get(t, 0) + n
+            out.append((np.fromiter(tf, np.int64, len(tf)), np.fromiter(tf.values(), np.int64, len(tf))))
+        return out
+
+
+def term_strengths(sample: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """All terms of the labelled sample, and for each sqrt(1 + G-squared) of its documents' classes.
+
+    G-squared is how much more often than chance one class has the term; no term weighs nothing for it.
+    """
 
-def _terms_of(sample: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         terms, ys = [], []
         for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
             found = {t for w in set(words(text)) for t in terms_of(w)}
-            terms += found
+            terms += map(hash_of, found)
             ys += [y] * len(found)
-        return pa.record_batch({"term": pa.array(terms, pa.string()), "y": pa.array(ys, pa.int32())})
+        return pa.record_batch({"term": pa.array(terms, pa.int64()), "y": pa.array(ys, pa.int32())})
 
-    return map_batches(sample.select("text", "y"), run, "term string, y int")
-
-
-def telling_terms(sample: DataFrame, params: ToxicityParams) -> list[str]:
-    """The words whose documents are of one class far more often than chance, most telling first."""
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
-    if not n1 or not n0:
-        return []
-    a, b, every = F.col("a"), F.col("b"), n1 + n0
-    expected = lambda x: (a + b) * F.lit(x / every)
-    part = lambda seen, x: F.when(seen > 0, seen * F.log(seen / expected(x))).otherwise(0.0)
-    r1, r0 = a / F.lit(n1), b / F.lit(n0)
-    return [
-        r["term"]
-        for r in _terms_of(sample)
-        .groupBy("term")
-        .agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b"))
-        .withColumn("g2", 2 * (part(a, n1) + part(b, n0)))
-        .where((F.col("g2") >= params.least_g2) & ((r1 >= params.least_ratio * r0) | (r0 >= params.least_ratio * r1)))
-        .orderBy(F.desc("g2"), "term")
-        .limit(params.max_terms)
-        .select("term")
-        .collect()
-    ]
-
-
-def document_frequencies(documents: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of documents, and in how many of them each term is: over all documents, summed within tasks first."""
-    known = {t: i for i, t in enumerate(terms)}
+    counts = map_batches(sample.select("text", "y"), run, "term long, y int").groupBy("term").agg(
+        F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")
+    )
+    found = counts.toArrow()
+    hashes, a, b = (found.column(c).to_numpy() for c in ("term", "a", "b"))
+    order = np.argsort(hashes)
+    hashes, a, b = hashes[order], a[order].astype(float), b[order].astype(float)
+
+    def part(seen: np.ndarray, x: int) -> np.ndarray:
+        return seen * np.log(np.where(seen > 0, seen * (n1 + n0), 1) / np.where(seen > 0, (a + b) * x, 1))
+
+    return Vocabulary(hashes), np.sqrt(1 + np.maximum(0, 2 * (part(a, n1) + part(b, n0))))
+
+
+def document_frequencies(documents: DataFrame, terms: Vocabulary) -> tuple[int, np.ndarray]:
+    """Number of documents, and in how many each term or slot is: over all documents, summed within tasks first."""
 
     def run(batches):
-        counts, n, lookup = np.zeros(len(known), np.int64), 0, Lookup(known)
+        counts, n, lookup = np.zeros(len(terms) + SLOTS, np.int64), 0, Lookup(terms)
         for batch in slices(batches):
             n += batch.num_rows
-            for text in batch.column("text").to_pylist():
-                for i in {i for w in set(words(text)) for i in lookup[w]}:
-                    counts[i] += 1
-        ids = np.append(np.flatnonzero(counts), -1)
-        yield pa.record_batch({"i": ids, "n": np.append(counts[ids[:-1]], n)})
+            texts = batch.column("text").to_pylist()
+            for at in range(0, len(texts), AT_ONCE):
+                for t, _ in lookup.counted(texts[at : at + AT_ONCE]):
+                    counts[t] += 1
+        ids = np.flatnonzero(counts)
+        for at in range(0, len(ids), 1 << 16):
+            some = ids[at : at + (1 << 16)]
+            yield pa.record_batch({"i": some, "n": counts[some]})
+        yield pa.record_batch({"i": np.array([-1]), "n": np.array([n])})
 
     sums = documents.select(whole_text().alias("text")).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
-    found = {r["i"]: r["n"] for r in sums.collect()}
-    return found.pop(-1, 0), {terms[i]: n for i, n in found.items()}
+    found = sums.toArrow()
+    i, n = found.column("i").to_numpy(), found.column("n").to_numpy()
+    out = np.zeros(len(terms) + SLOTS + 1, np.int64)
+    out[i] = n
+    return int(out[-1]), out[:-1]
+
+
+def _ranges(low: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """low[0], low[0] + 1, ... (n[0] numbers), low[1], ..."""
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
-@dataclass
 class BlockMaxIndex:
     """Postings of labelled examples by term, in blocks of examples with each block's largest weight.
 
-    ``search`` visits blocks from the highest bound down and stops when no bound can reach the k-th best
-    cosine found so far, so its result is that of a full comparison.
+    Terms that many examples have are kept as rows of all examples instead. ``search`` adds these up, bounds what
+    the others can add to a block, looks into the blocks of the highest bounds and then into all whose bound reaches
+    the k-th best cosine found there, so its result is that of a full comparison.
     """
 
-    terms: dict[str, int]
-    idf: np.ndarray
-    block: int
-    ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    y: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    maxima: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    #: Share of label 1 among the examples, and among those that have none of the terms.
-    base_rate: float = 0.5
-    empty_rate: float = 0.5
-
-    def __post_init__(self):
+    #: Blocks to look into before any is passed over.
+    FIRST = 4
+
+    def __init__(self, terms: Vocabulary | dict[str, int], weights: np.ndarray, block: int):
+        self.terms, self.weights, self.block = terms, weights, block
+        self.lookup = Lookup(terms)
+        self.base_rate = self.empty_rate = 0.5
+
+    def __getstate__(self):
+        """What workers need to lay out the postings again, which is a third of them."""
+        kept = ("terms", "weights", "block", "base_rate", "empty_rate", "ids", "y", "norms")
+        pack = zstandard.ZstdCompressor().compress
+        return {k: getattr(self, k) for k in kept} | {"packed": [(pack(x.tobytes()), x.dtype.str) for x in self.packed]}
+
+    def __setstate__(self, state):
+        unpack = zstandard.ZstdDecompressor().decompress
+        per_term, at, tf = (np.frombuffer(unpack(x), kind) for x, kind in state.pop("packed"))
+        self.__dict__.update(state)
         self.lookup = Lookup(self.terms)
+        t = np.repeat(np.arange(len(per_term), dtype=np.int32), per_term)
+        self._lay_out(t, at.astype(np.int32), (1 + np.log(tf.astype(np.float64))) * self.weights[t] / self.norms[at])
 
-    def vector(self, text: str) -> dict[int, float]:
-        """Term number -> weight of a unit vector; empty if the text has none of the terms."""
-        tf: Counter[int] = Counter()
-        for word, n in Counter(words(text)).items():
-            for t in self.lookup[word]:
-                tf[t] += n
-        w = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in tf.items()}
-        norm = math.sqrt(sum(x * x for x in w.values()))
-        return {t: x / norm for t, x in sorted(w.items())} if norm > 0 else {}
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Term numbers and weights of a unit vector of all words of each text; empty if it has none."""
+        out = []
+        for t, n in self.lookup.counted(texts):
+            w = (1 + np.log(n)) * self.weights[t]
+            out.append((t, w / (math.sqrt(float(w @ w)) or 1.0)))
+        return out
 
     def build(self, examples: list[tuple[int, int, dict[int, float]]]) -> BlockMaxIndex:
-        """Examples of like heaviest terms share blocks, which keeps the blocks' bounds low elsewhere."""
-        full = sorted((e for e in examples if e[2]), key=lambda e: (sorted(e[2], key=lambda t: (-e[2][t], t)), e[0]))
-        self.ids, self.y = np.array([e[0] for e in full], np.int64), np.array([e[1] for e in full], np.int64)
-        at: list[list[int]] = [[] for _ in self.terms]
-        weight: list[list[float]] = [[] for _ in self.terms]
-        for i, (_, _, v) in enumerate(full):
-            for t, x in v.items():
-                at[t].append(i)
-                weight[t].append(x)
-        self.postings = [(np.array(a, np.int64), np.array(w)) for a, w in zip(at, weight)]
-        self.maxima = []
-        for a, w in self.postings:
-            blocks, start = np.unique(a // self.block, return_index=True)
-            self.maxima.append((blocks, np.maximum.reduceat(w, start) if len(w) else w))
-        empty = [e[1] for e in examples if not e[2]]
-        self.base_rate = (sum(e[1] for e in examples) + 0.5) / (len(examples) + 1)
-        self.empty_rate = (sum(empty) + self.base_rate) / (len(empty) + 1)
+        every = [(t, x) for _, _, v in examples for t, x in v.items()]
+        self.build_rows(
+            np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], np.int64),
+            np.array([len(e[2]) for e in examples], np.int64),
+            np.array([t for t, _ in every], np.int32), np.array([x for _, x in every], np.float64),
+        )
         return self
 
-    def search(self, v: dict[int, float], k: int) -> list[tuple[float, int]]:
+    def build_counts(self, ids: np.ndarray, y: np.ndarray, lengths: np.ndarray, t: np.ndarray, tf: np.ndarray) -> BlockMaxIndex:
+        """From how often examples have their terms. Such an index is made to be sent; it is laid out where it arrives."""
+        self._rates(y, lengths)
+        start, norms, heaviest = np.cumsum(lengths) - lengths, np.ones(len(ids)), []
+        for e in range(len(ids)):
+            own = slice(start[e], start[e] + lengths[e])
+            w = (1 + np.log(tf[own])) * self.weights[t[own]]
+            norms[e] = math.sqrt(float(w @ w)) or 1.0
+            heaviest.append(t[own][np.lexsort((t[own], -w))[:4]].tolist())
+        full = sorted(np.flatnonzero(lengths).tolist(), key=lambda e: (heaviest[e], ids[e]))
+        self.ids, self.y, self.norms = ids[full], y[full], norms[full]
+        small = lambda x: x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+        place = np.zeros(len(ids), np.int32)
+        place[full] = np.arange(len(full), dtype=np.int32)
+        at = np.repeat(small(place), lengths)
+        order = np.lexsort((at, t))
+        self.packed = [small(np.bincount(t, minlength=len(self.terms))), at[order], small(tf)[order]]
+        return self
+
+    def _rates(self, y: np.ndarray, lengths: np.ndarray) -> None:
+        empty = y[lengths == 0]
+        self.base_rate = (float(y.sum()) + 0.5) / (len(y) + 1)
+        self.empty_rate = (float(empty.sum()) + self.base_rate) / (len(empty) + 1)
+
+    def build_rows(self, ids: np.ndarray, y: np.ndarray, lengths: np.ndarray, t: np.ndarray, w: np.ndarray):
+        """From the examples' vectors in one array each of term numbers and weights, ``lengths`` of them an example.
+
+        Examples of like heaviest terms share blocks, which keeps the blocks' bounds low elsewhere.
+        """
+        self._rates(y, lengths)
+        start = np.cumsum(lengths) - lengths
+
+        def heaviest(e: int) -> list[int]:
+            own = slice(start[e], start[e] + lengths[e])
+            return t[own][np.lexsort((t[own], -w[own]))[:4]].tolist()
+
+        full = sorted(np.flatnonzero(lengths).tolist(), key=lambda e: (heaviest(e), ids[e]))
+        self.ids, self.y, n = ids[full], y[full], len(full)
+        place = np.zeros(len(ids), np.int32)
+        place[full] = np.arange(n, dtype=np.int32)
+        at = np.repeat(place, lengths)
+        order = np.lexsort((at, t))
+        at = at[order]
+        self._lay_out(t[order], at, w[order])
+
+    def _lay_out(self, t: np.ndarray, at: np.ndarray, w: np.ndarray) -> None:
+        """From postings in the order of terms, then of examples."""
+        n = len(self.ids)
+        common = np.flatnonzero(np.bincount(t, minlength=len(self.weights)) * COMMON > n)
+        self.column = np.full(len(self.weights), -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), n))
+        column = self.column[t]
+        self.rows[column[column >= 0], at[column >= 0]] = w[column >= 0]
+        t, self.at, self.w = t[column < 0], at[column < 0], w[column < 0]
+        blocks = self.at // self.block
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (blocks[1:] != blocks[:-1])
+        first = np.flatnonzero(new)
+        # A term's entries, one for each block it is in: the block, its largest weight, its first posting.
+        self.entries = np.searchsorted(t[first], np.arange(len(self.weights) + 1, dtype=t.dtype)).astype(np.int32)
+        self.blocks, self.first = blocks[first], np.append(first, len(t)).astype(np.int32)
+        self.most = np.maximum.reduceat(self.w, first) if len(first) else self.w
+
+    def common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the common terms add to the cosine of each vector and example."""
+        q = np.zeros((len(vectors), len(self.rows)))
+        for i, (t, w) in enumerate(vectors):
+            c = self.column[t]
+            q[i, c[c >= 0]] = w[c >= 0]
+        return q @ self.rows
+
+    def search(self, v: dict[int, float] | tuple[np.ndarray, np.ndarray], k: int, common: np.ndarray | None = None) -> list[tuple[float, int]]:
         """The k examples of the highest cosine as (cosine, position); of equal ones those of the smallest id."""
-        bounds = np.zeros(-(-len(self.ids) // self.block))
-        for t, x in v.items():
-            blocks, most = self.maxima[t]
-            bounds[blocks] += x * most
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-9:
-                break
-            low = b * self.block
-            cosine = np.zeros(self.block)
-            for t, x in v.items():
-                at, w = self.postings[t]
-                i, j = np.searchsorted(at, (low, low + self.block))
-                cosine[at[i:j] - low] += x * w[i:j]
-            found = np.flatnonzero(cosine)
-            best += [(round(float(cosine[i]), 9), -int(self.ids[low + i]), int(low + i)) for i in found]
-            best = sorted(best, reverse=True)[:k]
-        return [(c, i) for c, _, i in best]
+        t, w = (np.array(list(v), np.int64), np.array(list(v.values()))) if isinstance(v, dict) else v
+        if not len(self.ids):
+            return []
+        cosine = self.common([(t, w)])[0] if common is None else common.copy()
+        n = self.entries[t + 1] - self.entries[t]
+        entries, x = _ranges(self.entries[t], n), np.repeat(w, n)
+        blocks = self.blocks[entries]
+        bounds = np.maximum.reduceat(cosine, np.arange(0, len(cosine), self.block))
+        bounds = bounds + np.bincount(blocks, x * self.most[entries], len(bounds))
+        seen = np.zeros(len(bounds), bool)
+
+        def look(into: np.ndarray) -> np.ndarray:
+            mine = into[blocks]
+            low = self.first[entries[mine]]
+            n = self.first[entries[mine] + 1] - low
+            at = _ranges(low, n)
+            cosine[:] += np.bincount(self.at[at], np.repeat(x[mine], n) * self.w[at], len(cosine))
+            seen[into] = True
+            found = np.flatnonzero(np.repeat(seen, self.block)[: len(cosine)])
+            return found[cosine[found] > 0]
+
+        into = np.zeros(len(bounds), bool)
+        into[np.argsort(-bounds, kind="stable")[: max(self.FIRST, -(-2 * k // self.block))]] = True
+        found = look(into)
+        least = np.partition(cosine[found], -k)[-k] if len(found) >= k else 0.0
+        rest = ~seen & (bounds > 0) & (bounds >= least - 1e-9)
+        if rest.any():
+            found = look(rest)
+        rounded = np.round(cosine[found], 9)
+        best = found[np.lexsort((self.ids[found], -rounded))[:k]]
+        return [(round(float(cosine[i]), 9), int(i)) for i in best]
 
 
 def learned(documents: DataFrame, labels: DataFrame, params: ToxicityParams | None = None, label: str = "toxic",
@@ -222,65 +355,76 @@ def learned(documents: DataFrame, labels: DataFrame, params: ToxicityParams | No
     """Terms and index from the labelled sample; document frequencies from all documents."""
     params = params or ToxicityParams()
     sample = staged(labelled_sample(documents, labels, label, modulus, remainder, params.max_labelled), "labelled")
-    terms = telling_terms(sample, params)
+    terms, strengths = term_strengths(sample)
     n, df = document_frequencies(documents, terms)
-    idf = np.array([np.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in terms])
-    index = BlockMaxIndex({t: i for i, t in enumerate(terms)}, idf, params.block)
+    weights = np.log((1 + n) / (1 + df)) + 1
+    weights[: len(terms)] *= strengths
+    index = BlockMaxIndex(terms, weights, params.block)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        vectors = [index.vector(t) for t in batch.column("text").to_pylist()]
+        found = Lookup(terms).counted(batch.column("text").to_pylist())
         return pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
                 "y": batch.column("y"),
-                "t": pa.array([list(v) for v in vectors], pa.list_(pa.int32())),
-                "w": pa.array([list(v.values()) for v in vectors], pa.list_(pa.float64())),
+                "t": pa.array([t for t, _ in found], pa.list_(pa.int32())),
+                "n": pa.array([tf for _, tf in found], pa.list_(pa.int32())),
             }
         )
 
-    rows = map_batches(sample, run, "doc_id long, y int, t array<int>, w array<double>").collect()
-    return index.build([(r["doc_id"], r["y"], dict(zip(r["t"], r["w"]))) for r in sorted(rows)])
+    rows = map_batches(sample, run, "doc_id long, y int, t array<int>, n array<int>").toArrow()
+    lists = rows.column("t").combine_chunks()
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    t = lists.flatten().to_numpy().copy()
+    tf = rows.column("n").combine_chunks().flatten().to_numpy().copy()
+    ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy().astype(np.int64)
+    del rows, lists
+    return index.build_counts(ids, y, lengths, t, tf)
 
 
-def vote(index: BlockMaxIndex, v: dict[int, float], params: ToxicityParams) -> tuple[float, list[tuple[float, int]]]:
+def vote(index: BlockMaxIndex, v: tuple[np.ndarray, np.ndarray], params: ToxicityParams, common: np.ndarray | None = None) -> tuple[float, list[tuple[float, int]]]:
     """The score of a vector, and its neighbours."""
-    if not v:
+    if not len(v[0]):
         return index.empty_rate, []
-    near = index.search(v, params.neighbours)
+    near = index.search(v, params.neighbours, common)
     w = np.exp(-(1 - np.array([c for c, _ in near])) / params.width)
-    y = index.y[[i for _, i in near]]
+    y = index.y[np.array([i for _, i in near], np.int64)]
     votes = float(w @ y) + params.prior_votes * index.base_rate
     return votes / (float(w.sum()) + params.prior_votes), near
 
 
+def votes(index: BlockMaxIndex, texts: list[str], params: ToxicityParams):
+    """(score, neighbours, vector) of each text."""
+    for at in range(0, len(texts), AT_ONCE):
+        vectors = index.vectors(texts[at : at + AT_ONCE])
+        for v, common in zip(vectors, index.common(vectors)):
+            yield *vote(index, v, params, common), v
+
+
 def scored(documents: DataFrame, index: BlockMaxIndex, params: ToxicityParams | None = None) -> DataFrame:
     """(doc_id, score, evidence, terms) for every document, from its whole text.
 
+    Every word weighs, by its frequency here and in all documents and by how well it tells the classes apart.
     Neighbours vote with their label, weighted by exp(-distance / width); ``prior_votes`` of the examples' base
-    rate keep scores of few or distant neighbours near it. A text without any of the terms, an empty or a
-    null one included, gets the rate among examples without them. ``evidence`` lists up to five neighbours
-    (doc_id, cosine, label), ``terms`` the terms met. Only text is looked at. Repeated rows score alike.
+    rate keep scores of few or distant neighbours near it. A text without words, an empty or a null one included, gets
+    the rate among examples without them. ``evidence`` lists up to five neighbours (doc_id, cosine, label), ``terms``
+    the ``SHOWN`` heaviest terms met that examples have too. Only text is looked at. Repeated rows score alike.
     """
     params = params or ToxicityParams()
     shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
-        own, names, seen = shared.value, list(shared.value.terms), {}
+        own = shared.value
         for batch in slices(batches):
             scores, evidence, terms = [], [], []
-            for text in batch.column("text").to_pylist():
-                v = own.vector(text)
-                key = tuple((t, round(x, 9)) for t, x in v.items())
-                if key not in seen:
-                    if len(seen) >= 20_000:
-                        seen.clear()
-                    score, near = vote(own, v, params)
-                    shown = [{"doc_id": int(own.ids[i]), "cosine": c, "label": int(own.y[i])} for c, i in near[:5]]
-                    seen[key] = (score, shown, [names[t] for t in v])
-                score, shown, met = seen[key]
+            texts = batch.column("text").to_pylist()
+            for text, (score, near, (t, w)) in zip(texts, votes(own, texts, params)):
                 scores.append(score)
-                evidence.append(shown)
-                terms.append(met)
+                evidence.append([{"doc_id": int(own.ids[i]), "cosine": c, "label": int(own.y[i])} for c, i in near[:5]])
+                known = t < len(own.terms)
+                heavy = t[known][np.lexsort((t[known], -w[known]))[:SHOWN]].tolist()
+                names = {i: x for word in set(words(text)) for i, x in zip(own.lookup[word], terms_of(word))} if heavy else {}
+                terms.append([names[i] for i in heavy])
             shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
             yield pa.record_batch(
                 {
@@ -300,7 +444,7 @@ def scored(documents: DataFrame, index: BlockMaxIndex, params: ToxicityParams |
 def toxicity(documents: DataFrame, labels: DataFrame, params: ToxicityParams | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence, terms) for every row of ``documents``.
 
-    Without labels of both classes there are no terms and every score is the base rate. No rows give no rows.
+    Without labels there are no examples and every score is the base rate. No rows give no rows.
     """
     return scored(documents, learned(documents, labels, params), params).select(
         "doc_id",
@@ -323,17 +467,9 @@ def accepted(documents: DataFrame, labels: DataFrame, params: ToxicityParams | N
 
     def run(batches):
         own, p = shared.value
-        seen: dict = {}
         for batch in slices(batches):
-            keep = []
-            for text in batch.column("text").to_pylist():
-                v = own.vector(text or "")
-                key = tuple((t, round(x, 9)) for t, x in v.items())
-                if key not in seen:
-                    if len(seen) >= 20_000:
-                        seen.clear()
-                    seen[key] = vote(own, v, p)[0]
-                keep.append(seen[key] < 0.5)
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            keep = [score < 0.5 for score, _, _ in votes(own, texts, p)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, schema)

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import itertools
+import pickle
 import random
 import re
 import zlib
@@ -225,6 +226,28 @@ def test_toxicity_learns_words_and_beginnings_of_words(spark):
     assert none.count() == docs.count() and toxicity.toxicity(docs.where("false"), table).isEmpty()
 
 
+def test_toxicity_weighs_every_word_also_of_few_examples(spark):
+    rng = random.Random(4)
+    data = [(i, text_of(rng, 30) + (f" snargle{rng.randrange(3)} fool" if i % 6 == 0 else "")) for i in range(60)]
+    data += [(100, text_of(rng, 40) + " snargle1"), (101, text_of(rng, 40)), (102, "unheard of")]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id LONG, toxic INT")
+    docs = frame(spark, [(i, t, "s") for i, t in data])
+    found = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    assert all(r.evidence and 0 < len(r.terms) <= toxicity.SHOWN for r in found.values() if r.doc_id != 102)
+    assert found[100].score > found[101].score
+    index = toxicity.learned(docs, labels)
+    _, w = index.vectors([dict(data)[100]])[0]
+    assert len(w) == len({t for x in toxicity.words(dict(data)[100]) for t in toxicity.terms_of(x)}) and w.min() > 0
+    assert w @ w == pytest.approx(1)
+    sent = pickle.loads(pickle.dumps(index))
+    vectors = {i: dict(zip(*map(np.ndarray.tolist, v))) for i, v in zip(dict(data), index.vectors([t for _, t in data]))}
+    for i, v in vectors.items():
+        near = sent.search(v, 5)
+        every = {int(e): sum(x * vectors[int(e)].get(t, 0) for t, x in v.items()) for e in sent.ids}
+        best = sorted((c for c in every.values() if c > 0), reverse=True)[:5]
+        assert [c for c, _ in near] == pytest.approx(best) == [every[int(sent.ids[e])] for _, e in near]
+
+
 def test_block_max_search_equals_a_full_comparison():
     rng = np.random.default_rng(2)
     index = toxicity.BlockMaxIndex({f"t{i}": i for i in range(30)}, np.ones(30), 4)
