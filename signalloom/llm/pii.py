@@ -40,6 +40,8 @@ CYRILLIC_VOWELS, CYRILLIC_CONSONANTS = "аеиоу", "бвгдзклмнпрст
 GREEK_VOWELS, GREEK_CONSONANTS = "αεηιο", "βγδζκλμνπρστφχ"
 HEX = "0123456789abcdef"
 STREAM_BYTES = 128
+#: Rounds of draws of the same length; after as many more, surrogates get one more letter, digit or syllable.
+SAME_LENGTH = 3
 
 
 def _stream(key: str, *parts: Column) -> Column:
@@ -134,13 +136,23 @@ def typed(forms: DataFrame) -> DataFrame:
 
 
 def _drawn(key: str) -> Column:
-    """The surrogate of (type, norm) at this attempt, in the normal form of its type."""
+    """The surrogate of (type, norm) at this attempt, in the normal form of its type.
+
+    Later attempts draw longer ones, so that few possible surrogates of the entity's own length, or none but the entity
+    itself, don't clash for ever. Addresses, card and social security numbers keep their length.
+    """
     norm = F.col("norm")
     stream = F.col("stream")
+    more = F.floor(F.col("attempt") / SAME_LENGTH).cast("int")
+
+    def grown(each) -> Column:
+        places = F.filter(F.sequence(F.lit(0), more), lambda i: i < more)
+        return F.array_join(F.transform(places, lambda i: each(F.lit(STREAM_BYTES - 1) - i * 2 % STREAM_BYTES)), "")
+
     alike = _mapped(norm, _alike(stream))
-    hexadecimal = _mapped(norm, lambda c, i: _pick(HEX, _byte(stream, i)))
+    hexadecimal = F.concat(_mapped(norm, lambda c, i: _pick(HEX, _byte(stream, i))), grown(lambda i: _pick(HEX, _byte(stream, i))))
     tld = F.regexp_extract(norm, r"(\.\p{L}+)$", 1)
-    email = F.concat(_mapped(F.substr(norm, F.lit(1), F.length(norm) - F.length(tld)), _alike(stream)), tld)
+    email = F.concat(grown(lambda i: _pick(CONSONANTS, _byte(stream, i))), _mapped(F.substr(norm, F.lit(1), F.length(norm) - F.length(tld)), _alike(stream)), tld)
     octets = F.array_join(F.array(*[(_byte(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]), ".")
     private = F.concat(F.lit("10."), F.substring_index(octets, ".", -3))
     card = F.concat(F.substr(norm, F.lit(1), F.lit(1)), F.substr(alike, F.lit(2), F.length(norm) - 2))
@@ -152,7 +164,8 @@ def _drawn(key: str) -> Column:
         at = place * 8
         b = lambda i: _byte(stream, at + i)
         made = lambda c, v, f, m: F.concat(
-            _pick(c, b(0)), _pick(v, b(1)), _pick(c, b(2)), _pick(v, b(3)), _pick(c, b(4)), F.when(gender == "f", f).when(gender == "m", m).otherwise("")
+            _pick(c, b(0)), _pick(v, b(1)), _pick(c, b(2)), _pick(v, b(3)), _pick(c, b(4)),
+            grown(lambda i: F.concat(_pick(v, _byte(stream, i - at)), _pick(c, _byte(stream, i - at - 1)))), F.when(gender == "f", f).when(gender == "m", m).otherwise("")
         )
         return (
             F.when(w.rlike("[а-яё]"), made(CYRILLIC_CONSONANTS, CYRILLIC_VOWELS, "ова", "ов"))
@@ -163,8 +176,8 @@ def _drawn(key: str) -> Column:
     name = F.concat(gender, F.lit(":"), F.array_join(F.transform(F.split(own, " "), word), " "))
     kind = F.col("type")
     # The first digits of a number say where it belongs: the country, or nothing.
-    country = F.least(F.lit(2), F.length(norm) - 7)
-    phone = F.concat(F.substr(norm, F.lit(1), country), F.substr(alike, country + 1))
+    country = F.greatest(F.lit(0), F.least(F.lit(2), F.length(norm) - 7))
+    phone = F.concat(F.substr(norm, F.lit(1), country), F.substr(alike, country + 1), grown(lambda i: (_byte(stream, i) % 10).cast("string")))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", F.when(norm.rlike(r"^10\."), private).otherwise(octets))
@@ -172,6 +185,7 @@ def _drawn(key: str) -> Column:
         .when(kind == "phone", phone)
         .when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), hexadecimal)
         .when(kind == "name", name)
+        .when(kind == "secret", F.concat(alike, grown(lambda i: _pick(CONSONANTS, _byte(stream, i)))))
         .otherwise(alike)
     )
 
@@ -206,12 +220,13 @@ def _rendered() -> Column:
         ).otherwise(c),
     )
     cased = _mapped(drawn, lambda c, i: F.when(F.substr(body, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c))
+    longer = F.substr(drawn, F.length(_digits(body)) + 1)
     bare = F.substr(drawn, F.lit(3))
     name = F.when(body == F.upper(body), F.upper(bare)).otherwise(F.initcap(bare))
     kind = F.col("type")
     return F.concat(
         "lead",
-        F.when(kind.isin("phone", "card", "ssn"), filled).when(kind == "ip", drawn).when(kind == "name", name).otherwise(cased),
+        F.when(kind.isin("phone", "card", "ssn"), F.concat(filled, longer)).when(kind == "ip", drawn).when(kind == "name", name).otherwise(cased),
     )
 
 

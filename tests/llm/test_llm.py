@@ -364,6 +364,18 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert pii.surrogates(pii.typed(forms), "key").toPandas().surrogate.nunique() == 5
 
 
+def test_few_possible_surrogates_don_t_clash_for_ever(spark):
+    texts = [f"+1{i}" for i in range(2300, 2500)] + ["+1 23 45", "+2 23 45", "password = ----------------"]
+    texts += [f"{a}@{b}.co" for a in "aeiou" for b in "aeiou"]
+    found = pii.surrogates(pii.typed(spark.createDataFrame([(t,) for t in texts], "form STRING")), "key").toPandas()
+    assert len(found) == found.groupby(["type", "surrogate"]).ngroups == 201 + 1 + 25
+    assert not set(found.surrogate) & set(found.norm)
+    assert len({s[1:] for s in found[found.type == "phone"].surrogate}) > 100
+    df = frame(spark, [(i, f"call {t} now", "s") for i, t in enumerate(texts)])
+    out = {r.doc_id: r for r in pii.pseudonymised(df, "key").collect()}
+    assert all(out[i].n_replaced == 1 and f"call {t} now" != out[i].text for i, t in enumerate(texts))
+
+
 # Decontamination
 
 
