@@ -145,8 +145,8 @@ def fingerprinted(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
 def beside_next(documents: DataFrame) -> DataFrame:
     """(bucket, ghost, doc_id, tie, packed) in which a row's next one, by descending doc_id, follows it in its task.
 
-    Quantiles of doc_id, which are ids that occur, cut the order into buckets. The head of each bucket is
-    copied to the end of the one before (``ghost``), that of the first to the last. So one shuffle of
+    Approximate quantiles of doc_id cut the order into buckets. They are doubles, which not every id is, so the head of
+    a bucket, its largest id, is looked up. It is copied to the end of the one before (``ghost``), that of the first to the last. So one shuffle of
     compressed text brings all neighbours together. Null ids come last; rows of equal id follow by ``tie``, a hash
     of the text.
     """
@@ -157,8 +157,17 @@ def beside_next(documents: DataFrame) -> DataFrame:
     )
     ends = docs.agg(F.max("doc_id").alias("top"), F.min(F.when(F.col("doc_id").isNull(), F.col("tie"))).alias("null")).first()
     cuts = docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if ends["top"] is not None else []
-    top = [ends["top"]] if ends["top"] is not None else []
-    heads = np.array(sorted({int(x) for x in cuts} | set(top), reverse=True), np.int64)
+    edges = np.array(sorted({min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in cuts}), np.int64)
+
+    def tops(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            at, most = np.searchsorted(edges, ids), np.full(len(edges) + 1, -(1 << 63), np.int64)
+            np.maximum.at(most, at, ids)
+            yield pa.record_batch({"at": np.unique(at), "top": most[np.unique(at)]})
+
+    some = docs.select("doc_id").where("doc_id is not null").mapInArrow(tops, "at long, top long")
+    heads = np.array(sorted((r["top"] for r in some.groupBy("at").agg(F.max("top").alias("top")).collect()), reverse=True), np.int64)
     null_tie, last = ends["null"], len(heads) - (ends["null"] is None)
 
     def run(batches):

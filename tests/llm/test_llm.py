@@ -524,6 +524,18 @@ def test_every_document_is_compared_with_the_next(spark, docs):
     assert own[200] == own[201] == own[0] and own[300] == own[301] == "0" * 256
 
 
+def test_no_document_of_64_bit_ids_is_lost(spark):
+    rng = random.Random(6)
+    ids = sorted({rng.getrandbits(63) | 1 for _ in range(60)} | {-(1 << 63), (1 << 63) - 1}, reverse=True)
+    texts = {i: text_of(rng, 12) for i in ids}
+    found = fingerprints.compared(frame(spark, [(i, texts[i], "s") for i in ids]).repartition(4))
+    edited = {}
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        cut = len(texts[i]) // 3
+        edited[i] = hashlib.sha256((texts[i][: len(texts[i]) - cut] + texts[j][:cut]).encode()).hexdigest()
+    assert rows(found, "doc_id", "edited_sha256") == rows(spark.createDataFrame(list(edited.items()), "a LONG, b STRING"))
+
+
 # Near copies
 
 
