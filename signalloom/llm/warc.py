@@ -65,7 +65,7 @@ def record(page_id, url, payload: bytes, sha1_hex: str, holder: tuple | None) ->
 
 
 def written(pages: DataFrame, folder: str) -> DataFrame:
-    """Write a record per row of ``pages`` (page_id, url, html) below ``folder``; returns (path, size) of the archives.
+    """Write a record per row of ``pages`` (page_id, url, html) below ``folder``; returns (path, size, records) of the archives.
 
     Of rows with equal payloads of ``LEAST_REVISIT`` bytes or more, the one of the largest page_id is the
     response and the others revisit it; rows that share that page_id are all responses. Null html is an empty
@@ -95,7 +95,7 @@ def written(pages: DataFrame, folder: str) -> DataFrame:
         context = TaskContext.get()
         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}.warc.gz"
         fs, root = _opened(folder)
-        out, size = None, 0
+        out, size, records = None, 0, 0
         for batch in slices(batches, "html"):
             columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "holder")]
             for page_id, url, text, digest, holder in zip(*columns):
@@ -106,12 +106,13 @@ def written(pages: DataFrame, folder: str) -> DataFrame:
                 member = record(page_id, url, text.encode("utf-8", "surrogatepass"), digest, pair)
                 out.write(member)
                 size += len(member)
+                records += 1
         if out is not None:
             out.close()
             fs.move(f"{root}/.{name}.tmp", f"{root}/{name}")
-            yield pa.record_batch({"path": [f"{folder}/{name}"], "size": pa.array([size], pa.int64())})
+            yield pa.record_batch({"path": [f"{folder}/{name}"], "size": pa.array([size], pa.int64()), "records": pa.array([records], pa.int64())})
 
-    return staged(marked.mapInArrow(run, "path string, size long"), "archives")
+    return staged(marked.mapInArrow(run, "path string, size long, records long"), "archives")
 
 
 class Member:
@@ -150,14 +151,15 @@ def headers_of(data: bytes) -> tuple[dict[str, str], int] | None:
 
 
 def starts_record(file, at: int) -> bool:
-    """Whether a gzip member with the header of a record starts here."""
+    """Whether a gzip member with the header of a record, however long, starts here."""
     try:
-        member, head = Member(file, at), b""
-        while len(head) < (1 << 16) and b"\r\n\r\n" not in head and member.end is None:
+        member, head, seen = Member(file, at), bytearray(), 0
+        while head.find(b"\r\n\r\n", max(seen - 3, 0)) < 0 and member.end is None:
+            seen = len(head)
             head += member.read(512)
             if not head.startswith(b"WARC/"):
                 return False
-        return headers_of(head) is not None
+        return headers_of(bytes(head)) is not None
     except (zlib.error, EOFError, UnicodeDecodeError):
         return False
 
@@ -261,14 +263,23 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` to archives in the shared folder, read them back, and digest what was read."""
+    """Write ``pages`` to archives in the shared folder, read them back, and digest what was read.
+
+    Fails if other than as many records come back as were written.
+    """
     folder = staging_path(pages.sparkSession, "warc")
-    records = read(written(pages, folder))
+    archives = written(pages, folder)
+    records = read(archives)
     whole = F.col("payload").isNotNull()
-    return records.select(
+    digests = records.select(
         "page_id",
         F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
         F.when(whole, F.sha1("payload")).otherwise(F.col("declared_digest")).alias("payload_digest"),
         "record_type",
         "refers_to",
     )
+    found = staged(digests, "digests")
+    wrote, came = archives.agg(F.sum("records").alias("n")).first()["n"] or 0, found.count()
+    if came != wrote:
+        raise RuntimeError(f"{wrote} records were written to {folder}, {came} were read")
+    return found

@@ -99,6 +99,17 @@ def test_warc_splits_anywhere_give_every_record_once(spark):
         assert sorted(r.offset for r in warc.read(archives, split).collect()) == whole
 
 
+def test_warc_keeps_pages_of_very_long_urls(spark):
+    rng = random.Random(3)
+    urls = ["data:," + "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=200_000)) for _ in range(2)]
+    data = [(1, urls[0], "x" * 3000), (2, urls[1], "x" * 3000), (3, "u", "y")]
+    df = spark.createDataFrame(data, "page_id LONG, url STRING, html STRING").coalesce(1)
+    found = rows(warc.round_trip(df), "page_id", "record_type", "refers_to")
+    assert found == [(1, "revisit", 2), (2, "response", None), (3, "response", None)]
+    archives = warc.written(df, staging_path(spark, "warc-long"))
+    assert {r.url for r in warc.read(archives, 70_000).collect()} == {"u", *urls}
+
+
 def test_a_false_magic_is_no_record():
     class File:
         def __init__(self, data):
