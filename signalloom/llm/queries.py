@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from signalloom.llm import (
+    conversations,
     decontaminate,
     fingerprints,
     html_text,
     mixing,
     pii,
     quality,
+    ranked_search,
+    sharding,
     simhash,
     suffix_dedup,
     toxicity,
@@ -93,3 +96,53 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH words AS (
+      SELECT row_number() OVER () AS row, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+      FROM documents
+    ),
+    docs AS (SELECT row, doc_id, len(terms) AS n, terms FROM words WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM docs),
+    tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY ALL),
+    asked AS (
+      SELECT DISTINCT item, item_id, term FROM (
+        SELECT row_number() OVER () AS item, item_id,
+          unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+      )
+    ),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM tf, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, big_n
+    ),
+    scored AS (
+      SELECT item, item_id, row, doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * big_n) // big_l)))))::BIGINT AS score
+      FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN docs USING (row), totals
+      GROUP BY item, item_id, row, doc_id
+    ),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+      FROM scored WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+    """
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digest(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
