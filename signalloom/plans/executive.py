@@ -36,6 +36,7 @@ from signalloom.operators.fulfillment import (
 from signalloom.operators.joins import lookup
 from signalloom.operators.percentiles import percentile
 from signalloom.operators.staging import staged
+from signalloom.operators.versions import merged_spans
 from signalloom.plans.cart_recovery import counted_orders
 
 DAILY_COLUMNS = [
@@ -170,7 +171,13 @@ def recoverable_revenue_by_day(
     names: EventNames = EventNames(),
     states: OrderStates = OrderStates(),
     method: str = "approx",
+    order_versions: DataFrame | None = None,
 ) -> DataFrame:
+    """Value of the abandoned carts worth acting on, at the close of each day.
+
+    A customer's orders count for every day as they are today; with ``order_versions`` (``versions.intervals``) on
+    the days on which they counted.
+    """
     carts = abandoned_by_day(events, first, last, policy, names).select(
         "metric_date", "cart_id", "customer_id", "recoverable_cart_value", "minutes_since_last_activity"
     )
@@ -178,10 +185,23 @@ def recoverable_revenue_by_day(
     caps = percentile(
         carts, "recoverable_cart_value", policy.value_percentile, by=["metric_date"], method=method, name="_cap"
     )
-    known = staged(prior_order_counts(orders, counted_orders(states, policy)), "order-counts")
     cap = F.coalesce(F.nullif(F.col("_cap"), F.lit(0.0)), F.lit(1.0))
+    if order_versions is None:
+        known = staged(prior_order_counts(orders, counted_orders(states, policy)), "order-counts")
+        judged = lookup(carts, known, "customer_id", spread="cart_id")
+    else:
+        counted = order_versions.where(counted_orders(states, policy)).select(
+            F.col("customer_id").alias("_customer"), closing_day(F.col("valid_from")).alias("_from"), closing_day(F.col("valid_to")).alias("_to")
+        )
+        loyal = staged(merged_spans(counted, "_customer", "_from", "_to"), "loyal-days")
+        # Carts without a customer match nothing; they are spread by their own id.
+        same = F.coalesce("customer_id", "cart_id") == F.col("_customer")
+        then = (F.col("metric_date") >= F.col("_from")) & (F.col("metric_date") < F.col("_to"))
+        judged = carts.join(loyal, same & F.col("customer_id").isNotNull() & then, "left").withColumn(
+            "prior_order_count", F.when(F.col("_customer").isNotNull(), 1)
+        )
     # One row per day of the range: its size is bounded by the calendar.
-    priced = lookup(carts, known, "customer_id", spread="cart_id").join(F.broadcast(caps), "metric_date")
+    priced = judged.join(F.broadcast(caps), "metric_date")
     scored = priced.withColumns(
         {
             "recency_score": fading(F.col("minutes_since_last_activity"), policy.recency_scale_minutes),
@@ -216,6 +236,9 @@ def delayed_revenue_by_day(
 ) -> DataFrame:
     """Revenue at risk at the close of each day, taking today's order states for every day.
 
+    If ``orders`` has ``valid_from`` and ``valid_to`` (``versions.intervals``), each state counts on the days that it
+    held: an order that arrived later is open before. Shipments and stock are today's in either case.
+
     The risk of an order never falls as its promise comes nearer. So each order is reduced to the
     first day it is at risk, the amounts are added up per such day, and a running total over the
     calendar gives the answer: orders are never multiplied by days.
@@ -239,11 +262,20 @@ def delayed_revenue_by_day(
     since = F.when(always, start).otherwise(
         F.greatest(F.date_sub("promised_delivery_date", most_days_left), start)
     )
+    at_risk = exposed.withColumn("_since", F.when(always | most_days_left.isNotNull(), since)).where("_since IS NOT NULL")
+    risen = F.struct(F.col("_since").alias("day"), F.col("order_total_usd").alias("amount"))
+    changes = F.array(risen)
+    if "valid_from" in orders.columns:
+        at_risk = at_risk.withColumn("_since", F.greatest("_since", closing_day(F.col("valid_from")))).withColumn(
+            "_until", closing_day(F.col("valid_to"))
+        ).where(F.col("_until").isNull() | (F.col("_since") < F.col("_until")))
+        changes = F.array(risen, F.struct(F.col("_until").alias("day"), (-F.col("order_total_usd")).alias("amount")))
     steps = (
-        exposed.withColumn("_since", F.when(always | most_days_left.isNotNull(), since))
-        .where(F.col("_since") <= end)
-        .groupBy(F.col("_since").alias("metric_date"))
-        .agg(F.sum("order_total_usd").alias("_step"))
+        at_risk.where(F.col("_since") <= end)
+        .select(F.inline(changes).alias("metric_date", "_amount"))
+        .where(F.col("metric_date") <= end)
+        .groupBy("metric_date")
+        .agg(F.sum("_amount").alias("_step"))
     )
     spine = calendar(orders.sparkSession, first, last).select(F.col("date").alias("metric_date"))
     # Unpartitioned on purpose: its input is one row per day of the range.
@@ -324,14 +356,19 @@ def summary_history(
     names: EventNames = EventNames(),
     states: OrderStates = OrderStates(),
     method: str = "approx",
+    order_versions: DataFrame | None = None,
 ) -> DataFrame:
-    """The daily KPI row for every day of the range, rounded as published."""
+    """The daily KPI row for every day of the range, rounded as published.
+
+    ``order_versions`` (``versions.intervals`` of recorded extracts) gives the order states of each day; without it
+    today's are taken for all.
+    """
     spine = calendar(events.sparkSession, first, last).select(F.col("date").alias("metric_date"))
     revenue = recoverable_revenue_by_day(
-        events, orders, first, last, names=names, states=states, method=method
+        events, orders, first, last, names=names, states=states, method=method, order_versions=order_versions
     )
     delayed = delayed_revenue_by_day(
-        orders, shipments, order_items, inventory, first, last, states=states
+        orders if order_versions is None else order_versions, shipments, order_items, inventory, first, last, states=states
     )
     rate = on_time_rate_by_day(shipments, first, last)
     lag = conversion_lag_by_day(events, first, last, names=names, method=method)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalloom.functions.clock import days
-from signalloom.operators import carts, joins, sessions, standardize
+from signalloom.operators import carts, conversions, joins, sessions, standardize
 from signalloom.operators.measures import histogram
 from signalloom.operators.percentiles import ACCURACY, percentile
 from signalloom.operators.staging import staged
@@ -37,6 +37,12 @@ def abandoned_sql(as_of: str = f"TIMESTAMP '{AS_OF}'") -> str:
 """
 
 
+VIEWS["lags"] = """
+    SELECT cart_id, min(event_timestamp) FILTER (event_type = 'click') AS first_add_at,
+        max(event_timestamp) FILTER (event_type = 'purchase') AS checkout_complete_at,
+        (floor(epoch(checkout_complete_at)) - floor(epoch(first_add_at))) / 60.0 AS lag_minutes
+    FROM clickstream WHERE event_type IN ('click', 'purchase') AND cart_id IS NOT NULL GROUP BY cart_id
+"""
 VIEWS["abandoned"] = abandoned_sql()
 VIEWS["latest_abandoned"] = abandoned_sql("(SELECT max(event_timestamp) FROM clickstream)")
 
@@ -229,6 +235,53 @@ def cart_order_linkage(spark, sf_dir):
     )
 
 
+VIEWS["visits"] = """
+    SELECT session_id, n AS session_number, min(min(event_timestamp)) OVER (PARTITION BY session_id, n) AS started_at,
+        customer_id, cart_id
+    FROM (SELECT *, sum(CASE WHEN before IS NULL OR event_timestamp > before + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+            OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS n
+        FROM (SELECT *, lag(event_timestamp) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS before
+            FROM clickstream))
+    GROUP BY session_id, n, customer_id, cart_id
+    QUALIFY customer_id IS NOT NULL AND cart_id IS NOT NULL
+"""
+VIEWS["linked_visits"] = """
+    SELECT v.*, order_id, order_created_at FROM visits v LEFT JOIN placed_orders o
+        ON o.customer_id = v.customer_id AND o.cart_id = v.cart_id
+        AND o.order_created_at BETWEEN v.started_at AND v.started_at + INTERVAL 7 DAY
+"""
+LINKED_VIEWS = ("clickstream", "shop_orders", "placed_orders", "visits", "linked_visits")
+
+
+@workload(
+    with_views(*LINKED_VIEWS)
+    + f"""SELECT session_id, CAST(session_number AS BIGINT) AS session_number, {sql_time("started_at", "started_at")},
+    customer_id, cart_id, order_id, {sql_time("order_created_at", "order_created_at")} FROM linked_visits"""
+)
+def session_order_linkage(spark, sf_dir):
+    """Sessions with the orders placed within seven days of their first event."""
+    sessions_ = staged(conversions.visits(retail.clickstream(spark, sf_dir)), "visits")
+    return presented(conversions.linked_visits(sessions_, retail.placed_orders(spark, sf_dir)))
+
+
+@workload(
+    with_views(*LINKED_VIEWS, "lags")
+    + f"""SELECT count(*) AS n_carts, round(quantile_disc(lag_minutes, 0.5), 6) AS conversion_lag_median_minutes FROM lags
+    WHERE checkout_complete_at BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{AS_OF}'
+        AND cart_id IN (SELECT cart_id FROM linked_visits WHERE order_id IS NOT NULL)"""
+)
+def linked_conversion_lag(spark, sf_dir):
+    """The conversion lag as documented: only of carts whose session led to an order within seven days."""
+    lags = staged(
+        conversions.linked_conversion_lags(
+            retail.clickstream(spark, sf_dir), retail.placed_orders(spark, sf_dir), AS_OF, NAMES
+        ).select("lag_minutes"),
+        "linked-lags",
+    )
+    median = percentile(lags, "lag_minutes", 0.5, method="discrete").scalar()
+    return presented(lags.agg(F.count(F.lit(1)).alias("n_carts")).withColumn("conversion_lag_median_minutes", median))
+
+
 TIER_SQL = """CASE WHEN priority_score >= 80 THEN '🔴 Act now' WHEN priority_score >= 60 THEN '🟠 Today'
     WHEN priority_score >= 40 THEN '🟡 Monitor' ELSE '⚪ Low' END"""
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.calendar import calendar
 from signalloom.functions.tiers import percent_label, traffic_light
-from signalloom.operators import measures
+from signalloom.operators import measures, versions
+from signalloom.operators.staging import staged
 from signalloom.plans import executive
 from signalloom.session import scratch_path
 from signalloom.sinks.tables import read_table, upsert
@@ -20,12 +21,6 @@ REVENUE = "(SELECT coalesce(sum(recoverable_cart_value), 0.0) FROM cart_signal W
 DELAYED = "(SELECT coalesce(sum(order_total_usd), 0.0) FROM risk_signal WHERE fulfillment_risk_score >= 60)"
 RATE = f"""(SELECT avg(CAST(CAST(delivered_at AS DATE) <= promised_delivery_date AS INTEGER)) FROM shipments
     WHERE delivered_at BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{AS_OF}')"""
-VIEWS["lags"] = """
-    SELECT cart_id, min(event_timestamp) FILTER (event_type = 'click') AS first_add_at,
-        max(event_timestamp) FILTER (event_type = 'purchase') AS checkout_complete_at,
-        (floor(epoch(checkout_complete_at)) - floor(epoch(first_add_at))) / 60.0 AS lag_minutes
-    FROM clickstream WHERE event_type IN ('click', 'purchase') AND cart_id IS NOT NULL GROUP BY cart_id
-"""
 LAG = f"""(SELECT quantile_disc(lag_minutes, 0.5) FROM lags
     WHERE checkout_complete_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY)"""
 
@@ -169,6 +164,104 @@ def exec_history_backfill(spark, sf_dir):
     )
 
 
+# The history from order states as they were recorded.
+
+VIEWS["day_delayed_recorded"] = """
+    SELECT d, sum(order_total_usd) AS delayed
+    FROM (SELECT v.*, s.carrier_avg_transit_days, s.carrier_historical_late_rate_pct AS carrier_risk_score,
+            order_id IN (SELECT order_id FROM backordered) AS has_backordered_item
+        FROM order_versions v JOIN shipments s USING (order_id)
+        WHERE v.status = 'O' AND v.promised_delivery_date IS NOT NULL) o
+    JOIN closes ON closing >= seen_at AND (valid_to IS NULL OR closing < valid_to)
+    WHERE 0.5 * 100 * (1 - least(greatest(promised_delivery_date - d, 0) / carrier_avg_transit_days, 1.0))
+        + 0.3 * CASE WHEN has_backordered_item THEN 100 ELSE 0 END + 0.2 * carrier_risk_score >= 60
+    GROUP BY d
+"""
+VIEWS["day_loyal"] = """
+    SELECT DISTINCT d, customer_id FROM order_versions JOIN closes
+        ON closing >= seen_at AND (valid_to IS NULL OR closing < valid_to) WHERE status <> 'P'
+"""
+VIEWS["day_revenue_recorded"] = """
+    SELECT d, sum(recoverable_cart_value) AS revenue FROM (
+        SELECT c.d, recoverable_cart_value, 0.45 * 100 * exp(-minutes_idle / 180.0)
+            + 0.40 * 100 * least(recoverable_cart_value / coalesce(nullif(cap, 0), 1.0), 1.0)
+            + 0.15 * CASE WHEN l.customer_id IS NOT NULL THEN 100 ELSE 40 END AS priority
+        FROM day_carts c JOIN (SELECT d, quantile_disc(recoverable_cart_value, 0.9) AS cap FROM day_carts GROUP BY d) q
+            ON c.d = q.d LEFT JOIN day_loyal l ON l.d = c.d AND l.customer_id = c.customer_id)
+    WHERE priority >= 60 GROUP BY d
+"""
+RECORDED_VIEWS = (
+    "clickstream", "lags", "shop_orders", "shipments", "order_items", "inventory", "backordered", "order_extracts",
+    "order_versions", "closes", "day_carts", "day_loyal", "day_revenue_recorded", "day_delayed_recorded", "day_rate", "day_lag",
+)
+RECORDED_SQL = """
+    SELECT closes.d, round(coalesce(revenue, 0.0), 2) AS recoverable_revenue,
+        round(coalesce(delayed, 0.0), 2) AS delayed_order_revenue_risk, round(rate, 4) AS on_time_delivery_rate,
+        round(lag, 1) AS conversion_lag_median_minutes
+    FROM closes LEFT JOIN day_revenue_recorded USING (d) LEFT JOIN day_delayed_recorded USING (d)
+        LEFT JOIN day_rate USING (d) LEFT JOIN day_lag USING (d)
+"""
+
+
+def recorded_orders(spark, sf_dir):
+    """Four extracts recorded in turn, the third one twice, as validity intervals."""
+    path = scratch_path(spark, "order-history")
+    for day in (*retail.EXTRACT_DAYS[:3], *retail.EXTRACT_DAYS[2:]):
+        extract = retail.order_extract(spark, sf_dir, day).select(
+            "order_id", "customer_id", "order_total_usd", "status", "promised_delivery_date"
+        )
+        versions.record_extract(spark, extract, path, ["order_id"], day)
+    return staged(versions.intervals(versions.read_history(spark, path), ["order_id"]), "order-versions")
+
+
+@workload(
+    with_views("shop_orders", "order_extracts", "order_versions")
+    + f"""SELECT order_id, status, {sql_day("promised_delivery_date", "promised_delivery_date")},
+    {sql_time("seen_at", "valid_from")}, {sql_time("valid_to", "valid_to")} FROM order_versions"""
+)
+def order_state_intervals(spark, sf_dir):
+    return presented(
+        recorded_orders(spark, sf_dir).select("order_id", "status", "promised_delivery_date", "valid_from", "valid_to")
+    )
+
+
+@workload(
+    with_views("shop_orders", "shipments", "order_extracts", "order_versions")
+    + """SELECT s.order_id, v.status, count(*) AS n FROM shipments s LEFT JOIN order_versions v
+        ON v.order_id = s.order_id AND s.shipped_at >= v.seen_at AND (v.valid_to IS NULL OR s.shipped_at < v.valid_to)
+    GROUP BY ALL"""
+)
+def order_state_when_shipped(spark, sf_dir):
+    """The state that each shipment's order was in, as recorded, when it left."""
+    sent = retail.shipments(spark, sf_dir).select("order_id", F.col("shipped_at").cast("timestamp").alias("shipped_at"))
+    found = versions.as_of(sent, recorded_orders(spark, sf_dir), ["order_id"], "shipped_at")
+    return found.groupBy("order_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def recorded_history(spark, sf_dir):
+    return executive.summary_history(
+        retail.clickstream(spark, sf_dir),
+        retail.orders(spark, sf_dir),
+        retail.shipments(spark, sf_dir),
+        retail.order_items(spark, sf_dir),
+        retail.inventory(spark, sf_dir),
+        *days_of_events(spark, sf_dir),
+        names=NAMES,
+        states=STATES,
+        method="discrete",
+        order_versions=recorded_orders(spark, sf_dir),
+    )
+
+
+@workload(
+    with_views(*RECORDED_VIEWS)
+    + f"SELECT * EXCLUDE (d), {sql_day('d', 'metric_date')} FROM ({RECORDED_SQL})"
+)
+def exec_history_as_recorded(spark, sf_dir):
+    """The daily history with each day's own order states."""
+    return presented(recorded_history(spark, sf_dir))
+
+
 # Trend measures, over a daily history with gaps.
 
 VIEWS["all_days"] = """

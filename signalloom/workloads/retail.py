@@ -163,6 +163,56 @@ VIEWS["shop_orders"] = f"""
 """
 
 
+def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders on the time line of the carts: placed from the day before the cart's day to nine days after it."""
+    n = F.substring("order_id", 2, 20).cast("long")
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), (n % 30 + n % 11 - 1).cast("int"))
+    at = day.cast("timestamp_ntz") + F.make_dt_interval(hours=(n % 24).cast("int"))
+    return orders(spark, sf_dir).withColumn("order_created_at", at)
+
+
+VIEWS["placed_orders"] = f"""
+    SELECT * REPLACE (DATE '{FIRST_DAY}' + CAST(n % 30 + n % 11 - 1 AS INTEGER) + to_hours(CAST(n % 24 AS INTEGER))
+        AS order_created_at)
+    FROM (SELECT *, CAST(order_id[2:] AS BIGINT) AS n FROM shop_orders)
+"""
+
+
+EXTRACT_DAYS = ("2024-01-05", "2024-01-12", "2024-01-19", "2024-01-26")
+
+
+def order_extract(spark: SparkSession, sf_dir: str, taken_at: str) -> DataFrame:
+    """The orders as an extract at ``taken_at`` shows them: open until the day they closed, some with a moved promise."""
+    n = F.substring("order_id", 2, 20).cast("long")
+    taken = F.lit(taken_at).cast("date")
+    closed = F.date_add(F.lit(FIRST_DAY).cast("date"), (n % 40).cast("int")) <= taken
+    moved = (n % 5 == 0) & (taken >= F.lit(EXTRACT_DAYS[2]).cast("date"))
+    return orders(spark, sf_dir).where(F.to_date("order_created_at") <= taken).withColumns(
+        {
+            "status": F.when(closed, F.col("status")).otherwise(F.lit(STATES.open)),
+            "promised_delivery_date": F.when(moved, F.date_add("promised_delivery_date", 3)).otherwise(F.col("promised_delivery_date")),
+        }
+    )
+
+
+VIEWS["order_extracts"] = f"""
+    SELECT taken AS seen_at, order_id, customer_id, order_total_usd,
+        CASE WHEN DATE '{FIRST_DAY}' + CAST(n % 40 AS INTEGER) <= taken THEN status ELSE 'O' END AS status,
+        CASE WHEN n % 5 = 0 AND taken >= DATE '{EXTRACT_DAYS[2]}' THEN promised_delivery_date + 3
+            ELSE promised_delivery_date END AS promised_delivery_date
+    FROM (SELECT *, CAST(order_id[2:] AS BIGINT) AS n FROM shop_orders),
+        (SELECT CAST(unnest(['{"', '".join(EXTRACT_DAYS)}']) AS DATE) AS taken)
+    WHERE CAST(order_created_at AS DATE) <= taken
+"""
+VIEWS["order_versions"] = """
+    SELECT * REPLACE (CAST(seen_at AS TIMESTAMP) AS seen_at),
+        CAST(lead(seen_at) OVER (PARTITION BY order_id ORDER BY seen_at) AS TIMESTAMP) AS valid_to
+    FROM (SELECT *, lag((status, promised_delivery_date)) OVER (PARTITION BY order_id ORDER BY seen_at) AS before,
+            lag(seen_at) OVER (PARTITION BY order_id ORDER BY seen_at) AS earlier FROM order_extracts)
+    WHERE earlier IS NULL OR before IS DISTINCT FROM (status, promised_delivery_date)
+"""
+
+
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.substring("order_id", 2, 20).cast("long")
     return orders(spark, sf_dir).withColumns(

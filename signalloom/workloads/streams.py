@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from signalloom.session import scratch_path
 from signalloom.streaming import conform, landing, stateful
-from signalloom.workloads import retail
+from signalloom.workloads import carts, retail
 from signalloom.workloads.quality import CHECKED, retried_clickstream
 from signalloom.workloads.registry import presented, sql_time, workload
 from signalloom.workloads.retail import FIRST_DAY, NAMES, with_views
@@ -114,3 +114,28 @@ def session_window_stream(spark, sf_dir):
     )
     sessions = drained(spark, stateful.sessions(as_stream(spark, events.unionByName(closing))))
     return presented(sessions.where("session_id <> 'closing'"))
+
+
+@workload(
+    with_views(*carts.LINKED_VIEWS)
+    + f"""SELECT session_id, {sql_time("started_at", "started_at")}, customer_id, cart_id, order_id,
+    {sql_time("order_created_at", "order_created_at")} FROM linked_visits WHERE order_id IS NOT NULL"""
+)
+def session_order_linkage_stream(spark, sf_dir):
+    """The linkage from two streams; an event and an order far ahead move both watermarks past the end."""
+    # With a customer and a cart: rows that can't join are filtered before they could move a watermark.
+    ahead = lambda at: [
+        (F.max(at) + F.make_dt_interval(days=F.lit(30))).alias(at), F.lit("ahead").alias("customer_id"), F.lit("ahead").alias("cart_id")
+    ]
+    events = retail.clickstream(spark, sf_dir).select(
+        "session_id", "customer_id", "cart_id", F.col("event_timestamp").cast("timestamp").alias("event_timestamp")
+    )
+    orders = retail.placed_orders(spark, sf_dir).select(
+        "order_id", "customer_id", "cart_id", F.col("order_created_at").cast("timestamp").alias("order_created_at")
+    )
+    events = events.unionByName(events.agg(*ahead("event_timestamp")), allowMissingColumns=True)
+    orders = orders.unionByName(orders.agg(*ahead("order_created_at")), allowMissingColumns=True)
+    linked = stateful.linked_visits(as_stream(spark, events), as_stream(spark, orders))
+    return presented(
+        drained(spark, linked).select("session_id", "started_at", "customer_id", "cart_id", "order_id", "order_created_at")
+    )
