@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.calendar import calendar
 from signalloom.functions.tiers import percent_label, traffic_light
-from signalloom.operators import measures, versions
+from signalloom.operators import measures, sketches, versions
+from signalloom.operators.carts import conversion_lags
 from signalloom.operators.staging import staged
 from signalloom.plans import executive
 from signalloom.session import scratch_path
@@ -262,7 +263,7 @@ def exec_history_as_recorded(spark, sf_dir):
     return presented(recorded_history(spark, sf_dir))
 
 
-# Trend measures, over a daily history with gaps.
+# Trend measures, over a daily history.
 
 VIEWS["all_days"] = """
     SELECT event_date AS metric_date, sum(price_at_event) FILTER (event_type = 'click') AS recoverable_revenue,
@@ -271,9 +272,6 @@ VIEWS["all_days"] = """
         avg(CAST(k AS DOUBLE)) AS conversion_lag_median_minutes
     FROM clickstream GROUP BY event_date
 """
-VIEWS["history"] = "SELECT * FROM all_days WHERE day(metric_date) % 9 <> 5"
-
-
 def all_days(spark, sf_dir):
     kind, price = F.col("event_type"), F.col("price_at_event")
     return (
@@ -288,13 +286,7 @@ def all_days(spark, sf_dir):
     )
 
 
-def history(spark, sf_dir):
-    """A history with missing days, for the measures that have to bridge them."""
-    return all_days(spark, sf_dir).where(F.dayofmonth("metric_date") % 9 != 5)
-
-
 ALL_DAYS = with_views("clickstream", "all_days")
-HISTORY = with_views("clickstream", "all_days", "history")
 LAST_7 = "OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)"
 
 
@@ -310,59 +302,67 @@ def calendar_days(spark, sf_dir):
 
 
 @workload(
-    HISTORY
+    ALL_DAYS
     + f"""SELECT {sql_day("metric_date", "metric_date")},
     round(sum(recoverable_revenue) OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 0 DAY PRECEDING AND CURRENT ROW), 2) AS d1,
     round(sum(recoverable_revenue) {LAST_7}, 2) AS d7,
     round(sum(recoverable_revenue) OVER (ORDER BY metric_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW), 2) AS d30
-    FROM history"""
+    FROM all_days"""
 )
 def trailing_n_sum(spark, sf_dir):
-    out = history(spark, sf_dir).select("metric_date", "recoverable_revenue")
+    out = all_days(spark, sf_dir).select("metric_date", "recoverable_revenue")
     for n_days in (1, 7, 30):
         out = measures.trailing_sum(out, "recoverable_revenue", n_days, f"d{n_days}")
     return presented(out.drop("recoverable_revenue"))
 
 
 @workload(
-    HISTORY
-    + f"""SELECT {sql_day("metric_date", "metric_date")}, round(avg(on_time_delivery_rate) {LAST_7}, 6) AS rate_trend FROM history"""
+    ALL_DAYS
+    + f"""SELECT {sql_day("metric_date", "metric_date")}, round(avg(on_time_delivery_rate) {LAST_7}, 6) AS rate_trend FROM all_days"""
 )
 def rate_trend(spark, sf_dir):
-    trend = measures.trailing_average(history(spark, sf_dir), "on_time_delivery_rate", 7, "rate_trend")
+    trend = measures.trailing_average(all_days(spark, sf_dir), "on_time_delivery_rate", 7, "rate_trend")
     return presented(trend.select("metric_date", "rate_trend"))
 
 
 @workload(
-    HISTORY
+    ALL_DAYS
     + f"""SELECT {sql_day("h.metric_date", "metric_date")},
     round((h.recoverable_revenue - b.recoverable_revenue) / b.recoverable_revenue, 6) AS wow
-    FROM history h LEFT JOIN history b ON b.metric_date = h.metric_date - 7"""
+    FROM all_days h LEFT JOIN all_days b ON b.metric_date = h.metric_date - 7"""
 )
 def wow_pct(spark, sf_dir):
     return presented(
-        measures.week_over_week(history(spark, sf_dir), "recoverable_revenue", "wow").select("metric_date", "wow")
+        measures.week_over_week(all_days(spark, sf_dir), "recoverable_revenue", "wow").select("metric_date", "wow")
     )
 
 
 LIGHT = "CASE WHEN {0} >= 0.95 THEN 'green' WHEN {0} >= 0.9 THEN 'amber' WHEN {0} IS NOT NULL THEN 'red' END"
-
-
-@workload(
-    with_views("clickstream", "all_days", "history", "closes")
-    + f""", t AS (SELECT d AS metric_date, sum(recoverable_revenue) {LAST_7.replace("metric_date", "d")} AS revenue,
-        sum(delayed_order_revenue_risk) {LAST_7.replace("metric_date", "d")} AS delayed,
-        avg(on_time_delivery_rate) {LAST_7.replace("metric_date", "d")} AS rate,
-        avg(conversion_lag_median_minutes) {LAST_7.replace("metric_date", "d")} AS lag
+BY_DAY = LAST_7.replace("metric_date", "d")
+TREND_SQL = f"""t AS (SELECT d AS metric_date, sum(recoverable_revenue) {BY_DAY} AS revenue,
+        sum(delayed_order_revenue_risk) {BY_DAY} AS delayed, avg(on_time_delivery_rate) {BY_DAY} AS rate,
+        avg(conversion_lag_median_minutes) {BY_DAY} AS lag
         FROM closes LEFT JOIN history ON metric_date = d)
     SELECT {sql_day("t.metric_date", "metric_date")}, round(t.revenue, 2) AS recoverable_revenue_trailing,
     round(t.delayed, 2) AS delayed_order_revenue_risk_trailing,
-    round((t.revenue - b.revenue) / b.revenue, 6) AS recovery_wow, round(t.rate, 6) AS on_time_rate_trend,
+    round((t.revenue - b.revenue) / nullif(b.revenue, 0), 6) AS recovery_wow, round(t.rate, 6) AS on_time_rate_trend,
     printf('%.1f%%', t.rate * 100) AS on_time_rate_label, {LIGHT.format("t.rate")} AS on_time_light,
     round(t.lag, 6) AS conversion_lag_trend FROM t LEFT JOIN t b ON b.metric_date = t.metric_date - 7"""
+
+
+@workload(
+    with_views("clickstream", "all_days", "closes")
+    + f""", history AS (SELECT * FROM all_days), {TREND_SQL}"""
 )
 def kpi_trend(spark, sf_dir):
-    return presented(measures.kpi_trend(history(spark, sf_dir), calendar(spark, *days_of_events(spark, sf_dir))))
+    return presented(measures.kpi_trend(all_days(spark, sf_dir), calendar(spark, *days_of_events(spark, sf_dir))))
+
+
+@workload(with_views(*RECORDED_VIEWS) + f", history AS (SELECT d AS metric_date, * EXCLUDE (d) FROM ({RECORDED_SQL})), {TREND_SQL}")
+def kpi_trend_as_recorded(spark, sf_dir):
+    """The trend page over the daily history that was rebuilt from recorded order states."""
+    rebuilt = staged(recorded_history(spark, sf_dir), "rebuilt-history")
+    return presented(measures.kpi_trend(rebuilt, calendar(spark, *days_of_events(spark, sf_dir))))
 
 
 @workload(
@@ -417,3 +417,73 @@ def freshness(spark, sf_dir):
     }
     limits = {"clickstream": 15, "orders": 1440, "shipments": 1440}
     return presented(measures.freshness(datasets, limits, AS_OF))
+
+
+# Quantiles of spans of days, from sketches kept per day. An answer is right if its rank is within the sketch's bound.
+
+
+def judged(spark, answers, values, by, quantiles):
+    """``answers`` with, instead of each quantile, whether enough and not too many of the group's values lie below it."""
+    slack = sketches.rank_error() + 1e-9
+    q = answers.select(*by, *quantiles)
+    found = values.join(F.broadcast(q), by).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[
+            F.struct(F.count_if(F.col("_value") < F.col(c)).alias("below"), F.count_if(F.col("_value") <= F.col(c)).alias("upto")).alias(c)
+            for c in quantiles
+        ],
+    )
+    right = {c: (F.col(f"{c}.below") <= (p + slack) * F.col("_n") + 1) & (F.col(f"{c}.upto") >= (p - slack) * F.col("_n") - 1) for c, p in quantiles.items()}
+    return answers.drop(*quantiles).join(found.select(*by, *[x.alias(c) for c, x in right.items()]), by)
+
+
+VIEWS["day_lags"] = "SELECT CAST(checkout_complete_at AS DATE) AS d, lag_minutes FROM lags WHERE lag_minutes IS NOT NULL"
+
+
+def recorded_sketches(spark, df, value):
+    """Daily sketches kept in a table, the second half of the days in a run of its own, the last day twice."""
+    path = scratch_path(spark, "sketches")
+    half = F.dayofmonth("metric_date") <= 15
+    late = df.where(~half)
+    for part in (df.where(half), late, late.where(F.dayofmonth("metric_date") == 30)):
+        sketches.record_days(spark, sketches.sketched(part, value, ["metric_date"]), path)
+    return read_table(spark, path)
+
+
+@workload(
+    with_views("clickstream", "lags", "day_lags")
+    + f"""SELECT {sql_day("date_trunc('week', d)", "week_start")}, CAST(count(*) AS BIGINT) AS n_values,
+    round(min(lag_minutes), 6) AS least, round(max(lag_minutes), 6) AS most, true AS median, true AS p90 FROM day_lags GROUP BY 1"""
+)
+def weekly_lag_quantiles(spark, sf_dir):
+    """A week's median lag over its conversions, not over its days' medians."""
+    lags = conversion_lags(retail.clickstream(spark, sf_dir), names=NAMES, n_days=None).select(
+        F.to_date("checkout_complete_at").alias("metric_date"), "lag_minutes"
+    )
+    lags = staged(lags.where("lag_minutes IS NOT NULL"), "day-lags")
+    quantiles = {"median": 0.5, "p90": 0.9}
+    weekly = staged(sketches.with_quantiles(sketches.per_week(recorded_sketches(spark, lags, "lag_minutes")), quantiles), "weekly")
+    values = lags.select(F.to_date(F.date_trunc("week", "metric_date")).alias("week_start"), F.col("lag_minutes").alias("_value"))
+    return presented(judged(spark, weekly, values, ["week_start"], quantiles))
+
+
+@workload(
+    with_views("clickstream", "closes", "day_carts")
+    + f"""SELECT {sql_day("c.d", "metric_date")}, CAST(count(*) AS BIGINT) AS n_values, round(min(recoverable_cart_value), 6) AS least,
+    round(max(recoverable_cart_value), 6) AS most, true AS p90
+    FROM closes c JOIN day_carts v ON v.d BETWEEN c.d - 6 AND c.d GROUP BY c.d"""
+)
+def trailing_value_p90(spark, sf_dir):
+    """For each day the 90th percentile of the values of carts abandoned at the last seven closes."""
+    first, last = days_of_events(spark, sf_dir)
+    values = staged(
+        executive.abandoned_by_day(retail.clickstream(spark, sf_dir), first, last, names=NAMES).select("metric_date", "recoverable_cart_value"),
+        "day-values",
+    )
+    daily = recorded_sketches(spark, values, "recoverable_cart_value")
+    answers = staged(sketches.with_quantiles(sketches.trailing(daily, 7, first, last), {"p90": 0.9}), "trailing")
+    spread = values.select(
+        F.explode(F.sequence("metric_date", F.least(F.date_add("metric_date", 6), F.lit(last).cast("date")))).alias("metric_date"),
+        F.col("recoverable_cart_value").alias("_value"),
+    )
+    return presented(judged(spark, answers, spread, ["metric_date"], {"p90": 0.9}))
