@@ -58,6 +58,25 @@ def score_carts(
     return scored.withColumn("priority_score", blend(weights))
 
 
+def horizon_days(policy: CartPolicy) -> int:
+    """For how long after its last event a cart can bear on the signal."""
+    return max(policy.stale_days, policy.percentile_days or 0)
+
+
+def signal_of(
+    carts: DataFrame, orders: DataFrame, now: Column, policy: CartPolicy, states: OrderStates, percentile_method: str
+) -> DataFrame:
+    """The signal from the state of the carts, which has to hold all that were active within the horizon."""
+    horizon = horizon_days(policy)
+    candidates = staged(abandoned_carts(carts, now, replace(policy, stale_days=horizon)), "abandoned-carts")
+    cap = value_cap(candidates, policy, percentile_method)
+    current = candidates
+    if horizon > policy.stale_days:
+        current = abandoned_carts(candidates, now, policy)
+    scored = score_carts(current, orders, cap, states, policy)
+    return scored.withColumn("_gold_computed_at", F.current_timestamp()).select(*SIGNAL_COLUMNS)
+
+
 def cart_recovery_signal(
     events: DataFrame,
     orders: DataFrame,
@@ -77,20 +96,11 @@ def cart_recovery_signal(
     """
     now = instant_like(events, "event_timestamp", as_of)
     events = events.where(F.col("event_timestamp") <= now)
-    horizon = max(policy.stale_days, policy.percentile_days or 0)
     if "event_date" in events.columns:
-        since = now - days(horizon)
+        since = now - days(horizon_days(policy))
         in_horizon = (F.col("event_date") >= F.to_date(since)) & (F.col("event_timestamp") > since)
         events = rows_of_recent_carts(events, in_horizon & F.col("event_type").isin(*names.cart))
-    candidates = staged(
-        abandoned_carts(cart_state(events, names), now, replace(policy, stale_days=horizon)), "abandoned-carts"
-    )
-    cap = value_cap(candidates, policy, percentile_method)
-    current = candidates
-    if horizon > policy.stale_days:
-        current = abandoned_carts(candidates, now, policy)
-    scored = score_carts(current, orders, cap, states, policy)
-    return scored.withColumn("_gold_computed_at", F.current_timestamp()).select(*SIGNAL_COLUMNS)
+    return signal_of(cart_state(events, names), orders, now, policy, states, percentile_method)
 
 
 def latest_event_time(events: DataFrame) -> Column:

@@ -10,6 +10,8 @@ from signalloom.operators.measures import histogram
 from signalloom.operators.percentiles import ACCURACY, percentile
 from signalloom.operators.staging import staged
 from signalloom.plans import cart_recovery, reports
+from signalloom.plans.cart_increments import CartStore
+from signalloom.session import scratch_path
 from signalloom.workloads import retail
 from signalloom.workloads.registry import presented, sql_time, workload
 from signalloom.workloads.retail import AS_OF, NAMES, STATES, VIEWS, with_views
@@ -170,6 +172,20 @@ def cart_recovery_signal(spark, sf_dir):
     return presented(cart_recovery.ranked(scored, "priority_score", "cart_id"))
 
 
+@workload(with_views(*SIGNAL_VIEWS) + SIGNAL_SELECT + "cart_signal")
+def cart_recovery_incremental(spark, sf_dir):
+    """The signal after three increments; a tenth of the events comes one increment late, a tenth too early."""
+    store = CartStore(scratch_path(spark, "cart-store"))
+    times = ["2024-01-11 00:00:00", "2024-01-21 00:00:00", AS_OF]
+    due = F.when(F.col("event_timestamp") < times[0], 0).when(F.col("event_timestamp") < times[1], 1).otherwise(2)
+    shift = F.when(F.col("k") % 10 == 0, 1).when(F.col("k") % 10 == 1, -1).otherwise(0)
+    events = retail.clickstream(spark, sf_dir).withColumn("increment", F.least(F.greatest(due + shift, F.lit(0)), F.lit(2)))
+    for number, as_of in enumerate(times):
+        store.advance(spark, number, events.where(F.col("increment") == number), as_of, names=NAMES)
+    found = store.signal(spark, 2, retail.orders(spark, sf_dir), AS_OF, states=STATES, percentile_method="discrete")
+    return presented(found.drop("_gold_computed_at"))
+
+
 @workload()
 def cart_recovery_signal_approx(spark, sf_dir):
     """The production form: sketch percentile."""
