@@ -50,11 +50,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def size_of(schema: T.StructType) -> Column:
-    """Aggregate for the bytes held by columns of ``schema``: a fixed width each, plus the text."""
+    """Aggregate for the bytes held by columns of ``schema``: a fixed width each, plus texts and array elements."""
     fixed, text = 8 + 16 * len(schema.fields), []
     for field in schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             text.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, (T.NumericType, T.DatetimeType)):
+            text.append(F.coalesce(F.sum(F.greatest(F.size(field.name), F.lit(0)) * 16), F.lit(0)))
         elif not isinstance(field.dataType, T.AtomicType):
             raise TypeError(f"no size rule for {field.name}: {field.dataType.simpleString()}")
     return reduce(add, text, F.count(F.lit(1)) * F.lit(fixed))
