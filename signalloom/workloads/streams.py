@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalloom.session import scratch_path
-from signalloom.streaming import conform, landing, stateful
+from signalloom.streaming import conform, landing, late, stateful
 from signalloom.workloads import carts, retail
 from signalloom.workloads.quality import CHECKED, retried_clickstream
 from signalloom.workloads.registry import presented, sql_time, workload
@@ -139,3 +139,31 @@ def session_order_linkage_stream(spark, sf_dir):
     return presented(
         drained(spark, linked).select("session_id", "started_at", "customer_id", "cart_id", "order_id", "order_created_at")
     )
+
+
+@workload(
+    with_views("clickstream")
+    + """, ordered AS (SELECT *, lag(event_timestamp) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS before
+        FROM clickstream),
+    numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR event_timestamp > before + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+        OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS n FROM ordered)
+    """
+    + f"""SELECT session_id, {sql_time("min(event_timestamp)", "started_at")}, {sql_time("max(event_timestamp)", "ended_at")},
+    count(*) AS n_events, true AS some_late FROM numbered GROUP BY session_id, n"""
+)
+def sessions_with_late_rows(spark, sf_dir):
+    """Three rounds of a stream in which a tenth of the events comes a round late; the late ones mend the sessions."""
+    root = scratch_path(spark, "late-sessions")
+    at = F.col("event_timestamp")
+    due = F.when(at < "2024-01-11", 0).when(at < "2024-01-21", 1).otherwise(2)
+    events = retail.clickstream(spark, sf_dir).select(
+        "event_id", "session_id", at.cast("timestamp").alias("event_timestamp"), F.least(due + (F.col("k") % 10 == 0).cast("int"), F.lit(2)).alias("round")
+    )
+    step = late.SessionsWithLate(f"{root}/sessions")
+    for number in range(3):
+        part = events.where(F.col("round") == number).drop("round")
+        part.write.mode("append").parquet(f"{root}/raw")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/raw")
+        late.start_sessions(stream, step, f"{root}/checkpoint").awaitTermination()
+    some_late = step.late(spark).agg(F.count(F.lit(1)) > 0).scalar()
+    return presented(step.repaired(spark).withColumn("some_late", some_late))

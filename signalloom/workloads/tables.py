@@ -10,6 +10,8 @@ from signalloom.session import scratch_path
 from signalloom.sinks import tables
 from signalloom.sinks.audit import audited, read_audit_log
 from signalloom.sources.files import EXTRACTS, Lake, read_extracts, read_json_landing
+from signalloom.operators.staging import staged
+from signalloom.sources import discovery
 from signalloom.sources.rescue import rescued_json
 from signalloom.streaming.landing import CLICKSTREAM
 from signalloom.workloads import carts, executive, retail
@@ -138,6 +140,54 @@ def rescued_data(spark, sf_dir):
     return rows.select("event_id", "quantity", F.coalesce(text, F.lit("")).alias("rescued"))
 
 
+def evolving_lines(spark, sf_dir):
+    """Events with fields that the schema has not: points, a rate, a coupon, tags and an address, and lines of rubbish."""
+    kind, k = F.col("event_type"), F.col("k")
+    rows = retail.clickstream(spark, sf_dir).select(
+        "event_id", "event_type", "quantity",
+        F.when(kind == "click", k).alias("points"),
+        F.when(kind == "error", k / 2 + 0.25).alias("rate"),
+        F.when(kind == "purchase", F.concat(F.lit("C"), "quantity")).alias("coupon"),
+        F.when(kind == "signup", F.array("quantity")).alias("tags"),
+        F.when(kind == "signup", F.struct(F.col("quantity").alias("no"), F.col("session_id").alias("street"))).alias("address's"),
+    )
+    line = F.to_json(F.struct(*rows.columns))
+    rubbish = F.when(F.col("event_type") == "view", F.concat(F.lit("["), "event_id", F.lit("]"))).otherwise(line)
+    return rows.select("event_id", rubbish.alias("value"))
+
+
+@workload(
+    with_views("clickstream")
+    + """, f AS (SELECT unnest([CASE WHEN event_type = 'click' THEN 'points' END, CASE WHEN event_type = 'error' THEN 'rate' END,
+        CASE WHEN event_type = 'purchase' THEN 'coupon' END, CASE WHEN event_type = 'signup' THEN 'tags' END,
+        CASE WHEN event_type = 'signup' THEN 'address''s' END]) AS field FROM clickstream)
+    SELECT field, count(*) AS n_rows, 0::BIGINT AS n_nulls, CASE field WHEN 'points' THEN 'BIGINT' WHEN 'rate' THEN 'DOUBLE'
+        WHEN 'coupon' THEN 'STRING' ELSE 'STRING' END AS promoted_to FROM f WHERE field IS NOT NULL GROUP BY field"""
+)
+def unknown_fields_report(spark, sf_dir):
+    lines = staged(evolving_lines(spark, sf_dir), "lines")
+    report = staged(discovery.unknown_fields(lines, CLICKSTREAM), "report")
+    kinds = discovery.promotable(report)
+    to = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    return report.select("field", "n_rows", "n_nulls", F.element_at(to, F.col("field")).alias("promoted_to"))
+
+
+@workload(
+    with_views("clickstream")
+    + """SELECT event_id, CASE WHEN event_type = 'click' THEN CAST(k AS BIGINT) END AS points,
+    CASE WHEN event_type = 'error' THEN round(k / 2 + 0.25, 6) END AS rate,
+    CASE WHEN event_type = 'purchase' THEN 'C' || quantity END AS coupon,
+    CASE WHEN event_type = 'signup' THEN '{"no":' || quantity || ',"street":"' || session_id || '"}' END AS address,
+    CASE WHEN event_type = 'signup' THEN '[' || quantity || ']' END AS tags FROM clickstream"""
+)
+def promoted_fields(spark, sf_dir):
+    """Every field that the report names as a column."""
+    lines = staged(evolving_lines(spark, sf_dir), "lines")
+    kinds = discovery.promotable(discovery.unknown_fields(lines, CLICKSTREAM))
+    rows = discovery.promoted(lines, kinds).withColumnRenamed("address's", "address")
+    return presented(rows.select("event_id", "points", "rate", "coupon", "address", "tags"))
+
+
 @workload(
     """SELECT 'count_orders' AS job_name, 'silver' AS layer, 'retail_dev.silver.orders' AS target_table,
     count(*) AS row_count, 'success' AS status FROM orders
