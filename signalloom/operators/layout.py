@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,21 @@ def cluster(
     by: str = "event_date",
     spread: Sequence[str] = ("event_timestamp", "event_id"),
     n_files: int = 1,
+    bloom: bool = False,
 ) -> None:
     """Write ``df`` so that files and row groups hold narrow ranges of ``column``.
 
     Their minimum and maximum then let a lookup skip nearly all of them. ``spread`` comes after
-    ``column`` in the range key, so that a single hot value is cut into several files.
+    ``column`` in the range key, so that a single hot value is cut into several files. ``bloom`` adds a Bloom filter
+    of ``column`` to each row group, for lookups of values that lie within its range and are not there. The column
+    is then written without a dictionary, which a column of many values outgrows and which would take the filter's place.
     """
     order = [by, column, *spread]
     ranged = df.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
-    ranged.write.mode("overwrite").partitionBy(by).parquet(path)
+    writer = ranged.write.mode("overwrite").partitionBy(by)
+    if bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.enable.dictionary#{column}", "false")
+    writer.parquet(path)
 
 
 def cluster_table(spark: SparkSession, source_path: str, path: str, column: str, **options) -> None:
@@ -60,13 +67,58 @@ def point_lookup(df: DataFrame, column: str, value: str | Column, day: str | Col
     return df.where((F.col(column) == value) & (F.col(by) >= F.date_sub(day, 7)))
 
 
+@dataclass(frozen=True)
+class ScanMetrics:
+    """What the scans of a query did: files and bytes left by partition pruning, rows of the row groups they read."""
+
+    files: int
+    bytes: int
+    rows: int
+
+
+def _leaves(plan):
+    """Leaves of an executed plan, also of the stages that an adaptive one was run in."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        yield from _leaves(plan.executedPlan())
+        return
+    leaves = plan.collectLeaves()
+    for leaf in map(leaves.apply, range(leaves.size())):
+        if leaf.getClass().getSimpleName().endswith("QueryStageExec"):
+            yield from _leaves(leaf.plan())
+        else:
+            yield leaf
+
+
+def scan_metrics(df: DataFrame) -> ScanMetrics:
+    """Run ``df`` and add up what its executed file scans report. Its rows stay on the executors."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    totals = dict.fromkeys(("numFiles", "filesSize", "numOutputRows"), 0)
+    for leaf in _leaves(execution.executedPlan()):
+        metrics = leaf.metrics()
+        if metrics.contains("numFiles"):
+            for name in totals:
+                totals[name] += metrics.apply(name).value()
+    return ScanMetrics(totals["numFiles"], totals["filesSize"], totals["numOutputRows"])
+
+
+def lookup_costs(layouts: Mapping[str, DataFrame], column: str, value: str, day: str, by: str = "event_date") -> DataFrame:
+    """One row per layout: what ``point_lookup`` of ``value`` reads there. Counts, so always the same."""
+    rows = []
+    for name, table in layouts.items():
+        seen = scan_metrics(point_lookup(table, column, value, day, by))
+        rows.append((name, seen.files, seen.bytes, seen.rows))
+    spark = next(iter(layouts.values())).sparkSession
+    return spark.createDataFrame(rows, "layout STRING, files_read LONG, bytes_in_files LONG, rows_scanned LONG")
+
+
 def compare_layouts(
     spark: SparkSession, layouts: Mapping[str, str], column: str = "cart_id", n_runs: int = 5
 ) -> DataFrame:
     """Time the same lookup on several stored layouts.
 
     The value comes from the first layout. Per layout: average and fastest time of ``n_runs``
-    uncached runs and the number of files.
+    uncached runs, the number of files, and what the scan read (``lookup_costs``).
     """
     first = spark.read.parquet(next(iter(layouts.values())))
     value, day = sample_lookup(first, column)
@@ -81,4 +133,5 @@ def compare_layouts(
             lookup.write.format("noop").mode("overwrite").save()
             seconds.append(time.perf_counter() - started)
         rows.append((name, sum(seconds) / n_runs, min(seconds), len(table.inputFiles())))
-    return spark.createDataFrame(rows, "layout STRING, avg_seconds DOUBLE, min_seconds DOUBLE, num_files LONG")
+    timed = spark.createDataFrame(rows, "layout STRING, avg_seconds DOUBLE, min_seconds DOUBLE, num_files LONG")
+    return timed.join(lookup_costs({n: spark.read.parquet(p) for n, p in layouts.items()}, column, value, day), "layout")

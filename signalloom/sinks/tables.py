@@ -1,16 +1,16 @@
 """Writes to parquet tables: append, snapshot, and merges on a key.
 
-Without a table format a merge is a rewrite. It is kept to the partitions it touches: Spark's
-dynamic partition overwrite writes beside the table and moves whole partitions in at commit. A merge
-that dies before its commit leaves the table as it was and is simply repeated. The commit itself is not
-atomic: if the driver dies in the middle of it, a partition that was removed and not yet moved in has lost
-its stored rows, and has to be restored from the layer below.
+Without a table format a merge is a rewrite. It is kept to the partitions it touches, which are first written
+whole beside the table. The commit is a note that names them: before it is there the table is as it was, and from
+then on readers take the named partitions, wherever they are, and the next merge finishes moving them in. So a driver
+may die at any point, and the merge is simply repeated.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -39,9 +39,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 LAYOUT = "_layout.json"
 
 
-def stored_layout(spark: SparkSession, path: str) -> dict | None:
-    """Keys, number of buckets and schema of a merged table, as kept beside its files; None without them."""
-    fs, where = hadoop_path(spark, f"{path}/{LAYOUT}")
+COMMIT = "_commit.json"
+
+
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    fs, where = hadoop_path(spark, path)
     if not fs.exists(where):
         return None
     stream = fs.open(where)
@@ -51,14 +53,59 @@ def stored_layout(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
-def _keep_layout(spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int, schema: T.StructType) -> None:
-    fs, where = hadoop_path(spark, f"{path}/{LAYOUT}")
-    layout = {"keys": list(keys), "n_buckets": n_buckets, "schema": json.loads(schema.json())}
+def _write_json(spark: SparkSession, path: str, content: dict) -> None:
+    fs, where = hadoop_path(spark, path)
     out = fs.create(where, True)
-    out.write(json.dumps(layout).encode())
+    out.write(json.dumps(content).encode())
     out.close()
 
 
+def stored_layout(spark: SparkSession, path: str) -> dict | None:
+    """Keys, number of buckets and schema of a merged table, as kept beside its files; None without them."""
+    note = _read_json(spark, f"{path}/{COMMIT}")
+    return note["layout"] if note else _read_json(spark, f"{path}/{LAYOUT}")
+
+
+def _bucket_folder(root: str, bucket: int) -> str:
+    return f"{root}/{BUCKET}={bucket}"
+
+
+def _move_in(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``; nothing to do if that was done before."""
+    fs, written = hadoop_path(spark, source)
+    _, place = hadoop_path(spark, target)
+    if fs.exists(written):
+        fs.delete(place, True)
+        if not fs.rename(written, place):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
+def _finish_commit(spark: SparkSession, path: str) -> None:
+    """Move in what a commit names. Every step may be repeated, and the note goes last. For the one writer of a table."""
+    note = _read_json(spark, f"{path}/{COMMIT}")
+    if note is None:
+        return
+    for bucket in note["buckets"]:
+        _move_in(spark, _bucket_folder(note["written"], bucket), _bucket_folder(path, bucket))
+    _write_json(spark, f"{path}/{LAYOUT}", note["layout"])
+    fs, where = hadoop_path(spark, f"{path}/{COMMIT}")
+    fs.delete(where, False)
+    fs.delete(hadoop_path(spark, note["written"])[1], True)
+
+
+def _commit(spark: SparkSession, path: str, written: str, buckets: Sequence[int], layout: dict) -> None:
+    """Make the buckets below ``written`` those of the table: by a note that is there whole or not at all."""
+    _write_json(spark, f"{written}{COMMIT}", {"written": written, "buckets": sorted(buckets), "layout": layout})
+    fs, draft = hadoop_path(spark, f"{written}{COMMIT}")
+    if not fs.rename(draft, hadoop_path(spark, f"{path}/{COMMIT}")[1]):
+        raise OSError(f"{path} could not be committed")
+    _finish_commit(spark, path)
+
+
+def _layout(keys: Sequence[str], n_buckets: int, schema: T.StructType) -> dict:
+    return {"keys": list(keys), "n_buckets": n_buckets, "schema": json.loads(schema.json())}
+
+
 def _agreed_schema(stored: T.StructType, source: T.StructType, path: str) -> T.StructType:
     """The stored columns and then the source's new ones; a column that changes its type is an error."""
     types = {f.name: f.dataType for f in stored.fields}
@@ -68,10 +115,21 @@ def _agreed_schema(stored: T.StructType, source: T.StructType, path: str) -> T.S
     return T.StructType([*stored.fields, *(f for f in source.fields if f.name not in types)])
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = hadoop_path(spark, path)
+    return fs.exists(where)
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame:
+    note = _read_json(spark, f"{path}/{COMMIT}")
     layout = stored_layout(spark, path)
-    reader = spark.read
-    return (reader.schema(T.StructType.fromJson(layout["schema"])) if layout else reader).parquet(path)
+    reader = lambda: spark.read.schema(T.StructType.fromJson(layout["schema"])) if layout else spark.read
+    if note is None:
+        return reader().parquet(path)
+    # A commit that has not moved in all its buckets yet: those are read where they were written.
+    waiting = [b for b in note["buckets"] if _exists(spark, _bucket_folder(note["written"], b))]
+    moved = reader().parquet(path).where(~F.col(BUCKET).isin(waiting)) if waiting else reader().parquet(path)
+    return moved.unionByName(reader().parquet(note["written"]).where(F.col(BUCKET).isin(waiting))) if waiting else moved
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -141,6 +199,7 @@ def upsert(
     if newest is not None:
         ties = [c for c, t in source.dtypes if c != newest and "<" not in t]
         source = latest_per_key(source, keys, newest, ties)
+    _finish_commit(spark, path)
     layout = stored_layout(spark, path) if table_exists(spark, path) else None
     if layout is not None:
         if layout["keys"] != list(keys):
@@ -161,14 +220,13 @@ def upsert(
         return
     if facts["most"] > 1:
         raise ValueError(f"source of the merge into {path} repeats a key ({', '.join(keys)})")
-    # The layout goes first: a column that no file has yet reads as null, one that it lacks would be lost.
+    written = f"{path}/_merge-{uuid.uuid4().hex}"
     if not table_exists(spark, path):
-        _keep_layout(spark, path, keys, n_buckets, source.schema)
-        write_partitions(source, path, [BUCKET], replace_touched=True)
+        write_partitions(source, written, [BUCKET])
+        _commit(spark, path, written, facts["buckets"], _layout(keys, n_buckets, source.schema))
         return
 
     schema = _agreed_schema(_stored(spark, path).schema, source.schema, path)
-    _keep_layout(spark, path, keys, n_buckets, schema)
     stored = _stored(spark, path).where(F.col(BUCKET).isin(facts["buckets"]))
     crowded = len(stored.inputFiles()) > MOST_FILES * len(facts["buckets"])
     if facts["size"] <= broadcast_bytes:
@@ -184,7 +242,8 @@ def upsert(
         together = both.repartition(BUCKET, "_slice")
         merged = latest_per_key(together, [BUCKET, "_slice", *keys], "_new").drop("_new", "_slice")
         crowded = False
-    write_partitions(merged, path, [BUCKET], replace_touched=True, arrange=crowded)
+    write_partitions(merged, written, [BUCKET], arrange=crowded)
+    _commit(spark, path, written, facts["buckets"], _layout(keys, n_buckets, schema))
 
 
 def _in_partitions_of(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:

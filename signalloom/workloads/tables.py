@@ -380,6 +380,35 @@ def layout_comparison(spark, sf_dir):
     return layout.compare_layouts(spark, {"partitioned": plain, "partitioned and clustered": clustered})
 
 
+@workload(
+    with_views("clickstream")
+    + """, x AS (SELECT cart_id, event_date AS d FROM clickstream WHERE cart_id IS NOT NULL ORDER BY cart_id, event_date LIMIT 1),
+    n AS (SELECT count(*) AS n FROM clickstream, x WHERE clickstream.cart_id = x.cart_id AND event_date >= d - 7)
+    SELECT layout, n AS n_found, layout <> 'partitioned' AS scans_less,
+        CASE WHEN layout <> 'partitioned' THEN layout = 'with filter' END AS skips_absent
+    FROM n, (VALUES ('partitioned'), ('clustered'), ('with filter')) AS l(layout)"""
+)
+def layout_scan_costs(spark, sf_dir):
+    """Rows scanned by the lookup of a cart, and of one that is not there, as the executed scans report them."""
+    stored = stored_events(spark, sf_dir)
+    events = spark.read.parquet(stored)
+    clustered = {"clustered": scratch_path(spark, "clustered"), "with filter": scratch_path(spark, "clustered")}
+    # Without a dictionary either way, as a column of very many values has none.
+    ordered = events.repartitionByRange(120, "event_date", "cart_id").sortWithinPartitions("cart_id")
+    ordered.write.partitionBy("event_date").option("parquet.enable.dictionary#cart_id", "false").parquet(clustered["clustered"])
+    layout.cluster(events, clustered["with filter"], "cart_id", n_files=120, bloom=True)
+    tables_ = {"partitioned": events} | {name: spark.read.parquet(path) for name, path in clustered.items()}
+    value, day = layout.sample_lookup(events, "cart_id")
+    present = {r["layout"]: r["rows_scanned"] for r in layout.lookup_costs(tables_, "cart_id", value, day).collect()}
+    of_clustered = {name: table for name, table in tables_.items() if name in clustered}
+    absent = {r["layout"]: r["rows_scanned"] == 0 for r in layout.lookup_costs(of_clustered, "cart_id", f"{value}0", day).collect()}
+    rows = [
+        (name, layout.point_lookup(table, "cart_id", value, day).count(), present[name] < present["partitioned"], absent.get(name))
+        for name, table in tables_.items()
+    ]
+    return spark.createDataFrame(rows, "layout STRING, n_found LONG, scans_less BOOLEAN, skips_absent BOOLEAN")
+
+
 @workload(
     with_views("clickstream")
     + f"""SELECT event_id, cart_id, {sql_time("event_timestamp", "event_timestamp")}, {sql_day("event_date", "event_date")}

@@ -53,3 +53,37 @@ def test_comparison_reports_every_layout(spark):
     assert [r.layout for r in out] == ["plain", "clustered"]
     assert all(0 < r.min_seconds <= r.avg_seconds for r in out)
     assert out[1].num_files < out[0].num_files
+
+
+def test_scans_report_what_they_read(spark):
+    source, path = stored(spark), scratch_path(spark, "clustered")
+    layout.cluster(spark.read.parquet(source), path, "cart_id", n_files=40)
+    plain, clustered = spark.read.parquet(source), spark.read.parquet(path)
+    whole = layout.scan_metrics(plain)
+    assert (whole.rows, whole.files) == (1200, len(plain.inputFiles())) and whole.bytes > 0
+    one_day = layout.scan_metrics(plain.where(F.col("event_date") == NOW.date()))
+    assert one_day.rows == 300 and one_day.files < whole.files
+    value, day = layout.sample_lookup(plain, "cart_id")
+    costs = {r.layout: r for r in layout.lookup_costs({"plain": plain, "clustered": clustered}, "cart_id", value, day).collect()}
+    assert 0 < costs["clustered"].rows_scanned < costs["plain"].rows_scanned
+    # Also below an exchange, where the plan is adaptive.
+    assert layout.scan_metrics(plain.groupBy("cart_id").count()).rows == 1200
+
+
+def test_a_bloom_filter_spares_a_value_that_is_not_there(spark):
+    df = spark.range(20000).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.concat(F.lit("c"), F.xxhash64("id")).alias("cart_id"),
+        F.lit(NOW).alias("event_timestamp"),
+        F.lit(NOW.date()).alias("event_date"),
+    )
+    with_filter, without = scratch_path(spark, "bloom"), scratch_path(spark, "plain")
+    layout.cluster(df, with_filter, "cart_id", bloom=True)
+    df.sortWithinPartitions("cart_id").coalesce(1).write.partitionBy("event_date").option("parquet.enable.dictionary#cart_id", "false").parquet(without)
+    tables = {"with": spark.read.parquet(with_filter), "without": spark.read.parquet(without)}
+    scanned = lambda value: {r.layout: r.rows_scanned for r in layout.lookup_costs(tables, "cart_id", value, str(NOW.date())).collect()}
+    absent = scanned("c5")
+    assert absent["with"] == 0 and absent["without"] > 0
+    there = df.first().cart_id
+    assert scanned(there)["with"] > 0
+    assert layout.point_lookup(tables["with"], "cart_id", there, str(NOW.date())).count() == 1

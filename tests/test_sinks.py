@@ -79,6 +79,50 @@ def test_upsert_compacts_crowded_buckets(spark, monkeypatch):
     assert tables.read_table(spark, path).count() == 40
 
 
+@pytest.mark.parametrize("dies_at", range(6))
+def test_a_driver_that_dies_in_a_merge_loses_nothing(spark, monkeypatch, dies_at):
+    """It dies before the note of the commit, at it, or between the moves of four buckets; then the merge is repeated."""
+    path = scratch_path(spark, "t")
+    old = spark.range(40).select("id", F.lit(1).alias("v"))
+    change = spark.range(20, 60).select("id", F.lit(2).alias("v"), F.lit("n").alias("note"))
+    tables.upsert(spark, old, path, ["id"], n_buckets=4)
+    before, after = rows(old), [(i, 1, None) for i in range(20)] + [(i, 2, "n") for i in range(20, 60)]
+    steps = {"n": 0}
+
+    def counted(fn):
+        def step(*args):
+            if steps["n"] == dies_at:
+                raise KeyboardInterrupt
+            steps["n"] += 1
+            return fn(*args)
+
+        return step
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_move_in", counted(tables._move_in))
+        m.setattr(tables, "_commit", counted(tables._commit))
+        with pytest.raises(KeyboardInterrupt):
+            tables.upsert(spark, change, path, ["id"], n_buckets=4)
+            raise KeyboardInterrupt
+    key = lambda r: r["id"]
+    found = [tuple(r) for r in sorted(tables.read_table(spark, path).collect(), key=key)]
+    assert found == (sorted(before) if dies_at == 0 else after)
+    for _ in range(2):
+        tables.upsert(spark, change, path, ["id"], n_buckets=4)
+        assert [tuple(r) for r in sorted(tables.read_table(spark, path).collect(), key=key)] == after
+    assert spark.read.parquet(path).count() == 60
+
+
+def test_a_first_merge_that_dies_is_repeated(spark, monkeypatch):
+    path = scratch_path(spark, "t")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_move_in", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            tables.upsert(spark, spark.range(9), path, ["id"], n_buckets=2)
+    tables.upsert(spark, spark.range(5, 12), path, ["id"], n_buckets=2)
+    assert tables.read_table(spark, path).count() == 12
+
+
 def test_insert_new_keeps_what_is_stored(spark, either_join):
     path = scratch_path(spark, "t")
     tables.insert_new(spark, frame(spark, ("a", "d1", 1), ("b", "d1", 1)), path, "k1", "k2")
