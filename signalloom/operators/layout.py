@@ -55,6 +55,19 @@ def cluster_table(spark: SparkSession, source_path: str, path: str, column: str,
     cluster(spark.read.parquet(source_path), path, column, n_files=n_files, **options)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, n_buckets: int) -> DataFrame:
+    """Store ``df`` at ``path`` by a hash of ``key``, known to the session's catalog as ``name``, and return it from there.
+
+    Tables with the same number of buckets of the same key are joined on it, and aggregated by it, without a shuffle:
+    that is paid once, here. A bucket is one task of those joins, so their number follows from the largest table, at
+    about 256 MB a bucket (``files_for``). For keys that no value dominates, such as order ids. Drop the name when done;
+    the files stay.
+    """
+    dealt = df.repartition(n_buckets, key)
+    dealt.write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def sample_lookup(df: DataFrame, column: str, by: str = "event_date") -> tuple[str, str]:
     """A value that occurs, and its day: the smallest value and its first day, so always the same."""
     row = df.where(F.col(column).isNotNull()).agg(F.min(F.struct(column, by)).alias("s")).first()["s"]

@@ -337,9 +337,11 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 def write_quarantine(quarantined: DataFrame, path: str, batch_id: str | int) -> bool:
     """Keep quarantined rows of one batch with the time; nothing is written without any.
 
-    Each batch has its own folder, which a repeated batch overwrites.
+    Each batch has its own folder, which a repeated batch overwrites, or clears if it has no such rows any more.
     """
     if quarantined.isEmpty():
+        fs, where = hadoop_path(quarantined.sparkSession, f"{path}/batch_id={batch_id}")
+        fs.delete(where, True)
         return False
     stamped = quarantined.withColumn("_quarantined_at", F.current_timestamp())
     stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -88,6 +88,7 @@ def start_conform(
     checkpoint: str,
     *,
     every: str | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Follow the landing table. Replayed batches change nothing: the merge recognises stored rows
     and a batch's quarantine folder is overwritten.
@@ -97,4 +98,5 @@ def start_conform(
     """
     stream = read_landing(spark, landing_path, schema).withWatermark("event_timestamp", WATERMARK)
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     return with_trigger(writer, every).start()

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from signalloom.model import CLICKSTREAM_COLUMNS, struct_of
 from signalloom.sources.rescue import rescued_json
+from signalloom.streaming.progress import with_freshness
 
 CLICKSTREAM = struct_of(CLICKSTREAM_COLUMNS)
 
@@ -52,12 +53,15 @@ def start_landing(
     *,
     every: str | None = None,
     max_files: int | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Append every new line to the landing table. The checkpoint remembers the files already read."""
-    writer = (
-        landed(read_lines(spark, folder, max_files))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    """Append every new line to the landing table. The checkpoint remembers the files already read.
+
+    A query with a ``name`` reports its newest event time to a ``ProgressLog``.
+    """
+    rows = landed(read_lines(spark, folder, max_files))
+    if name:
+        rows = with_freshness(rows)
+    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     return with_trigger(writer, every).start(table_path)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalloom.session import scratch_path
-from signalloom.streaming import conform, landing, late, stateful
+from signalloom.streaming import conform, landing, late, progress, stateful
 from signalloom.workloads import carts, retail
 from signalloom.workloads.quality import CHECKED, retried_clickstream
 from signalloom.workloads.registry import presented, sql_time, workload
-from signalloom.workloads.retail import FIRST_DAY, NAMES, with_views
+from signalloom.workloads.retail import AS_OF, FIRST_DAY, NAMES, with_views
 from signalloom.workloads.tables import raw_records
 
 
@@ -167,3 +167,40 @@ def sessions_with_late_rows(spark, sf_dir):
         late.start_sessions(stream, step, f"{root}/checkpoint").awaitTermination()
     some_late = step.late(spark).agg(F.count(F.lit(1)) > 0).scalar()
     return presented(step.repaired(spark).withColumn("some_late", some_late))
+
+
+@workload(
+    with_views("clickstream", "dirty_clickstream")
+    + f"""SELECT dataset, CASE WHEN dataset = 'landed' THEN n_rows END AS n_rows, {sql_time("date_trunc('milliseconds', latest_at)", "latest_at")}, sla_minutes,
+    (epoch(TIMESTAMP '{AS_OF}') - floor(epoch(latest_at))) / 60.0 <= sla_minutes AS within_sla
+    FROM (SELECT count(*) AS n_rows, max(event_timestamp) AS latest_at FROM dirty_clickstream),
+        (VALUES ('landed', 5.0::DOUBLE), ('conformed', 5.0::DOUBLE * 1440)) AS l(dataset, sla_minutes)
+    UNION ALL SELECT 'unheard of', NULL, NULL, 15.0, false"""
+)
+def stream_freshness(spark, sf_dir):
+    """Freshness as the landing query and the one behind it report it while they run, in two rounds."""
+    root = scratch_path(spark, "stream")
+    records = raw_records(spark, sf_dir)
+    early = F.col("dt") < F.date_add(F.lit(FIRST_DAY).cast("date"), 7)
+    step = conform.Conform(f"{root}/silver", f"{root}/quarantine", names=NAMES, as_of=F.col("producer_ingested_at"))
+    label = root.rsplit("-", 1)[-1]
+    log = progress.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        for arrivals in (records.where(early), records.where(~early)):
+            append_lines(arrivals, f"{root}/raw")
+            first = landing.start_landing(spark, f"{root}/raw", f"{root}/landed", f"{root}/checkpoints/landing", name=f"landed-{label}")
+            first.awaitTermination()
+            schema = spark.read.parquet(f"{root}/landed").schema
+            second = conform.start_conform(
+                spark, f"{root}/landed", schema, step, f"{root}/checkpoints/silver", name=f"conformed-{label}"
+            )
+            second.awaitTermination()
+            log.wait_for(first, second)
+    finally:
+        spark.streams.removeListener(log)
+    limits = {f"landed-{label}": 5, f"conformed-{label}": 5 * 1440, f"unheard of-{label}": 15}
+    found = log.freshness(spark, limits, AS_OF).withColumn("dataset", F.substring_index("dataset", "-", 1))
+    return presented(
+        found.select("dataset", F.when(F.col("dataset") == "landed", F.col("n_rows")).alias("n_rows"), F.date_trunc("millisecond", "latest_at").alias("latest_at"), "sla_minutes", "within_sla")
+    )

@@ -1,13 +1,15 @@
 import datetime as dt
+import uuid
 
 import pytest
-from conftest import NOW, ago, rows
+from conftest import NOW, ago, plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from signalloom.operators import fulfillment, staging
+from signalloom.operators import fulfillment, layout, staging
 from signalloom.plans.fulfillment_risk import SIGNAL_COLUMNS, fulfillment_risk_signal
+from signalloom.session import scratch_path
 
 TODAY = NOW.date()
 ORDERS = "order_id STRING, customer_id STRING, order_total_usd DOUBLE, status STRING, promised_delivery_date DATE"
@@ -108,3 +110,23 @@ def test_pressure_never_grows_as_the_promise_moves_out(spark, offsets, transit):
     out = scored(spark, [(d, transit, False, 0.0) for d in sorted(offsets)])
     pressure = [r.time_pressure_score for r in out]
     assert all(a >= b for a, b in zip(pressure, pressure[1:]))
+
+
+def test_tables_stored_by_order_are_joined_without_a_shuffle(spark, monkeypatch):
+    orders, shipments, items, stock = tables(spark)
+    expected = rows(fulfillment_risk_signal(orders, shipments, items, stock, NOW).drop("_gold_computed_at"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        label = uuid.uuid4().hex
+        stored = [
+            layout.write_bucketed(df, f"{name}_{label}", scratch_path(spark, name), "order_id", 4)
+            for name, df in (("o", orders), ("s", shipments), ("i", items))
+        ]
+        signal = fulfillment_risk_signal(*stored, stock, NOW).drop("_gold_computed_at")
+        plan = plan_of(signal)
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan and "hashpartitioning(order_id" not in plan
+        assert "hashpartitioning(order_id" in plan_of(fulfillment_risk_signal(orders, shipments, items, stock, NOW))
+        assert rows(signal) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

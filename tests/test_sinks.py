@@ -182,6 +182,9 @@ def test_quarantine_is_skipped_when_empty_and_replaced_on_replay(spark):
         assert tables.write_quarantine(bad, path, 1)
     assert tables.write_quarantine(bad, path, 2)
     assert spark.read.parquet(path).count() == 2
+    # A batch that is run again and finds nothing wrong leaves nothing of its first run.
+    assert not tables.write_quarantine(bad.where("false"), path, 2)
+    assert spark.read.parquet(path).count() == 1
 
 
 def test_csv_export_has_a_header(spark):
