@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from signalloom.functions.clock import AsOf
 from signalloom.model import EventNames, OrderStates
 from signalloom.operators import quality
-from signalloom.operators.staging import staging_area
+from signalloom.operators.staging import staged, staging_area
 from signalloom.operators.standardize import STANDARD_FORMS
 from signalloom.plans.cart_recovery import cart_recovery_signal
 from signalloom.plans.executive import daily_summary
@@ -48,15 +48,27 @@ class Conforming:
     references: dict[str, str] = field(default_factory=dict)
 
 
-REFERENCES = {"orders": {"customer_id": "customers"}}
+#: A cart is known by the sessions of the conformed clickstream.
+REFERENCES = {
+    "orders": {"customer_id": "customers", "cart_id": "clickstream_events"},
+    "order_items": {"order_id": "orders"},
+    "shipments": {"order_id": "orders"},
+}
+
+
+def _depth(name: str) -> int:
+    return 1 + max((_depth(other) for other in REFERENCES.get(name, {}).values()), default=-1)
+
+
 #: In the order of the extracts, but for what others refer to, which goes first.
 CONFORMINGS = sorted(
     (
         Conforming(e.name, e.keys, STANDARD_FORMS[e.name], RULES.get(e.name, list), REFERENCES.get(e.name, {}))
         for e in EXTRACTS
     ),
-    key=lambda c: bool(c.references),
+    key=lambda c: _depth(c.name),
 )
+KEYS = {e.name: tuple(e.keys) for e in EXTRACTS}
 
 
 def ingest_extract(spark: SparkSession, lake: Lake, folder: str, extract: Extract, n_buckets: int = 64) -> None:
@@ -82,11 +94,14 @@ def conform_table(
     n_buckets: int = 64,
     only_run: str | None = None,
     full_contract: bool = False,
+    references: bool = False,
 ) -> None:
     """Check and merge one table. ``only_run`` limits it to the rows that this run ingested.
 
-    ``full_contract`` also puts aside rows whose keys refer to nothing that is known, and orders whose time isn't
-    near that of their ingestion; a first load of old orders would fail the latter.
+    ``references`` also puts aside rows whose keys refer to nothing that is known: orders of unknown customers or of
+    carts that no session holds, lines and shipments of unknown orders. Where the table referred to isn't there yet,
+    nothing is checked against it. ``full_contract`` does that too, and puts aside orders whose time isn't near that of
+    their ingestion; a first load of old orders would fail the latter.
     """
     with audited(spark, lake, f"conform_{table.name}", "silver", table.name) as counts:
         rows = read_table(spark, lake.path("bronze", table.name))
@@ -95,12 +110,17 @@ def conform_table(
         with staging_area(spark, "conform"):
             rows, rules = table.standardize(rows), table.rules()
             flags = []
-            if full_contract:
+            if full_contract or references:
                 for key, other in table.references.items():
-                    known = read_table(spark, lake.path("silver", other))
+                    if not table_exists(spark, lake.path("silver", other)):
+                        continue
+                    known = read_table(spark, lake.path("silver", other)).select(key)
+                    if KEYS.get(other) != (key,):
+                        known = staged(known.where(F.col(key).isNotNull()).distinct(), "known-keys")
                     flags.append(f"_orphan_{key}")
                     rows = quality.with_orphan_flag(rows, known, key, table.keys[0], flags[-1])
                     rules.append(quality.Rule(f"orphan_{key}", F.col(flags[-1])))
+            if full_contract:
                 if table.name == "orders":
                     rules.append(quality.order_clock_rule(F.col("_bronze_ingested_at")))
             clean, bad = (side.drop(*flags) for side in quality.split_once(rows, rules, "checked"))
@@ -136,6 +156,7 @@ def refresh(
     method: str = "approx",
     only_new: bool = False,
     full_contract: bool = False,
+    references: bool = False,
 ) -> None:
     """Ingest and conform the extracts, publish both signals, and record the day's KPIs.
 
@@ -143,7 +164,7 @@ def refresh(
     refresh again gives the same tables.
 
     ``only_new`` conforms what this run ingests and not the whole landing tables again; the run then needs an
-    id of its own, under which it is also repeated if it dies. ``full_contract`` is that of ``conform_table``.
+    id of its own, under which it is also repeated if it dies. ``full_contract`` and ``references`` are those of ``conform_table``.
     """
     only_run = spark.conf.get(RUN_ID_SETTING, None) if only_new else None
     if only_new and only_run is None:
@@ -153,7 +174,7 @@ def refresh(
         ingest_extract(spark, lake, extracts_folder, extract, n_buckets)
     for table in CONFORMINGS:
         if table_exists(spark, lake.path("bronze", table.name)):
-            conform_table(spark, lake, table, n_buckets, only_run, full_contract)
+            conform_table(spark, lake, table, n_buckets, only_run, full_contract, references)
 
     silver_folder = lake.path("silver", "clickstream_events").rsplit("/", 1)[0]
     size_shuffles(spark, stored_bytes(spark, silver_folder))

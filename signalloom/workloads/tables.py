@@ -339,6 +339,32 @@ def medallion_refresh(spark, sf_dir):
     return presented(tables.read_table(spark, lake.path("gold", "exec_summary_daily")))
 
 
+@workload(
+    with_views("clickstream", "shop_orders", "order_items", "shipments")
+    + """, lines AS (SELECT DISTINCT order_id, sku FROM order_items),
+    good AS (SELECT order_id FROM shop_orders WHERE cart_id IS NULL
+        OR cart_id IN (SELECT cart_id FROM clickstream WHERE cart_id IS NOT NULL))
+    SELECT dataset, reasons, count(*) AS n_rows FROM (
+        SELECT 'orders' AS dataset, CASE WHEN order_id NOT IN (FROM good) THEN 'orphan_cart_id' ELSE '' END AS reasons FROM shop_orders
+        UNION ALL SELECT 'order_items', CASE WHEN order_id NOT IN (FROM good) THEN 'orphan_order_id' ELSE '' END FROM lines
+        UNION ALL SELECT 'shipments', CASE WHEN order_id NOT IN (FROM good) THEN 'orphan_order_id' ELSE '' END FROM shipments)
+    GROUP BY dataset, reasons"""
+)
+def refresh_with_references(spark, sf_dir):
+    """What a refresh stores and what it puts aside, if carts have to be known by a session and lines by an order."""
+    lake = Lake(scratch_path(spark, "lake"))
+    folder = export_extracts(spark, sf_dir, {e.name for e in EXTRACTS})
+    tables.write_partitions(retail.clickstream(spark, sf_dir), lake.path("silver", "clickstream_events"), ["event_date"])
+    refresh(spark, lake, folder, AS_OF, names=NAMES, n_buckets=4, references=True)
+    out = None
+    for name in ("orders", "order_items", "shipments"):
+        kept = tables.read_table(spark, lake.path("silver", name)).select(F.lit("").alias("reasons"))
+        bad = spark.read.parquet(lake.path("silver", f"{name}_quarantine")).select(F.array_join("_dq_fail_reasons", ",").alias("reasons"))
+        part = kept.unionByName(bad).withColumn("dataset", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("dataset", "reasons").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # Layout.
 
 

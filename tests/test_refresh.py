@@ -95,6 +95,33 @@ def test_only_new_rows_are_conformed_under_the_full_contract(spark):
     assert reasons == [("o2", "orphan_customer_id"), ("o5", "invalid_order_created_at")]
 
 
+def test_references_are_checked_in_turn(spark):
+    """An order whose cart no session holds goes aside, and with it its lines and its shipment."""
+    lake, folder = Lake(scratch_path(spark, "lake")), scratch_path(spark, "extracts")
+    head = EXTRACTS["orders"][0]
+    order = lambda o, customer, cart: f"{o},{customer},{cart},2024-03-01T00:00:00Z,web,USD,1.0,75.0,in_transit,{PROMISED}"
+    extracts = {
+        "customers": EXTRACTS["customers"],
+        "orders": [head, order("o1", "cust1", "c1"), order("o2", "cust1", "lost"), order("o3", "who", "lost"), order("o4", "cust1", "")],
+        "order_items": ["order_id,sku,qty,unit_price", "o1,S,1,1.0", "o2,S,1,1.0", "o4,S,1,1.0", "o9,S,1,1.0"],
+    }
+    for name, lines in extracts.items():
+        write_lines(spark, f"{folder}/{name}.csv", *lines)
+    specs, tables = {e.name: e for e in EXTRACT_SPECS}, {c.name: c for c in CONFORMINGS}
+    assert [c.name for c in CONFORMINGS].index("orders") < [c.name for c in CONFORMINGS].index("order_items")
+    events = spark.createDataFrame([("e1", "c1"), ("e2", "c1"), ("e3", None)], "event_id STRING, cart_id STRING")
+    write_partitions(events, lake.path("silver", "clickstream_events"), [])
+    for name in extracts:
+        ingest_extract(spark, lake, folder, specs[name], 2)
+    for name in extracts:
+        conform_table(spark, lake, tables[name], 2, references=True)
+    stored = lambda name: [r.order_id for r in read_table(spark, lake.path("silver", name)).orderBy("order_id").collect()]
+    assert stored("orders") == ["o1", "o4"] and stored("order_items") == ["o1", "o4"]
+    reasons = lambda name: rows(spark.read.parquet(lake.path("silver", f"{name}_quarantine")), "order_id", F.array_join("_dq_fail_reasons", ","))
+    assert reasons("orders") == [("o2", "orphan_cart_id"), ("o3", "orphan_customer_id,orphan_cart_id")]
+    assert reasons("order_items") == [("o2", "orphan_order_id"), ("o9", "orphan_order_id")]
+
+
 def test_only_new_needs_a_run_id(spark):
     with pytest.raises(ValueError, match=RUN_ID_SETTING):
         refresh(spark, Lake(scratch_path(spark, "lake")), scratch_path(spark, "extracts"), NOW, only_new=True)
