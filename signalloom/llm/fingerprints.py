@@ -190,7 +190,7 @@ def beside_next(documents: DataFrame) -> DataFrame:
             yield pa.record_batch({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
     rows = docs.mapInArrow(run, "bucket int, ghost boolean, doc_id long, tie long, packed binary")
-    return rows.repartition(parts, "bucket").sortWithinPartitions(
+    return rows.repartitionById(parts, "bucket").sortWithinPartitions(
         "bucket", "ghost", F.col("doc_id").desc_nulls_last(), "tie"
     )
 

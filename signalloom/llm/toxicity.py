@@ -60,8 +60,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
     return first.select("r.doc_id", "r.text", "r.y")
 
 
-#: A word counts as itself and by its beginnings, which catch inflected and compound forms.
-PREFIXES = (4, 5, 6)
+#: A longer word counts as itself and by its beginning of so many letters, which catches inflected and compound forms.
+BEGINNING = 5
 
 
 def words(text: str) -> list[str]:
@@ -69,11 +69,9 @@ def words(text: str) -> list[str]:
 
 
 def terms_of(word: str) -> list[str]:
-    return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
+    return [word, f"{word[:BEGINNING]}*"] if len(word) > BEGINNING else [word]
 
 
-#: Terms that no labelled document has share so many document frequencies, by hash.
-SLOTS = 1 << 20
 #: Terms in more than one of so many examples are kept as rows of all examples, the others as postings.
 COMMON = 8
 #: Documents whose common terms are multiplied at once.
@@ -89,7 +87,7 @@ def hash_of(term: str) -> int:
 
 
 class Vocabulary:
-    """Numbers of all terms: those of the labelled sample have their own, the others one of ``SLOTS`` behind them."""
+    """Numbers of all terms: 0, 1, ... for those of the labelled sample, for any other a larger one of 62 bits of its hash."""
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = np.sort(hashes)
@@ -97,42 +95,53 @@ class Vocabulary:
     def __len__(self) -> int:
         return len(self.hashes)
 
-    def numbers(self, terms: list[str]) -> list[int]:
+    def numbers(self, terms: list[str]) -> np.ndarray:
         h = np.array([hash_of(t) for t in terms], np.int64)
         i = np.searchsorted(self.hashes, h)
         known = np.append(self.hashes, 0)[i] == h
-        return np.where(known & (i < len(self.hashes)), i, len(self.hashes) + h % SLOTS).tolist()
+        return np.where(known & (i < len(self.hashes)), i, len(self.hashes) + (h & ((1 << 62) - 1)))
 
 
-class Lookup(dict):
-    """Word -> numbers of the terms it counts as; forgets all when it has grown to ``most`` words."""
+class Lookup:
+    """Numbers of the terms that words count as; forgets all words when it would hold more than ``most``."""
 
-    def __init__(self, terms: Vocabulary, most: int = 100_000):
+    def __init__(self, terms: Vocabulary, most: int = 200_000):
         self.terms, self.most = terms, most
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.most:
-            self.clear()
-        found = self[word] = tuple(self.terms.numbers(terms_of(word)))
-        return found
+        self.names: dict[int, str] = {}
+        self._clear(most)
+
+    def _clear(self, room: int) -> None:
+        self.rows: dict[str, int] = {}
+        self.word, self.beginning = np.empty(room, np.int64), np.empty(room, np.int64)
+
+    def _learn(self, found: list[Counter]) -> None:
+        new = list({w for c in found for w in c if w not in self.rows})
+        if len(self.rows) + len(new) > self.most:
+            new = list({w for c in found for w in c})
+            self._clear(max(self.most, len(new)))
+        if not new:
+            return
+        longer = [w for w in new if len(w) > BEGINNING]
+        starts = [f"{w[:BEGINNING]}*" for w in longer]
+        numbers = self.terms.numbers(new + starts)
+        low = len(self.rows)
+        self.rows.update(zip(new, range(low, low + len(new))))
+        self.word[low : low + len(new)] = numbers[: len(new)]
+        self.beginning[low : low + len(new)] = -1
+        self.beginning[[self.rows[w] for w in longer]] = numbers[len(new) :]
+        self.names.update((i, x) for i, x in zip(numbers.tolist(), new + starts) if i < len(self.terms))
 
     def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Term numbers and how often each text has them; words that are new are looked up together."""
+        """Term numbers, ascending, and how often each text has them; words that are new are looked up together."""
         found = [Counter(words(text)) for text in texts]
-        if len(self) >= self.most:
-            self.clear()
-        new = list({w for c in found for w in c if w not in self})
-        every = [terms_of(w) for w in new]
-        numbers = iter(self.terms.numbers([t for ts in every for t in ts]))
-        for word, ts in zip(new, every):
-            self[word] = tuple(next(numbers) for _ in ts)
+        self._learn(found)
         out = []
         for c in found:
-            tf: dict[int, int] = {}
-            for word, n in c.items():
-                for t in self[word]:
-                    tf[t] = tf.get(t, 0) + n
-            out.append((np.fromiter(tf, np.int64, len(tf)), np.fromiter(tf.values(), np.int64, len(tf))))
+            rows = np.fromiter(map(self.rows.__getitem__, c), np.int64, len(c))
+            n = np.fromiter(c.values(), np.int64, len(c))
+            starts = self.beginning[rows]
+            t, at = np.unique(np.concatenate([self.word[rows], starts[starts >= 0]]), return_inverse=True)
+            out.append((t, np.bincount(at, np.concatenate([n, n[starts >= 0]]), len(t)).astype(np.int64)))
         return out
 
 
@@ -167,16 +176,16 @@ def term_strengths(sample: DataFrame) -> tuple[Vocabulary, np.ndarray]:
 
 
 def document_frequencies(documents: DataFrame, terms: Vocabulary) -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many each term or slot is: over all documents, summed within tasks first."""
+    """Number of documents, and in how many each term of the sample is: over all documents, summed within tasks first."""
 
     def run(batches):
-        counts, n, lookup = np.zeros(len(terms) + SLOTS, np.int64), 0, Lookup(terms)
+        counts, n, lookup = np.zeros(len(terms), np.int64), 0, Lookup(terms)
         for batch in slices(batches):
             n += batch.num_rows
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), AT_ONCE):
                 for t, _ in lookup.counted(texts[at : at + AT_ONCE]):
-                    counts[t] += 1
+                    counts[t[: np.searchsorted(t, len(terms))]] += 1
         ids = np.flatnonzero(counts)
         for at in range(0, len(ids), 1 << 16):
             some = ids[at : at + (1 << 16)]
@@ -186,7 +195,7 @@ def document_frequencies(documents: DataFrame, terms: Vocabulary) -> tuple[int,
     sums = documents.select(whole_text().alias("text")).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
     found = sums.toArrow()
     i, n = found.column("i").to_numpy(), found.column("n").to_numpy()
-    out = np.zeros(len(terms) + SLOTS + 1, np.int64)
+    out = np.zeros(len(terms) + 1, np.int64)
     out[i] = n
     return int(out[-1]), out[:-1]
 
@@ -207,14 +216,14 @@ class BlockMaxIndex:
     #: Blocks to look into before any is passed over.
     FIRST = 4
 
-    def __init__(self, terms: Vocabulary | dict[str, int], weights: np.ndarray, block: int):
-        self.terms, self.weights, self.block = terms, weights, block
+    def __init__(self, terms: Vocabulary | dict[str, int], weights: np.ndarray, block: int, unknown: float = 1.0):
+        self.terms, self.weights, self.block, self.unknown = terms, weights, block, unknown
         self.lookup = Lookup(terms)
         self.base_rate = self.empty_rate = 0.5
 
     def __getstate__(self):
         """What workers need to lay out the postings again, which is a third of them."""
-        kept = ("terms", "weights", "block", "base_rate", "empty_rate", "ids", "y", "norms")
+        kept = ("terms", "weights", "block", "unknown", "base_rate", "empty_rate", "ids", "y", "norms")
         pack = zstandard.ZstdCompressor().compress
         return {k: getattr(self, k) for k in kept} | {"packed": [(pack(x.tobytes()), x.dtype.str) for x in self.packed]}
 
@@ -230,7 +239,10 @@ class BlockMaxIndex:
         """Term numbers and weights of a unit vector of all words of each text; empty if it has none."""
         out = []
         for t, n in self.lookup.counted(texts):
-            w = (1 + np.log(n)) * self.weights[t]
+            known = np.searchsorted(t, len(self.weights))
+            w = 1 + np.log(n)
+            w[:known] *= self.weights[t[:known]]
+            w[known:] *= self.unknown
             out.append((t, w / (math.sqrt(float(w @ w)) or 1.0)))
         return out
 
@@ -297,7 +309,7 @@ class BlockMaxIndex:
         self.rows = np.zeros((len(common), n))
         column = self.column[t]
         self.rows[column[column >= 0], at[column >= 0]] = w[column >= 0]
-        t, self.at, self.w = t[column < 0], at[column < 0], w[column < 0]
+        t, self.at, self.w = t[column < 0], at[column < 0].astype(np.int64), w[column < 0]
         blocks = self.at // self.block
         new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (blocks[1:] != blocks[:-1])
@@ -311,43 +323,70 @@ class BlockMaxIndex:
         """What the common terms add to the cosine of each vector and example."""
         q = np.zeros((len(vectors), len(self.rows)))
         for i, (t, w) in enumerate(vectors):
-            c = self.column[t]
+            w = w[t < len(self.weights)]
+            c = self.column[t[t < len(self.weights)]]
             q[i, c[c >= 0]] = w[c >= 0]
         return q @ self.rows
 
-    def search(self, v: dict[int, float] | tuple[np.ndarray, np.ndarray], k: int, common: np.ndarray | None = None) -> list[tuple[float, int]]:
-        """The k examples of the highest cosine as (cosine, position); of equal ones those of the smallest id."""
+    def search(self, v: dict[int, float] | tuple[np.ndarray, np.ndarray], k: int, common: np.ndarray | None = None,
+               ties: bool = False) -> list[tuple[float, int]]:
+        """The k examples of the highest cosine as (cosine, position); of equal ones those of the smallest id.
+
+        With ``ties`` all that are equal to the k-th are given too.
+        """
         t, w = (np.array(list(v), np.int64), np.array(list(v.values()))) if isinstance(v, dict) else v
         if not len(self.ids):
             return []
         cosine = self.common([(t, w)])[0] if common is None else common.copy()
-        n = self.entries[t + 1] - self.entries[t]
-        entries, x = _ranges(self.entries[t], n), np.repeat(w, n)
-        blocks = self.blocks[entries]
-        bounds = np.maximum.reduceat(cosine, np.arange(0, len(cosine), self.block))
-        bounds = bounds + np.bincount(blocks, x * self.most[entries], len(bounds))
-        seen = np.zeros(len(bounds), bool)
-
-        def look(into: np.ndarray) -> np.ndarray:
-            mine = into[blocks]
-            low = self.first[entries[mine]]
-            n = self.first[entries[mine] + 1] - low
-            at = _ranges(low, n)
-            cosine[:] += np.bincount(self.at[at], np.repeat(x[mine], n) * self.w[at], len(cosine))
-            seen[into] = True
+        rare = t < len(self.weights)
+        rare[rare] = self.entries[t[rare]] < self.entries[t[rare] + 1]
+        t, w = t[rare], w[rare]
+        low, high = self.entries[t], self.entries[t + 1]
+        spans = list(zip(low.tolist(), high.tolist()))
+        none = [np.zeros(0, np.int64)]
+        blocks = np.concatenate([self.blocks[a:b] for a, b in spans] or none)
+        most = np.concatenate([self.most[a:b] for a, b in spans] or none)
+        starts = np.arange(0, len(cosine), self.block)
+        rest = np.bincount(blocks, np.repeat(w, high - low) * most, len(starts))
+        bounds = np.maximum.reduceat(cosine, starts) + rest
+        into = np.zeros(len(bounds), bool)
+        into[np.argsort(-bounds, kind="stable")[: max(self.FIRST, -(-2 * k // self.block))]] = True
+
+        ends = np.cumsum(high - low)
+
+        def look(into: np.ndarray) -> None:
+            mine = np.flatnonzero(into[blocks])
+            term = np.searchsorted(ends, mine, "right")
+            entries = mine + (high - ends)[term]
+            n = self.first[entries + 1] - self.first[entries]
+            at = _ranges(self.first[entries], n)
+            cosine[:] += np.bincount(self.at[at], np.repeat(w[term], n) * self.w[at], len(cosine))
+
+        def best_of(seen: np.ndarray) -> np.ndarray:
             found = np.flatnonzero(np.repeat(seen, self.block)[: len(cosine)])
             return found[cosine[found] > 0]
 
-        into = np.zeros(len(bounds), bool)
-        into[np.argsort(-bounds, kind="stable")[: max(self.FIRST, -(-2 * k // self.block))]] = True
-        found = look(into)
+        partial = cosine.copy()
+        look(into)
+        found = best_of(into)
         least = np.partition(cosine[found], -k)[-k] if len(found) >= k else 0.0
-        rest = ~seen & (bounds > 0) & (bounds >= least - 1e-9)
-        if rest.any():
-            found = look(rest)
+        more = ~into & (bounds > 0) & (bounds >= least - 1e-9)
+        if more.sum() * 4 > len(more):
+            # Most lists would be read in pieces; whole ones are read faster.
+            spans = list(zip(self.first[low].tolist(), self.first[high].tolist()))
+            at = np.concatenate([self.at[a:b] for a, b in spans] or none)
+            x = np.concatenate([self.w[a:b] for a, b in spans] or none)
+            cosine = partial + np.bincount(at, np.repeat(w, self.first[high] - self.first[low]) * x, len(partial))
+            found = np.flatnonzero(cosine > 0)
+        elif more.any():
+            look(more)
+            found = best_of(into | more)
         rounded = np.round(cosine[found], 9)
-        best = found[np.lexsort((self.ids[found], -rounded))[:k]]
-        return [(round(float(cosine[i]), 9), int(i)) for i in best]
+        if len(found) > k:
+            near = rounded >= np.partition(rounded, -k)[-k]
+            found, rounded = found[near], rounded[near]
+        best = found[np.lexsort((self.ids[found], -rounded))]
+        return [(round(float(cosine[i]), 9), int(i)) for i in (best if ties else best[:k])]
 
 
 def learned(documents: DataFrame, labels: DataFrame, params: ToxicityParams | None = None, label: str = "toxic",
@@ -357,28 +396,34 @@ def learned(documents: DataFrame, labels: DataFrame, params: ToxicityParams | No
     sample = staged(labelled_sample(documents, labels, label, modulus, remainder, params.max_labelled), "labelled")
     terms, strengths = term_strengths(sample)
     n, df = document_frequencies(documents, terms)
-    weights = np.log((1 + n) / (1 + df)) + 1
-    weights[: len(terms)] *= strengths
-    index = BlockMaxIndex(terms, weights, params.block)
+    weights = (np.log((1 + n) / (1 + df)) + 1) * strengths
+    # A term that none of the examples has weighs like one that a single document in as many as there are examples has.
+    index = BlockMaxIndex(terms, weights, params.block, math.log(1 + sample.count()) + 1)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = Lookup(terms).counted(batch.column("text").to_pylist())
+        pack = zstandard.ZstdCompressor().compress
+        counts = [np.concatenate([t, n]).astype(np.uint32) for t, n in found]
         return pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
                 "y": batch.column("y"),
-                "t": pa.array([t for t, _ in found], pa.list_(pa.int32())),
-                "n": pa.array([tf for _, tf in found], pa.list_(pa.int32())),
+                "n": pa.array([len(t) for t, _ in found], pa.int64()),
+                "packed": pa.array([pack(c.tobytes()) for c in counts], pa.binary()),
             }
         )
 
-    rows = map_batches(sample, run, "doc_id long, y int, t array<int>, n array<int>").toArrow()
-    lists = rows.column("t").combine_chunks()
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    t = lists.flatten().to_numpy().copy()
-    tf = rows.column("n").combine_chunks().flatten().to_numpy().copy()
+    rows = map_batches(sample, run, "doc_id long, y int, n long, packed binary").toArrow()
+    lengths = rows.column("n").to_numpy()
+    unpack = zstandard.ZstdDecompressor().decompress
+    t, tf = np.empty(int(lengths.sum()), np.int32), np.empty(int(lengths.sum()), np.int32)
+    at = 0
+    for packed, n in zip(rows.column("packed"), lengths.tolist()):
+        both = np.frombuffer(unpack(packed.as_py()), np.uint32)
+        t[at : at + n], tf[at : at + n] = both[:n], both[n:]
+        at += n
     ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy().astype(np.int64)
-    del rows, lists
+    del rows
     return index.build_counts(ids, y, lengths, t, tf)
 
 
@@ -386,7 +431,7 @@ def vote(index: BlockMaxIndex, v: tuple[np.ndarray, np.ndarray], params: Toxicit
     """The score of a vector, and its neighbours."""
     if not len(v[0]):
         return index.empty_rate, []
-    near = index.search(v, params.neighbours, common)
+    near = index.search(v, params.neighbours, common, ties=True)
     w = np.exp(-(1 - np.array([c for c, _ in near])) / params.width)
     y = index.y[np.array([i for _, i in near], np.int64)]
     votes = float(w @ y) + params.prior_votes * index.base_rate
@@ -418,13 +463,12 @@ def scored(documents: DataFrame, index: BlockMaxIndex, params: ToxicityParams |
         for batch in slices(batches):
             scores, evidence, terms = [], [], []
             texts = batch.column("text").to_pylist()
-            for text, (score, near, (t, w)) in zip(texts, votes(own, texts, params)):
+            for score, near, (t, w) in votes(own, texts, params):
                 scores.append(score)
                 evidence.append([{"doc_id": int(own.ids[i]), "cosine": c, "label": int(own.y[i])} for c, i in near[:5]])
                 known = t < len(own.terms)
                 heavy = t[known][np.lexsort((t[known], -w[known]))[:SHOWN]].tolist()
-                names = {i: x for word in set(words(text)) for i, x in zip(own.lookup[word], terms_of(word))} if heavy else {}
-                terms.append([names[i] for i in heavy])
+                terms.append([own.lookup.names[i] for i in heavy])
             shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
             yield pa.record_batch(
                 {
