@@ -309,7 +309,8 @@ class BlockMaxIndex:
         self.rows = np.zeros((len(common), n))
         column = self.column[t]
         self.rows[column[column >= 0], at[column >= 0]] = w[column >= 0]
-        t, self.at, self.w = t[column < 0], at[column < 0].astype(np.int64), w[column < 0]
+        # Narrow numbers, since reading the lists is what a search spends its time on.
+        t, self.at, self.w = t[column < 0], at[column < 0].astype(np.min_scalar_type(n)), w[column < 0]
         blocks = self.at // self.block
         new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (blocks[1:] != blocks[:-1])
@@ -317,7 +318,8 @@ class BlockMaxIndex:
         # A term's entries, one for each block it is in: the block, its largest weight, its first posting.
         self.entries = np.searchsorted(t[first], np.arange(len(self.weights) + 1, dtype=t.dtype)).astype(np.int32)
         self.blocks, self.first = blocks[first], np.append(first, len(t)).astype(np.int32)
-        self.most = np.maximum.reduceat(self.w, first) if len(first) else self.w
+        most = np.maximum.reduceat(self.w, first) if len(first) else self.w
+        self.most = np.nextafter(most.astype(np.float32), np.float32(np.inf))
 
     def common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the common terms add to the cosine of each vector and example."""
