@@ -21,6 +21,8 @@ MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
 #: Bytes of an archive that one reading task owns.
 SPLIT_BYTES = 32 << 20
+#: Most reading tasks; beyond it a task owns several ranges.
+READERS = 20_000
 #: Payloads of fewer bytes are written each time they occur.
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -29,6 +31,8 @@ DATE = "1970-01-01T00:00:00Z"
 
 
 def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+    for name in ("s3a://", "s3n://"):
+        path = path.replace(name, "s3://", 1) if path.startswith(name) else path
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
@@ -215,7 +219,7 @@ RECORDS = (
 def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """One row per record of ``archives`` (path, size), in any order.
 
-    Files are cut into byte ranges with a task each. A task looks for the gzip magic in its range, takes a place
+    Files are cut into byte ranges with a task each (``READERS`` at most, then several ranges). A task looks for the gzip magic in its range, takes a place
     for the start of a record if a WARC header can be decoded there, and owns the records that start
     in its range, reading past its end to finish the last. ``payload`` is the body behind the HTTP header, null for
     a revisit, whose size and digest (hexadecimal) are as declared.
@@ -252,7 +256,9 @@ def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    return splits.repartition(F.col("path"), F.col("start")).mapInArrow(run, RECORDS)
+    # A number given is kept: adaptive execution would join the ranges, few bytes each, into one task.
+    tasks = splits.count()
+    return splits.repartition(max(1, min(tasks, READERS))).mapInArrow(run, RECORDS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
