@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,12 @@ def terms(text: str) -> Counter:
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every bit of the result depends on every bit of x."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class Sampler:
@@ -57,44 +61,53 @@ class Sampler:
 
     def _draw(self, start: int, new: list[str]) -> None:
         h = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 1) for t in new], np.uint64)
-        for at in range(0, len(new), 1024):
-            own = h[at : at + 1024]
+        half, unit = np.float32(0.5), np.float32(2**-32)
+        for at in range(0, len(new), 256):
+            own = h[at : at + 256]
             rows = slice(start + at, start + at + len(own))
-
-            def uniforms(number: int):
-                x = _mixed((own[:, None] ^ self.step) + np.uint64(number))  # noqa: B023
-                high = ((x >> np.uint64(32)).astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
-                low = ((x & np.uint64(0xFFFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
-                return high, low
-
-            gamma = lambda number: -np.log(np.multiply(*uniforms(number)))
-            self.hashes[rows] = own
-            self.r[rows] = gamma(1)
-            self.c[rows] = np.log(np.maximum(gamma(2), np.float32(1e-30)))
+            first = own[:, None] ^ self.step
+
+            def uniform(x: np.ndarray) -> np.ndarray:
+                u = x.astype(np.float32)
+                u += half  # noqa: B023
+                u *= unit  # noqa: B023
+                return u
+
+            def gamma(number: int) -> np.ndarray:
+                x = _mixed(first + np.uint64(number))  # noqa: B023
+                u = uniform(x >> np.uint64(32))
+                u *= uniform(x & np.uint64(0xFFFFFFFF))
+                np.log(u, out=u)
+                return np.negative(u, out=u)
+
+            r, c = gamma(1), np.log(np.maximum(gamma(2), np.float32(1e-30)))
             # Below one, so that a weight of one always has t = 0.
-            self.b[rows] = np.minimum(uniforms(3)[0], np.float32(1 - 2**-24))
-            self.one[rows] = self.c[rows] + self.r[rows] * self.b[rows] - self.r[rows]
+            b = np.minimum(uniform(_mixed(first + np.uint64(3)) >> np.uint64(32)), np.float32(1 - 2**-24))
+            self.hashes[rows], self.r[rows], self.b[rows], self.c[rows] = own, r, b, c
+            self.one[rows] = c + r * b - r
 
     def _rows(self, found: list[str]) -> np.ndarray:
-        new = [t for t in found if t not in self.rows]
-        if len(self.rows) + len(new) > self.kept:
-            self.rows, new = {}, found
-        start = len(self.rows)
+        rows = np.fromiter(map(self.rows.get, found, repeat(-1)), np.int64, len(found))
+        missing = np.flatnonzero(rows < 0)
+        if len(self.rows) + len(missing) > self.kept:
+            self.rows, missing = {}, np.arange(len(found))
+        new, start = [found[i] for i in missing.tolist()], len(self.rows)
         self.rows.update(zip(new, range(start, start + len(new))))
         self._draw(start, new)
-        return np.fromiter(map(self.rows.__getitem__, found), np.int64, len(found))
+        rows[missing] = np.arange(start, start + len(new))
+        return rows
 
     def __call__(self, text: str) -> np.ndarray:
         """``samples`` numbers of 16 bits; all zero for a text without terms."""
         found = terms(text)
         least = np.full(self.samples, np.inf, np.float32)
         drawn = np.zeros(self.samples, np.uint64)
-        every = sorted(found.items()) if len(found) > self.kept else list(found.items())
+        every = sorted(found) if len(found) > self.kept else list(found)
         # A longer list of terms is drawn from piece by piece; the least of all pieces wins.
         for at in range(0, len(every), self.kept):
             part = every[at : at + self.kept]
-            rows = self._rows([t for t, _ in part])
-            weight = np.fromiter((n for _, n in part), np.int64, len(part))
+            rows = self._rows(part)
+            weight = np.fromiter(map(found.__getitem__, part), np.int64, len(part))
             for some, score, t in self._scores(rows, weight):
                 low = score.argmin(axis=0)
                 columns = np.arange(self.samples)
