@@ -4,6 +4,7 @@ import itertools
 import pickle
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -312,6 +313,79 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert len(found) == best and found == sorted(found) and _inside([a[i] for i in found], b)
 
 
+def test_pages_of_the_same_lines_over_and_over_are_aligned_in_time():
+    rng = random.Random(8)
+    for _ in range(40):
+        a, b = (np.array([rng.randrange(3) for _ in range(rng.randrange(300, 420))], np.int64) for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+        found = html_text.shared_lines(a, b)
+        assert found == sorted(set(found)) and len(found) == table[-1, -1] and _inside(a[found].tolist(), b.tolist())
+        assert html_text._lengths(a, b).tolist() == table[-1].tolist()
+    start = time.monotonic()
+    assert len(html_text.shared_lines(np.zeros(40_000, np.int64), np.zeros(40_001, np.int64))) == 40_000
+    many = np.array([rng.randrange(5) for _ in range(20_000)], np.int64)
+    assert len(html_text.shared_lines(many, many[::-1].copy())) > 10_000
+    assert time.monotonic() - start < 30
+
+
+def test_class_names_count_as_a_whole():
+    def left(page):
+        return html_text.main_lines(html_text.lines_of(page))
+
+    assert left('<div class="content has-sidebar"><article><p>body</p></article></div>') == ["body"]
+    assert left('<article><section id="search-engines"><p>on engines</p></section></article>') == ["on engines"]
+    for name in ("siteFooter", "site-footer", "comments-section", "ad-slot-3", "newsletterSignup", "share_buttons", "cookie-banner", "AD"):
+        assert left(f'<div class="x {name}"><p>no</p></div><p>yes</p>') == ["yes"], name
+    for name in ("no-sidebar", "with-comments", "adventure", "share-prices", "search-engines", "cookie-recipes"):
+        assert left(f'<div class="x {name}"><p>yes</p></div>') == ["yes"], name
+
+
+def test_a_teaser_article_does_not_hide_the_body(spark):
+    page = '<div>Site</div><article><p>Teaser %d</p></article><div><p>Body %d</p></div>'
+    df = spark.createDataFrame([(i, f"http://t/{i}", page % (i, i)) for i in range(4)], "page_id LONG, url STRING, html STRING")
+    assert {r.page_id: r.text for r in html_text.extracted(df).collect()} == {i: f"Teaser {i}\nBody {i}" for i in range(4)}
+
+
+def test_extraction_is_that_of_comparing_all_pages_of_a_host(spark):
+    rng = random.Random(12)
+    data = []
+    for i in range(300):
+        host = "hot" if rng.random() < 0.5 else f"h{rng.randrange(12)}"
+        section = rng.randrange(4)
+        shown = [f"all {k}" for k in range(3) if rng.random() < 0.8] + [f"section {section} {k}" for k in range(3) if rng.random() < 0.8]
+        body = [f"own {rng.randrange(200)}"] if rng.random() < 0.9 else []
+        quoted = "<article><p>quoted</p></article>" if rng.random() < 0.3 else ""
+        html = "<nav>menu</nav>" + "".join(f"<p>{x}</p>" for x in shown + body) + quoted + "<p>end</p>"
+        data.append((i, f"https://{host}/{section}/{rng.randrange(1000)}?x", html))
+    df = spark.createDataFrame(data + [data[7]], "page_id LONG, url STRING, html STRING").repartition(5)
+
+    pages = {}
+    for i, url, html in data:
+        host, path = url.split("?")[0].removeprefix("https://").split("/", 1)
+        lines = html_text.lines_of(html)
+        key = (tuple(x.text for x in lines), html_text.said_of(lines))
+        pages.setdefault(host, {}).setdefault(key, []).append(("/" + path, i))
+    digests = {tuple(r.lines): bytes(r.digest) for r in html_text.parsed(df).collect()}
+    want = {}
+    for found in pages.values():
+        ranked = sorted((min(p for p, _ in v), digests[k[0]], k) for k, v in found.items())
+        for at, (path, _, key) in enumerate(ranked):
+            near = [ranked[j] for j in (at - 1, at + 1) if 0 <= j < len(ranked)]
+            near.sort(key=lambda x: -html_text.closeness(x[0], path))
+            text = [x for x, said in zip(*key) if said != html_text.ASIDE_LINE]
+            for _, _, other in near:
+                rest = [x for x, said in zip(*key) if said == html_text.MAIN_LINE or (said == 0 and x not in other[0])]
+                if rest:
+                    text = rest
+                    break
+            want.update((i, "\n".join(text)) for _, i in found[key])
+    rows = html_text.extracted(df).collect()
+    assert len(rows) == 301 and {r.page_id: r.text for r in rows} == want
+
+
 def _inside(c, b):
     it = iter(b)
     return all(x in it for x in c)
