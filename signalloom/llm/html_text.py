@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -259,6 +260,7 @@ def parsed(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, path, lines, said, hashes, digest): every page's lines, what markup says of each, and its hash.
 
     Pages of one digest have the same lines, of which markup says the same. Each page is read here and nowhere else.
+    ``lines`` are packed, those put aside by markup as empty ones.
     """
     url = F.col("url").cast("string")
     rows = pages.select(
@@ -270,6 +272,7 @@ def parsed(pages: DataFrame) -> DataFrame:
     )
 
     def run(batches):
+        pack = zstandard.ZstdCompressor().compress
         for batch in slices(batches, "html"):
             found = [lines_of(x) for x in batch.column("html").to_pylist()]
             said = [said_of(page) for page in found]
@@ -277,14 +280,14 @@ def parsed(pages: DataFrame) -> DataFrame:
             yield pa.record_batch(
                 {
                     **{c: batch.column(c) for c in ("page_id", "url", "host", "path")},
-                    "lines": pa.array([[x.text for x in page] for page in found], pa.list_(pa.string())),
+                    "lines": pa.array([pack("\n".join("" if x.aside else x.text for x in page).encode()) for page in found], pa.binary()),
                     "said": pa.array(said, pa.binary()),
                     "hashes": pa.array(hashes, pa.binary()),
                     "digest": pa.array([xxhash.xxh3_128_digest(h + b) for h, b in zip(hashes, said)], pa.binary()),
                 }
             )
 
-    kinds = "page_id long, url string, host string, path string, lines array<string>, said binary, hashes binary, digest binary"
+    kinds = "page_id long, url string, host string, path string, lines binary, said binary, hashes binary, digest binary"
     return rows.mapInArrow(run, kinds)
 
 
@@ -379,15 +382,23 @@ def extracted(pages: DataFrame) -> DataFrame:
     """
     rows = staged(parsed(pages), "parsed")
     shared = staged(learned_from_neighbours(rows), "shared")
-    joined = rows.select("page_id", "url", "host", "digest", "lines", "said").join(shared, ["host", "digest"], "left")
+    own = rows.select("page_id", "url", "host", "digest", "lines", "said")
+    # Of pages that markup alone decides, the text isn't moved.
+    open_ = (F.col("host") != "") & (F.locate("\0", F.col("said").cast("string")) > 0)
+    joined = own.where(open_).join(shared, ["host", "digest"], "left")
+    joined = joined.unionByName(own.where(~open_), allowMissingColumns=True)
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             # A few pages at a time: their lines become Python strings.
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 columns = zip(*[part.column(c).to_pylist() for c in ("lines", "said", "shared")])
-                texts = ["\n".join(lines[i] for i in kept(said, drop or ())) for lines, said, drop in columns]
+                texts = []
+                for packed, said, drop in columns:
+                    lines = unpack(packed).decode().split("\n")
+                    texts.append("\n".join(lines[i] for i in kept(said, drop or ())))
                 yield pa.record_batch(
                     {
                         "page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array(texts, pa.string()),

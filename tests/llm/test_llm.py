@@ -368,10 +368,14 @@ def test_extraction_is_that_of_comparing_all_pages_of_a_host(spark):
         lines = html_text.lines_of(html)
         key = (tuple(x.text for x in lines), html_text.said_of(lines))
         pages.setdefault(host, {}).setdefault(key, []).append(("/" + path, i))
-    digests = {tuple(r.lines): bytes(r.digest) for r in html_text.parsed(df).collect()}
+    digests = {(bytes(r.hashes), bytes(r.said)): bytes(r.digest) for r in html_text.parsed(df).collect()}
+
+    def digest(lines, said):
+        return digests[b"".join(xxhash.xxh64_digest(x.encode()) for x in lines), said]
+
     want = {}
     for found in pages.values():
-        ranked = sorted((min(p for p, _ in v), digests[k[0]], k) for k, v in found.items())
+        ranked = sorted((min(p for p, _ in v), digest(*k), k) for k, v in found.items())
         for at, (path, _, key) in enumerate(ranked):
             near = [ranked[j] for j in (at - 1, at + 1) if 0 <= j < len(ranked)]
             near.sort(key=lambda x: -html_text.closeness(x[0], path))
