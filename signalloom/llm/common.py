@@ -22,6 +22,14 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str | int = "text", most: int = BATCH_BYTES):
     """Cut record batches so that the texts of each slice hold about ``most`` bytes."""
     for batch in batches:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import map_batches, whole_text
+from signalloom.llm.common import free_name, map_batches, whole_text
 from signalloom.llm.components import components
 from signalloom.llm.simhash import SEED, fingerprint_groups, majority
 from signalloom.operators.staging import staged
@@ -225,7 +225,7 @@ def deduplicated(documents: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFr
         .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"), F.col("first.n").alias("n")),
         "kept",
     )
-    own = "text_hash_of_row"
+    own = free_name(documents, "text_hash_of_row")
     marked = documents.withColumn(own, F.xxhash64(whole_text()))
 
     def among(kept: DataFrame) -> DataFrame:

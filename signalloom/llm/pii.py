@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import whole_text
+from signalloom.llm.common import free_name, whole_text
 from signalloom.operators.staging import staged
 
 #: Titles that name a gender, and such as don't.
@@ -17,6 +18,8 @@ EITHER = ("Dr", "Prof")
 
 _TITLES = "|".join(sorted(MALE + FEMALE + EITHER, key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: A word of a name, or an initial.
+_NAME_WORD = r"\p{Lu}(?:[\p{L}'’\-]++|\.|(?![\p{L}\p{N}]))"
 _SECRET = r"(?i:token|api[_-]?key|secret|password|passwd)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_/+\-]{16,}"
 #: Java patterns by type, tried in this order at each place.
 PATTERNS = {
@@ -29,7 +32,7 @@ PATTERNS = {
         r"|(?<![\p{L}\p{N}.\-])(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[.\-]\d{4}(?![\p{L}\p{N}])"
     ),
     "ssn": r"(?<![\p{L}\p{N}.\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'’\-]+(?: \p{{Lu}}[\p{{L}}'’\-]+)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLES})\.? )++{_NAME_WORD}(?: {_NAME_WORD})*+",
 }
 #: All of them start where no word goes on; said once in front, that spares most places the other attempts.
 PATTERN = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(PATTERNS.values())})"
@@ -39,7 +42,11 @@ VOWELS, CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
 CYRILLIC_VOWELS, CYRILLIC_CONSONANTS = "аеиоу", "бвгдзклмнпрстфх"
 GREEK_VOWELS, GREEK_CONSONANTS = "αεηιο", "βγδζκλμνπρστφχ"
 HEX = "0123456789abcdef"
+#: Initials, by script; each stands for another of its row.
+INITIALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØŒŠÙÚÛÜÝŽ", "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЫЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 STREAM_BYTES = 128
+#: What stands between the words of a name, and stays.
+NAME_BREAK = "[ \\-]"
 #: Rounds of draws of the same length; after as many more, surrogates get one more letter, digit or syllable.
 SAME_LENGTH = 3
 
@@ -104,20 +111,21 @@ def has_candidate(text: Column) -> Column:
 
 
 def typed(forms: DataFrame) -> DataFrame:
-    """(form, type, lead, body, norm) of entities as they stand in texts; lead is a part that stays.
+    """(form, type, lead, body, norm, parts) of entities as they stand in texts; lead is a part that stays.
 
     Numbers that look like cards but fail the check digit are no entities and drop out. ``norm`` is what two
-    forms of one entity have in common.
+    forms of one entity have in common. ``parts`` are what gets surrogates of its own: a name's words, each with the
+    gender the titles tell, null for initials; of any other entity ``norm``.
     """
     kind = reduce(
         lambda c, t: c.when(F.col("form").rlike(f"^(?:{PATTERNS[t]})$"), F.lit(t)), list(PATTERNS)[1:], F.when(F.col("form").rlike(f"^(?:{PATTERNS['secret']})$"), F.lit("secret"))
     )
     lead = F.when(F.col("type") == "secret", F.regexp_extract("form", r"^((?:(?i:token|api[_-]?key|secret|password|passwd)\s*[=:]\s*[\"']?)|AKIA|ghp_|sk-)", 1)).when(
-        F.col("type") == "name", F.regexp_extract("form", rf"^((?:{_TITLES})\.? )", 1)
+        F.col("type") == "name", F.regexp_extract("form", rf"^((?:(?:{_TITLES})\.? )++)", 1)
     ).otherwise("")
     gender = (
-        F.when(F.col("lead").rlike(rf"^(?:{'|'.join(MALE)})\b"), "m")
-        .when(F.col("lead").rlike(rf"^(?:{'|'.join(FEMALE)})\b"), "f")
+        F.when(F.col("lead").rlike(rf"(?:^| )(?:{'|'.join(MALE)})[. ]"), "m")
+        .when(F.col("lead").rlike(rf"(?:^| )(?:{'|'.join(FEMALE)})[. ]"), "f")
         .otherwise("n")
     )
     return (
@@ -131,6 +139,13 @@ def typed(forms: DataFrame) -> DataFrame:
             .when(F.col("type") == "name", F.concat_ws(":", gender, F.lower("body")))
             .otherwise(F.lower("body")),
         )
+        .withColumn(
+            "parts",
+            F.when(
+                F.col("type") == "name",
+                F.transform(F.split(F.lower("body"), NAME_BREAK), lambda w: F.when(F.length(F.rtrim(w, F.lit("."))) > 1, F.concat_ws(":", gender, w))),
+            ).otherwise(F.array("norm")),
+        )
         .where((F.col("type") != "card") | (luhn_sum(F.col("norm")) % 10 == 0))
     )
 
@@ -157,23 +172,19 @@ def _drawn(key: str) -> Column:
     private = F.concat(F.lit("10."), F.substring_index(octets, ".", -3))
     card = F.concat(F.substr(norm, F.lit(1), F.lit(1)), F.substr(alike, F.lit(2), F.length(norm) - 2))
     check = ((10 - luhn_sum(F.concat(card, F.lit("0"))) % 10) % 10).cast("string")
-    # Names: one syllable pattern per script, and an ending that tells the gender where the script's names do.
+    # Words of names: one syllable pattern per script, and an ending that tells the gender where the script's names do.
     gender, own = F.substr(norm, F.lit(1), F.lit(1)), F.substr(norm, F.lit(3))
-
-    def word(w: Column, place: Column) -> Column:
-        at = place * 8
-        b = lambda i: _byte(stream, at + i)
-        made = lambda c, v, f, m: F.concat(
-            _pick(c, b(0)), _pick(v, b(1)), _pick(c, b(2)), _pick(v, b(3)), _pick(c, b(4)),
-            grown(lambda i: F.concat(_pick(v, _byte(stream, i - at)), _pick(c, _byte(stream, i - at - 1)))), F.when(gender == "f", f).when(gender == "m", m).otherwise("")
-        )
-        return (
-            F.when(w.rlike("[а-яё]"), made(CYRILLIC_CONSONANTS, CYRILLIC_VOWELS, "ова", "ов"))
-            .when(w.rlike("[α-ω]"), made(GREEK_CONSONANTS, GREEK_VOWELS, "ου", "ος"))
-            .otherwise(made(CONSONANTS, VOWELS, "a", "o"))
-        )
-
-    name = F.concat(gender, F.lit(":"), F.array_join(F.transform(F.split(own, " "), word), " "))
+    byte = lambda i: _byte(stream, F.lit(i))
+    made = lambda c, v, f, m: F.concat(
+        _pick(c, byte(0)), _pick(v, byte(1)), _pick(c, byte(2)), _pick(v, byte(3)), _pick(c, byte(4)),
+        grown(lambda i: F.concat(_pick(v, _byte(stream, i)), _pick(c, _byte(stream, i - 1)))), F.when(gender == "f", f).when(gender == "m", m).otherwise("")
+    )
+    word = (
+        F.when(own.rlike("[а-яё]"), made(CYRILLIC_CONSONANTS, CYRILLIC_VOWELS, "ова", "ов"))
+        .when(own.rlike("[α-ω]"), made(GREEK_CONSONANTS, GREEK_VOWELS, "ου", "ος"))
+        .otherwise(made(CONSONANTS, VOWELS, "a", "o"))
+    )
+    name = F.concat(gender, F.lit(":"), word)
     kind = F.col("type")
     # The first digits of a number say where it belongs: the country, or nothing.
     country = F.greatest(F.lit(0), F.least(F.lit(2), F.length(norm) - 7))
@@ -193,11 +204,13 @@ def _drawn(key: str) -> Column:
 def surrogates(forms: DataFrame, key: str) -> DataFrame:
     """(type, norm, surrogate): one surrogate per entity, no two alike, and none that is itself an entity here.
 
+    Of names each word is an entity, so that a surname has one surrogate with a first name, an initial or neither, and
+    one that differs in its ending only under a title of another gender (unless one of them had to be drawn again).
     Surrogates depend on the key and the entity alone but for collisions: of entities that draw the same one, the
     smallest keeps it and the others draw again, as do those that hit an entity of the corpus, until none is left.
     """
-    drawn = lambda df: df.withColumn("stream", _stream(key, F.col("type"), F.col("norm"), F.col("attempt").cast("string"))).withColumn("surrogate", _drawn(key)).drop("stream")
-    every = staged(forms.select("type", "norm").distinct(), "entities")
+    drawn = lambda df: df.withColumn("stream", _stream(key, F.col("type"), F.when(F.col("type") == "name", F.substr("norm", F.lit(3))).otherwise(F.col("norm")), F.col("attempt").cast("string"))).withColumn("surrogate", _drawn(key)).drop("stream")
+    every = staged(forms.select("type", F.explode("parts").alias("norm")).where("norm is not null").distinct(), "entities")
     done = staged(drawn(every.withColumn("attempt", F.lit(0))), "drawn")
     while True:
         first = done.groupBy("type", "surrogate").agg(F.min("norm").alias("holder"), F.count(F.lit(1)).alias("n"))
@@ -210,9 +223,9 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         done = staged(done.join(clashes, ["type", "norm"], "left_anti").unionByName(again), "drawn")
 
 
-def _rendered() -> Column:
-    """The surrogate in the shape of the form: its separators, capitals and title."""
-    body, drawn = F.col("body"), F.col("surrogate")
+def _rendered(key: str) -> Column:
+    """The surrogates ``drawn`` for a form's parts in the shape of the form: its separators, capitals and title."""
+    body, drawn = F.col("body"), F.col("drawn")[0]
     filled = _mapped(
         body,
         lambda c, i: F.when(
@@ -221,8 +234,17 @@ def _rendered() -> Column:
     )
     cased = _mapped(drawn, lambda c, i: F.when(F.substr(body, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c))
     longer = F.substr(drawn, F.length(_digits(body)) + 1)
-    bare = F.substr(drawn, F.lit(3))
-    name = F.when(body == F.upper(body), F.upper(bare)).otherwise(F.initcap(bare))
+    turn = int.from_bytes(hashlib.sha256(f"{key}|initials".encode()).digest()[:4], "big")
+    turned = lambda row: row[1 + turn % (len(row) - 1) :] + row[: 1 + turn % (len(row) - 1)]
+    initial = lambda w: F.translate(w, "".join(INITIALS), "".join(map(turned, INITIALS)))
+
+    def word(w: Column, new: Column) -> Column:
+        bare = F.substr(new, F.lit(3))
+        return F.when(new.isNull(), initial(w)).when(w == F.upper(w), F.upper(bare)).otherwise(F.initcap(bare))
+
+    words = F.zip_with(F.split(body, NAME_BREAK), F.col("drawn"), word)
+    breaks = F.concat(F.regexp_extract_all(body, F.lit(f"({NAME_BREAK})")), F.array(F.lit("")))
+    name = F.array_join(F.zip_with(words, breaks, lambda a, b: F.concat(a, b)), "")
     kind = F.col("type")
     return F.concat(
         "lead",
@@ -249,25 +271,31 @@ def pseudonymised(documents: DataFrame, key: str) -> DataFrame:
         "found",
     )
     forms = staged(typed(entities.select("form").distinct()), "forms")
-    mapping = staged(
-        forms.join(surrogates(forms, key), ["type", "norm"]).select("form", _rendered().alias("by")), "mapping"
+    parts = forms.select("form", "type", "lead", "body", F.posexplode("parts").alias("place", "norm"))
+    # Only forms of names have several parts, as many as the name has words.
+    drawn = (
+        parts.join(surrogates(forms, key), ["type", "norm"], "left")
+        .groupBy("form", "type", "lead", "body")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "surrogate"))).getField("surrogate").alias("drawn"))
     )
+    mapping = staged(drawn.select("form", _rendered(key).alias("by")), "mapping")
+    own, by = free_name(rest, "text_hash"), free_name(rest, "replaced_by")
     replaced = (
         entities.join(mapping, "form", "left")
-        .groupBy("text_hash")
+        .groupBy(F.col("text_hash").alias(own))
         .agg(
-            F.array_sort(F.collect_list(F.struct("pos", F.coalesce("by", "form").alias("by")))).alias("replaced_by"),
+            F.array_sort(F.collect_list(F.struct("pos", F.coalesce("by", "form").alias("by")))).alias(by),
             F.count("by").cast("int").alias("n_replaced"),
         )
     )
     pieces = F.split(text, PATTERN, -1)
     joined = F.array_join(
-        F.zip_with(pieces, F.concat(F.col("replaced_by.by"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""
+        F.zip_with(pieces, F.concat(F.col(by)["by"], F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""
     )
     names = rest.columns
     changed = (
-        found.withColumn("text_hash", hash_of)
-        .join(replaced, "text_hash")
+        found.withColumn(own, hash_of)
+        .join(replaced, own)
         .withColumn("text", F.when(F.col("n_replaced") > 0, joined).otherwise(F.col("text")))
         .select(*names, "n_replaced")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalloom.llm.common import map_batches, shuffle_partitions, slices, whole_text
+from signalloom.llm.common import free_name, map_batches, shuffle_partitions, slices, whole_text
 from signalloom.llm.components import components
 from signalloom.operators.staging import staged
 
@@ -313,7 +313,7 @@ def deduplicated(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         .agg(F.min("fp").alias("kept_fp"), F.first("component_id").alias("kept_id"))
         .drop("root")
     )
-    own = "fingerprint_of_row"
+    own = free_name(documents, "fingerprint_of_row")
 
     def run(batches):
         for batch in slices(batches):

@@ -445,6 +445,36 @@ def test_surrogates_keep_format_and_tell_entities_apart(spark):
     assert pii.pseudonymised(df, "other").where("doc_id = 0").first().text != by_id[0].text
 
 
+def test_names_are_replaced_word_by_word(spark):
+    texts = [
+        "Prof. Dr. Anna Müller spoke.", "Mrs. Anna Maria Schmidt spoke.", "Mr. J. Smith spoke.", "Frau Dr. Schmidt spoke.",
+        "Mr. John Smith met Mr. Smith, Dr. Smith and Herr Prof. Dr. Klaus-Peter Müller-Lüdenscheidt.", "Mr. É. Ünal and Mr. K spoke.",
+        "MR. X, Drew Barry and Mr Ed", "Господин И. Иванов",
+    ]
+    out = {r.doc_id: r for r in pii.pseudonymised(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), "key").collect()}
+    for i in range(6):
+        assert not re.search("Anna|Maria|Müller|Schmidt|Smith|John|Klaus|Peter|Lüden|J\\.|É|Ünal|K ", out[i].text), out[i].text
+    assert re.fullmatch(r"Prof\. Dr\. [A-Z][a-z]+ [A-Z][a-z]+ spoke\.", out[0].text)
+    assert re.fullmatch(r"Mrs\. [A-Z][a-z]+a [A-Z][a-z]+a [A-Z][a-z]+a spoke\.", out[1].text)
+    smith = re.fullmatch(r"Mr\. [A-Z]\. ([A-Z][a-z]+o) spoke\.", out[2].text)[1]
+    assert out[3].text == f"Frau Dr. {out[1].text.split()[3]} spoke."
+    assert re.fullmatch(rf"Mr\. [A-Z][a-z]+o {smith} met Mr\. {smith}, Dr\. {smith[:-1]} and Herr Prof\. Dr\. \w+-\w+ \w+-\w+\.", out[4].text)
+    assert re.fullmatch(r"Mr\. [À-Ž]\. [A-Z][a-z]+o and Mr\. [A-Z] spoke\.", out[5].text)
+    assert out[6].text.startswith("MR. X, Drew Barry and Mr ") and not out[6].text.endswith("Ed")
+    assert re.fullmatch(r"Господин [А-Я]\. [А-Я][а-я]+ов", out[7].text) and "И." not in out[7].text
+    assert [out[i].n_replaced for i in range(8)] == [1, 1, 1, 1, 4, 2, 1, 1]
+
+
+def test_columns_that_operators_name_themselves_may_be_there(spark):
+    names = ["text_hash", "replaced_by", "TEXT_HASH_OF_ROW", "text_hash_of_row_", "fingerprint_of_row", "form", "pos", "node", "key", "seq"]
+    data = [(i, f"one two three four five six {i // 2} Mr. Smith", "s") for i in range(6)] + [(2, None, "s")]
+    df = frame(spark, data).withColumns({c: F.concat(F.lit(f"{c} "), F.coalesce("doc_id", F.lit(0))) for c in names})
+    for out, n in ((pii.pseudonymised(df, "key").drop("n_replaced"), 7), (near_copies.deduplicated(df), 4), (simhash.deduplicated(df), None)):
+        found = out.collect()
+        assert out.columns == df.columns and all(r[c] == f"{c} {r.doc_id}" for r in found for c in names)
+        assert n in (None, len(found)) and found
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     forms = spark.range(3000).select(F.format_string("10.0.%d.%d", F.expr("id div 200"), F.expr("id % 200 + 1")).alias("form"))
     found = pii.surrogates(pii.typed(forms), "key").toPandas()
