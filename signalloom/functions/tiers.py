@@ -28,4 +28,9 @@ def traffic_light(rate: Column) -> Column:
 
 
 def percent_label(rate: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", rate * F.lit(100.0))
+    """The rate in percent, rounded by its exact binary value as C's printf does; no label when there is no rate.
+
+    ``format_string`` rounds the shortest decimal that stands for the number, and so rounds up what lies just below a half.
+    """
+    form = "0." + "0" * digits if digits else "0"
+    return F.concat(F.call_function("format_number", rate * F.lit(100.0), F.lit(form)), F.lit("%"))

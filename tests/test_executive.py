@@ -162,6 +162,14 @@ def test_weekly_rollup_starts_on_monday(spark):
     assert out == [(day(1), 2, 2.0), (day(8), 1, 1.0)]
 
 
+def test_label_of_a_half_rounds_by_its_exact_value_and_none_has_no_label(spark):
+    given = [0.9625, 0.9525, 0.9255, 0.9345, 1.0, 0.0, None]
+    rates = spark.createDataFrame([(i, r) for i, r in enumerate(given)], "i INT, r DOUBLE")
+    found = [r[1] for r in sorted(rates.select("i", percent_label(F.col("r"))).collect())]
+    assert found == [None if r is None else "%.1f%%" % (r * 100.0) for r in given]
+    assert found[0] == "96.2%"
+
+
 def test_bands_lights_and_labels(spark):
     df = spark.createDataFrame([(80.0,), (79.9,), (60.0,), (40.0,), (39.9,)], "s DOUBLE")
     names = [r[0][2:] for r in df.select(banded(F.col("s"), CART_BANDS)).collect()]
