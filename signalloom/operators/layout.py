@@ -17,6 +17,8 @@ from signalloom.session import stored_bytes
 from signalloom.sinks.tables import files_for, write_partitions
 
 FILE_BYTES = 256 * 1024 * 1024
+#: Rows of a page of a clustered table. A lookup reads whole pages, by default of 20,000 rows.
+PAGE_ROWS = 1000
 
 
 def compact(df: DataFrame, path: str, by: Sequence[str] = ("event_date",)) -> None:
@@ -33,17 +35,18 @@ def cluster(
     spread: Sequence[str] = ("event_timestamp", "event_id"),
     n_files: int = 1,
     bloom: bool = False,
+    page_rows: int = PAGE_ROWS,
 ) -> None:
-    """Write ``df`` so that files and row groups hold narrow ranges of ``column``.
+    """Write ``df`` so that files, row groups and pages hold narrow ranges of ``column``.
 
-    Their minimum and maximum then let a lookup skip nearly all of them. ``spread`` comes after
+    Their minimum and maximum then let a lookup skip nearly all of them. A page has ``page_rows`` rows at most. ``spread`` comes after
     ``column`` in the range key, so that a single hot value is cut into several files. ``bloom`` adds a Bloom filter
     of ``column`` to each row group, for lookups of values that lie within its range and are not there. The column
     is then written without a dictionary, which a column of many values outgrows and which would take the filter's place.
     """
     order = [by, column, *spread]
     ranged = df.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
-    writer = ranged.write.mode("overwrite").partitionBy(by)
+    writer = ranged.write.mode("overwrite").partitionBy(by).option("parquet.page.row.count.limit", page_rows)
     if bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.enable.dictionary#{column}", "false")
     writer.parquet(path)

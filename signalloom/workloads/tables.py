@@ -420,8 +420,9 @@ def layout_scan_costs(spark, sf_dir):
     events = spark.read.parquet(stored)
     clustered = {"clustered": scratch_path(spark, "clustered"), "with filter": scratch_path(spark, "clustered")}
     # Without a dictionary either way, as a column of very many values has none.
-    ordered = events.repartitionByRange(120, "event_date", "cart_id").sortWithinPartitions("cart_id")
-    ordered.write.partitionBy("event_date").option("parquet.enable.dictionary#cart_id", "false").parquet(clustered["clustered"])
+    ordered = events.repartitionByRange(120, "event_date", "cart_id").sortWithinPartitions("event_date", "cart_id")
+    plain = ordered.write.partitionBy("event_date").option("parquet.enable.dictionary#cart_id", "false")
+    plain.option("parquet.page.row.count.limit", layout.PAGE_ROWS).parquet(clustered["clustered"])
     layout.cluster(events, clustered["with filter"], "cart_id", n_files=120, bloom=True)
     tables_ = {"partitioned": events} | {name: spark.read.parquet(path) for name, path in clustered.items()}
     value, day = layout.sample_lookup(events, "cart_id")

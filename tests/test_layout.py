@@ -87,3 +87,20 @@ def test_a_bloom_filter_spares_a_value_that_is_not_there(spark):
     there = df.first().cart_id
     assert scanned(there)["with"] > 0
     assert layout.point_lookup(tables["with"], "cart_id", there, str(NOW.date())).count() == 1
+
+
+def test_the_smallest_value_is_looked_up_in_fewer_rows_of_a_clustered_table(spark):
+    """Any layout finds the page of the smallest value by its minimum; a clustered one has smaller pages."""
+    source, path = scratch_path(spark, "events"), scratch_path(spark, "clustered")
+    df = spark.range(60_000).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.concat(F.lit("c"), F.xxhash64("id").cast("string")).alias("cart_id"),
+        F.lit(str(NOW)).cast("timestamp_ntz").alias("event_timestamp"),
+        F.lit(NOW.date()).alias("event_date"),
+    )
+    df.repartition(4).write.partitionBy("event_date").parquet(source)
+    layout.cluster_table(spark, source, path, "cart_id")
+    stored_ = {"plain": spark.read.parquet(source), "clustered": spark.read.parquet(path)}
+    value, day = layout.sample_lookup(stored_["plain"], "cart_id")
+    seen = {r.layout: r.rows_scanned for r in layout.lookup_costs(stored_, "cart_id", value, day).collect()}
+    assert 0 < seen["clustered"] <= layout.PAGE_ROWS < seen["plain"]
