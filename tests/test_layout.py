@@ -104,3 +104,13 @@ def test_the_smallest_value_is_looked_up_in_fewer_rows_of_a_clustered_table(spar
     value, day = layout.sample_lookup(stored_["plain"], "cart_id")
     seen = {r.layout: r.rows_scanned for r in layout.lookup_costs(stored_, "cart_id", value, day).collect()}
     assert 0 < seen["clustered"] <= layout.PAGE_ROWS < seen["plain"]
+
+
+def test_a_task_sorts_a_bounded_part_of_a_table(spark, monkeypatch):
+    source, path = stored(spark), scratch_path(spark, "clustered")
+    monkeypatch.setattr(layout, "stored_bytes", lambda *_: 250 * 1024 * 1024)
+    layout.cluster_table(spark, source, path, "cart_id")
+    after = spark.read.parquet(path)
+    assert rows(after) == rows(spark.read.parquet(source))
+    # Four days; in one task each would be a file.
+    assert len(after.inputFiles()) >= 8
