@@ -107,11 +107,11 @@ class Lookup:
 
     def __init__(self, terms: Vocabulary, most: int = 200_000):
         self.terms, self.most = terms, most
-        self.names: dict[int, str] = {}
         self._clear(most)
 
     def _clear(self, room: int) -> None:
         self.rows: dict[str, int] = {}
+        self.names: dict[int, str] = {}
         self.word, self.beginning = np.empty(room, np.int64), np.empty(room, np.int64)
 
     def _learn(self, found: list[Counter]) -> None:
@@ -131,6 +131,16 @@ class Lookup:
         self.beginning[[self.rows[w] for w in longer]] = numbers[len(new) :]
         self.names.update((i, x) for i, x in zip(numbers.tolist(), new + starts) if i < len(self.terms))
 
+    def add_documents(self, texts: list[str], counts: np.ndarray) -> None:
+        """Add to ``counts`` in how many of the texts each known term is. Words and beginnings never share a number."""
+        found = [Counter(words(text)) for text in texts]
+        self._learn(found)
+        rows = [np.fromiter(map(self.rows.__getitem__, c), np.int64, len(c)) for c in found]
+        terms = [self.word[np.concatenate(rows)]] if rows else []
+        terms += [np.unique(self.beginning[r]) for r in rows]
+        t = np.concatenate(terms) if terms else np.zeros(0, np.int64)
+        np.add.at(counts, t[(t >= 0) & (t < len(counts))], 1)
+
     def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Term numbers, ascending, and how often each text has them; words that are new are looked up together."""
         found = [Counter(words(text)) for text in texts]
@@ -184,8 +194,7 @@ def document_frequencies(documents: DataFrame, terms: Vocabulary) -> tuple[int,
             n += batch.num_rows
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), AT_ONCE):
-                for t, _ in lookup.counted(texts[at : at + AT_ONCE]):
-                    counts[t[: np.searchsorted(t, len(terms))]] += 1
+                lookup.add_documents(texts[at : at + AT_ONCE], counts)
         ids = np.flatnonzero(counts)
         for at in range(0, len(ids), 1 << 16):
             some = ids[at : at + (1 << 16)]
@@ -215,6 +224,8 @@ class BlockMaxIndex:
 
     #: Blocks to look into before any is passed over.
     FIRST = 4
+    #: Postings a block must have on average for its largest weights to be read first.
+    WORTH = 8
 
     def __init__(self, terms: Vocabulary | dict[str, int], weights: np.ndarray, block: int, unknown: float = 1.0):
         self.terms, self.weights, self.block, self.unknown = terms, weights, block, unknown
@@ -233,7 +244,14 @@ class BlockMaxIndex:
         self.__dict__.update(state)
         self.lookup = Lookup(self.terms)
         t = np.repeat(np.arange(len(per_term), dtype=np.int32), per_term)
-        self._lay_out(t, at.astype(np.int32), (1 + np.log(tf.astype(np.float64))) * self.weights[t] / self.norms[at])
+        w = np.empty(len(t))
+        # In pieces, since several whole columns of intermediate results would be most of a worker's memory.
+        for low in range(0, len(t), 1 << 18):
+            some = slice(low, low + (1 << 18))
+            w[some] = (1 + np.log(tf[some].astype(np.float64))) * self.weights[t[some]] / self.norms[at[some]]
+        columns = [t, at, w]
+        del t, at, w, tf
+        self._lay_out(columns)
 
     def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Term numbers and weights of a unit vector of all words of each text; empty if it has none."""
@@ -298,26 +316,34 @@ class BlockMaxIndex:
         at = np.repeat(place, lengths)
         order = np.lexsort((at, t))
         at = at[order]
-        self._lay_out(t[order], at, w[order])
+        self._lay_out([t[order], at, w[order]])
 
-    def _lay_out(self, t: np.ndarray, at: np.ndarray, w: np.ndarray) -> None:
-        """From postings in the order of terms, then of examples."""
+    def _lay_out(self, columns: list[np.ndarray]) -> None:
+        """From postings in the order of terms, then of examples; the list is emptied, so that its columns can be freed."""
+        t, at, w = columns
+        columns.clear()
         n = len(self.ids)
         common = np.flatnonzero(np.bincount(t, minlength=len(self.weights)) * COMMON > n)
         self.column = np.full(len(self.weights), -1, np.int32)
         self.column[common] = np.arange(len(common))
         self.rows = np.zeros((len(common), n))
-        column = self.column[t]
-        self.rows[column[column >= 0], at[column >= 0]] = w[column >= 0]
+        rare = self.column[t] < 0
+        self.rows[self.column[t[~rare]], at[~rare]] = w[~rare]
         # Narrow numbers, since reading the lists is what a search spends its time on.
-        t, self.at, self.w = t[column < 0], at[column < 0].astype(np.min_scalar_type(n)), w[column < 0]
+        self.w = w[rare]
+        del w
+        t, self.at = t[rare], at[rare].astype(np.min_scalar_type(n))
+        del at, rare
         blocks = self.at // self.block
         new = np.ones(len(t), bool)
-        new[1:] = (t[1:] != t[:-1]) | (blocks[1:] != blocks[:-1])
-        first = np.flatnonzero(new)
+        new[1:] = t[1:] != t[:-1]
+        new[1:] |= blocks[1:] != blocks[:-1]
+        first = np.flatnonzero(new).astype(np.int32)
+        del new
         # A term's entries, one for each block it is in: the block, its largest weight, its first posting.
         self.entries = np.searchsorted(t[first], np.arange(len(self.weights) + 1, dtype=t.dtype)).astype(np.int32)
-        self.blocks, self.first = blocks[first], np.append(first, len(t)).astype(np.int32)
+        self.blocks, self.first = blocks[first], np.append(first, np.int32(len(t)))
+        del t, blocks
         most = np.maximum.reduceat(self.w, first) if len(first) else self.w
         self.most = np.nextafter(most.astype(np.float32), np.float32(np.inf))
 
@@ -344,8 +370,19 @@ class BlockMaxIndex:
         rare[rare] = self.entries[t[rare]] < self.entries[t[rare] + 1]
         t, w = t[rare], w[rare]
         low, high = self.entries[t], self.entries[t + 1]
-        spans = list(zip(low.tolist(), high.tolist()))
         none = [np.zeros(0, np.int64)]
+
+        def whole(cosine: np.ndarray) -> np.ndarray:
+            """``cosine`` with what all lists add."""
+            a, b = self.first[low], self.first[high]
+            spans = list(zip(a.tolist(), b.tolist()))
+            x = np.concatenate([self.w[i:j] for i, j in spans] or none)
+            return cosine + np.bincount(np.concatenate([self.at[i:j] for i, j in spans] or none), x * np.repeat(w, b - a), len(cosine))
+
+        if (self.first[high] - self.first[low]).sum() < self.WORTH * (high - low).sum():
+            # The blocks hold so few postings that to read their weights would take longer than to read all of them.
+            return self._nearest(whole(cosine), None, k, ties)
+        spans = list(zip(low.tolist(), high.tolist()))
         blocks = np.concatenate([self.blocks[a:b] for a, b in spans] or none)
         most = np.concatenate([self.most[a:b] for a, b in spans] or none)
         starts = np.arange(0, len(cosine), self.block)
@@ -375,14 +412,18 @@ class BlockMaxIndex:
         more = ~into & (bounds > 0) & (bounds >= least - 1e-9)
         if more.sum() * 4 > len(more):
             # Most lists would be read in pieces; whole ones are read faster.
-            spans = list(zip(self.first[low].tolist(), self.first[high].tolist()))
-            at = np.concatenate([self.at[a:b] for a, b in spans] or none)
-            x = np.concatenate([self.w[a:b] for a, b in spans] or none)
-            cosine = partial + np.bincount(at, np.repeat(w, self.first[high] - self.first[low]) * x, len(partial))
-            found = np.flatnonzero(cosine > 0)
-        elif more.any():
+            return self._nearest(whole(partial), None, k, ties)
+        if more.any():
             look(more)
             found = best_of(into | more)
+        return self._nearest(cosine, found, k, ties)
+
+    def _nearest(self, cosine: np.ndarray, found: np.ndarray | None, k: int, ties: bool) -> list[tuple[float, int]]:
+        """The k best of the examples ``found`` (all without it), as ``search`` gives them."""
+        if found is None:
+            # Rounding keeps the order, so what is equal to the k-th when rounded is not far below it.
+            least = np.partition(cosine, -k)[-k] - 2e-9 if len(cosine) > k else 0.0
+            found = np.flatnonzero((cosine > 0) & (cosine >= least))
         rounded = np.round(cosine[found], 9)
         if len(found) > k:
             near = rounded >= np.partition(rounded, -k)[-k]

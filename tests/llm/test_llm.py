@@ -764,3 +764,48 @@ def test_shingles_are_those_of_the_words_whatever_the_blocks(monkeypatch):
     monkeypatch.setattr(near_copies, "BLOCK_BYTES", 7)
     assert all((near_copies.shingle_hashes(t) == w).all() for t, w in zip(texts, whole))
     near_copies._places.cache_clear()
+
+
+def test_an_index_is_unpacked_in_little_more_memory_than_it_takes():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    n, n_terms, length = 4000, 30_000, 200
+    hashes = np.arange(n_terms, dtype=np.int64)
+    t = np.concatenate([np.sort(rng.choice(n_terms, length, replace=False)) for _ in range(n)]).astype(np.int32)
+    index = toxicity.BlockMaxIndex(toxicity.Vocabulary(hashes), rng.random(n_terms) + 1, 64)
+    tf = rng.integers(1, 5, len(t)).astype(np.int32)
+    index.build_counts(np.arange(n), rng.integers(0, 2, n), np.full(n, length), t, tf)
+    sent = pickle.dumps(index)
+    tracemalloc.start()
+    try:
+        found = pickle.loads(sent)
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 1.9 * kept
+    # Its lists are short, and are read whole: the result is that of a full comparison.
+    q = np.unique(rng.choice(n_terms, 300)).astype(np.int64)
+    w = rng.random(len(q))
+    w /= np.sqrt(w @ w)
+    dense = np.zeros(n_terms)
+    dense[q] = w
+    cosines = np.zeros(n)
+    np.add.at(cosines, np.repeat(np.arange(n), length), dense[t] * (1 + np.log(tf)) * index.weights[t])
+    place = {int(e): i for i, e in enumerate(found.ids)}
+    by_place = np.array([cosines[e] for e in sorted(place, key=place.get)]) / found.norms
+    got = found.search((q, w), 10)
+    assert np.allclose([c for c, _ in got], np.sort(by_place)[::-1][:10], atol=2e-9)
+    assert np.allclose([by_place[i] for _, i in got], [c for c, _ in got], atol=2e-9)
+
+
+def test_names_of_terms_are_forgotten_with_their_words_and_documents_are_counted_once():
+    texts = [" ".join(f"word{i}abc" for i in range(at, at + 20)) + " same same" for at in range(0, 2000, 20)]
+    known = {t for text in texts for w in toxicity.words(text) for t in toxicity.terms_of(w)}
+    terms = toxicity.Vocabulary(np.array([toxicity.hash_of(t) for t in known], np.int64))
+    lookup, counts = toxicity.Lookup(terms, 100), np.zeros(len(terms), np.int64)
+    for at in range(0, len(texts), 4):
+        lookup.add_documents(texts[at : at + 4], counts)
+        assert len(lookup.names) <= 2 * 100
+    want = {toxicity.hash_of(t): sum(t in {x for w in toxicity.words(text) for x in toxicity.terms_of(w)} for text in texts) for t in known}
+    assert dict(zip(terms.hashes.tolist(), counts.tolist())) == want
