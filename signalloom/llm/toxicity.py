@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,9 +74,9 @@ def terms_of(word: str) -> list[str]:
 
 
 #: Terms in more than one of so many examples are kept as rows of all examples, the others as postings.
-COMMON = 8
+COMMON = 16
 #: Documents whose common terms are multiplied at once.
-AT_ONCE = 32
+AT_ONCE = 128
 #: Terms of a document that are shown, the heaviest; all of them are weighed.
 SHOWN = 20
 
@@ -86,17 +87,28 @@ def hash_of(term: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def hashes_of(terms: list[str]) -> np.ndarray:
+    """``hash_of`` of many terms, none of which holds a zero character."""
+    data = "\0".join(terms).encode("utf-8", "surrogatepass").split(b"\0") if terms else []
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, data)), ">i8").astype(np.int64)
+
+
 class Vocabulary:
-    """Numbers of all terms: 0, 1, ... for those of the labelled sample, for any other a larger one of 62 bits of its hash."""
+    """Numbers of all terms: 0, 1, ... for those of the labelled sample, for any other a larger one of 62 bits of its hash.
+
+    ``names`` are those of the sample's terms, in the order of ``hashes``.
+    """
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
+    def __init__(self, hashes: np.ndarray, names: pa.Array | None = None):
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.names = None if names is None else names.take(pa.array(order))
 
     def __len__(self) -> int:
         return len(self.hashes)
 
     def numbers(self, terms: list[str]) -> np.ndarray:
-        h = np.array([hash_of(t) for t in terms], np.int64)
+        h = hashes_of(terms)
         i = np.searchsorted(self.hashes, h)
         known = np.append(self.hashes, 0)[i] == h
         return np.where(known & (i < len(self.hashes)), i, len(self.hashes) + (h & ((1 << 62) - 1)))
@@ -111,25 +123,29 @@ class Lookup:
 
     def _clear(self, room: int) -> None:
         self.rows: dict[str, int] = {}
-        self.names: dict[int, str] = {}
+        #: Numbers of the beginnings.
+        self.names: dict[str, int] = {}
         self.word, self.beginning = np.empty(room, np.int64), np.empty(room, np.int64)
 
     def _learn(self, found: list[Counter]) -> None:
-        new = list({w for c in found for w in c if w not in self.rows})
+        every = set().union(*found)
+        new = every.difference(self.rows)
         if len(self.rows) + len(new) > self.most:
-            new = list({w for c in found for w in c})
+            new = every
             self._clear(max(self.most, len(new)))
         if not new:
             return
         longer = [w for w in new if len(w) > BEGINNING]
-        starts = [f"{w[:BEGINNING]}*" for w in longer]
-        numbers = self.terms.numbers(new + starts)
+        starts = [w[:BEGINNING] for w in longer]
+        new = longer + [w for w in new if len(w) <= BEGINNING]
+        fresh = list(set(starts).difference(self.names))
+        numbers = self.terms.numbers(new + [f"{x}*" for x in fresh])
+        self.names.update(zip(fresh, numbers[len(new) :].tolist()))
         low = len(self.rows)
         self.rows.update(zip(new, range(low, low + len(new))))
         self.word[low : low + len(new)] = numbers[: len(new)]
         self.beginning[low : low + len(new)] = -1
-        self.beginning[[self.rows[w] for w in longer]] = numbers[len(new) :]
-        self.names.update((i, x) for i, x in zip(numbers.tolist(), new + starts) if i < len(self.terms))
+        self.beginning[low : low + len(longer)] = [self.names[x] for x in starts]
 
     def add_documents(self, texts: list[str], counts: np.ndarray) -> None:
         """Add to ``counts`` in how many of the texts each known term is. Words and beginnings never share a number."""
@@ -162,53 +178,110 @@ def term_strengths(sample: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        terms, ys = [], []
+        names, ys = [], []
         for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
             found = {t for w in set(words(text)) for t in terms_of(w)}
-            terms += map(hash_of, found)
+            names += found
             ys += [y] * len(found)
-        return pa.record_batch({"term": pa.array(terms, pa.int64()), "y": pa.array(ys, pa.int32())})
+        return pa.record_batch({"term": hashes_of(names), "name": pa.array(names, pa.string()), "y": pa.array(ys, pa.int32())})
 
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
-    counts = map_batches(sample.select("text", "y"), run, "term long, y int").groupBy("term").agg(
-        F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")
+    counts = map_batches(sample.select("text", "y"), run, "term long, name string, y int").groupBy("term").agg(
+        F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b"), F.min("name").alias("name")
     )
     found = counts.toArrow()
     hashes, a, b = (found.column(c).to_numpy() for c in ("term", "a", "b"))
     order = np.argsort(hashes)
-    hashes, a, b = hashes[order], a[order].astype(float), b[order].astype(float)
+    a, b = a[order].astype(float), b[order].astype(float)
 
     def part(seen: np.ndarray, x: int) -> np.ndarray:
         return seen * np.log(np.where(seen > 0, seen * (n1 + n0), 1) / np.where(seen > 0, (a + b) * x, 1))
 
-    return Vocabulary(hashes), np.sqrt(1 + np.maximum(0, 2 * (part(a, n1) + part(b, n0))))
+    return Vocabulary(hashes, found.column("name").combine_chunks()), np.sqrt(1 + np.maximum(0, 2 * (part(a, n1) + part(b, n0))))
 
 
-def document_frequencies(documents: DataFrame, terms: Vocabulary) -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many each term of the sample is: over all documents, summed within tasks first."""
+def _frequencies(rows: DataFrame, terms: Vocabulary, counter: Callable[[], Callable[[pa.RecordBatch, np.ndarray], None]]) -> tuple[int, np.ndarray]:
+    """Number of rows, and in how many each term of the sample is, as a task's ``counter`` adds up batches."""
 
     def run(batches):
-        counts, n, lookup = np.zeros(len(terms), np.int64), 0, Lookup(terms)
-        for batch in slices(batches):
+        counts, n, add = np.zeros(len(terms), np.int64), 0, counter()
+        for batch in batches:
             n += batch.num_rows
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), AT_ONCE):
-                lookup.add_documents(texts[at : at + AT_ONCE], counts)
+            add(batch, counts)
         ids = np.flatnonzero(counts)
         for at in range(0, len(ids), 1 << 16):
             some = ids[at : at + (1 << 16)]
             yield pa.record_batch({"i": some, "n": counts[some]})
         yield pa.record_batch({"i": np.array([-1]), "n": np.array([n])})
 
-    sums = documents.select(whole_text().alias("text")).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()
+    found = rows.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
     i, n = found.column("i").to_numpy(), found.column("n").to_numpy()
     out = np.zeros(len(terms) + 1, np.int64)
     out[i] = n
     return int(out[-1]), out[:-1]
 
 
+def document_frequencies(documents: DataFrame, terms: Vocabulary) -> tuple[int, np.ndarray]:
+    """Number of documents, and in how many each term of the sample is."""
+
+    def counter():
+        lookup = Lookup(terms)
+
+        def add(batch: pa.RecordBatch, counts: np.ndarray) -> None:
+            for part in slices([batch]):
+                texts = part.column("text").to_pylist()
+                for at in range(0, len(texts), AT_ONCE):
+                    lookup.add_documents(texts[at : at + AT_ONCE], counts)
+
+        return add
+
+    return _frequencies(documents.select(whole_text().alias("text")), terms, counter)
+
+
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(), zstandard.ZstdDecompressor()
+
+
+def pack(t: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending term numbers and their counts, to be stored or sent."""
+    return _PACKER.compress(np.concatenate([np.diff(t, prepend=0), n]).astype(np.uint32).tobytes())
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    t, n = np.frombuffer(_UNPACKER.decompress(packed), np.uint32).reshape(2, -1).astype(np.int64)
+    return np.cumsum(t), n
+
+
+def counted(documents: DataFrame, terms: Vocabulary) -> DataFrame:
+    """(doc_id, packed, rest) of every document: its terms that the sample has, and what all others add to its squared length."""
+
+    def run(batches):
+        lookup = Lookup(terms)
+        for batch in slices(batches):
+            texts, packed, rest = batch.column("text").to_pylist(), [], []
+            for at in range(0, len(texts), AT_ONCE):
+                for t, n in lookup.counted(texts[at : at + AT_ONCE]):
+                    known = np.searchsorted(t, len(terms))
+                    packed.append(pack(t[:known], n[:known]))
+                    rest.append(float(np.square(1 + np.log(n[known:])).sum()))
+            yield pa.record_batch(
+                {"doc_id": batch.column("doc_id"), "packed": pa.array(packed, pa.binary()), "rest": pa.array(rest, pa.float64())}
+            )
+
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    return docs.mapInArrow(run, "doc_id long, packed binary, rest double")
+
+
+def counted_frequencies(counts: DataFrame, terms: Vocabulary) -> tuple[int, np.ndarray]:
+    """``document_frequencies`` of the documents that ``counts`` were made of."""
+
+    def add(batch: pa.RecordBatch, counts: np.ndarray) -> None:
+        for packed in batch.column("packed").to_pylist():
+            counts[unpack(packed)[0]] += 1
+
+    return _frequencies(counts.select("packed"), terms, lambda: add)
+
+
 def _ranges(low: np.ndarray, n: np.ndarray) -> np.ndarray:
     """low[0], low[0] + 1, ... (n[0] numbers), low[1], ..."""
     return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -217,15 +290,23 @@ def _ranges(low: np.ndarray, n: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Postings of labelled examples by term, in blocks of examples with each block's largest weight.
 
-    Terms that many examples have are kept as rows of all examples instead. ``search`` adds these up, bounds what
+    Terms that many examples have are kept as rows of all examples instead, in single precision; for examples that may be
+    among the k best by this, cosines are made again in double precision. ``search`` adds these up, bounds what
     the others can add to a block, looks into the blocks of the highest bounds and then into all whose bound reaches
     the k-th best cosine found there, so its result is that of a full comparison.
+
+    A posting weighs ``base`` of its term times ``inverse`` of its example, and more only if it is listed again with
+    what it has more: most words are once in a text, so that most lists are read without weights.
     """
 
     #: Blocks to look into before any is passed over.
     FIRST = 4
     #: Postings a block must have on average for its largest weights to be read first.
     WORTH = 8
+    #: Shorter lists are gathered together, longer ones are copied one by one.
+    SHORT = 128
+    #: Postings that are added up at once.
+    AT_ONCE = 1 << 18
 
     def __init__(self, terms: Vocabulary | dict[str, int], weights: np.ndarray, block: int, unknown: float = 1.0):
         self.terms, self.weights, self.block, self.unknown = terms, weights, block, unknown
@@ -244,14 +325,10 @@ class BlockMaxIndex:
         self.__dict__.update(state)
         self.lookup = Lookup(self.terms)
         t = np.repeat(np.arange(len(per_term), dtype=np.int32), per_term)
-        w = np.empty(len(t))
-        # In pieces, since several whole columns of intermediate results would be most of a worker's memory.
-        for low in range(0, len(t), 1 << 18):
-            some = slice(low, low + (1 << 18))
-            w[some] = (1 + np.log(tf[some].astype(np.float64))) * self.weights[t[some]] / self.norms[at[some]]
-        columns = [t, at, w]
-        del t, at, w, tf
-        self._lay_out(columns)
+        where = np.flatnonzero(tf > 1).astype(np.int32)
+        columns = [t, at, where, np.log(tf[where].astype(np.float64))]
+        del t, at, tf, where
+        self._lay_out(columns, self.weights, 1 / self.norms)
 
     def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Term numbers and weights of a unit vector of all words of each text; empty if it has none."""
@@ -264,6 +341,13 @@ class BlockMaxIndex:
             out.append((t, w / (math.sqrt(float(w @ w)) or 1.0)))
         return out
 
+    def weighed(self, t: np.ndarray, n: np.ndarray, rest: float) -> tuple[np.ndarray, np.ndarray]:
+        """The same from ``counted`` rows, all terms that no example has as a single one."""
+        w = (1 + np.log(n)) * self.weights[t]
+        if rest:
+            t, w = np.append(t, len(self.weights)), np.append(w, self.unknown * math.sqrt(rest))
+        return t, w / (math.sqrt(float(w @ w)) or 1.0)
+
     def build(self, examples: list[tuple[int, int, dict[int, float]]]) -> BlockMaxIndex:
         every = [(t, x) for _, _, v in examples for t, x in v.items()]
         self.build_rows(
@@ -315,23 +399,38 @@ class BlockMaxIndex:
         place[full] = np.arange(n, dtype=np.int32)
         at = np.repeat(place, lengths)
         order = np.lexsort((at, t))
-        at = at[order]
-        self._lay_out([t[order], at, w[order]])
+        every = np.arange(len(t), dtype=np.int32)
+        self._lay_out([t[order], at[order], every, w[order] - 1], np.ones(len(self.weights)), np.ones(n))
+
+    def _lay_out(self, columns: list[np.ndarray], base: np.ndarray, inverse: np.ndarray) -> None:
+        """From postings in the order of terms, then of examples, which of them weigh more, and how much more.
 
-    def _lay_out(self, columns: list[np.ndarray]) -> None:
-        """From postings in the order of terms, then of examples; the list is emptied, so that its columns can be freed."""
-        t, at, w = columns
+        The list is emptied, so that its columns can be freed.
+        """
+        t, at, where, more = columns
         columns.clear()
         n = len(self.ids)
-        common = np.flatnonzero(np.bincount(t, minlength=len(self.weights)) * COMMON > n)
-        self.column = np.full(len(self.weights), -1, np.int32)
+        self.base, self.inverse = base, inverse
+        common = np.flatnonzero(np.bincount(t, minlength=len(base)) * COMMON > n)
+        self.column = np.full(len(base), -1, np.int32)
         self.column[common] = np.arange(len(common))
-        self.rows = np.zeros((len(common), n))
         rare = self.column[t] < 0
-        self.rows[self.column[t[~rare]], at[~rare]] = w[~rare]
-        # Narrow numbers, since reading the lists is what a search spends its time on.
-        self.w = w[rare]
-        del w
+        listed = rare[where]
+        dense = where[~listed]
+        # What a cell of the rows weighs in full: 0 without the term, 1 if it weighs no more, and so on.
+        values, code = np.unique(more[~listed], return_inverse=True)
+        self.values = np.concatenate([[0.0, 1.0], 1 + values])
+        self.codes = np.zeros((len(common), n), np.min_scalar_type(len(self.values)))
+        self.codes[self.column[t[~rare]], at[~rare]] = 1
+        self.codes[self.column[t[dense]], at[dense]] = 2 + code
+        del code
+        self.rows = np.empty((len(common), n), np.float32)
+        for i, term in enumerate(common):
+            self.rows[i] = self.values[self.codes[i]] * inverse * base[term]
+        #: Twice what single precision may be off: a rounding for each term of the sum, and three more.
+        self.slack = (len(common) + 3) * 2.0**-23
+        where, self.more = np.cumsum(rare, dtype=np.int32)[where[listed]] - 1, more[listed]
+        del dense, listed, more
         t, self.at = t[rare], at[rare].astype(np.min_scalar_type(n))
         del at, rare
         blocks = self.at // self.block
@@ -340,16 +439,27 @@ class BlockMaxIndex:
         new[1:] |= blocks[1:] != blocks[:-1]
         first = np.flatnonzero(new).astype(np.int32)
         del new
-        # A term's entries, one for each block it is in: the block, its largest weight, its first posting.
-        self.entries = np.searchsorted(t[first], np.arange(len(self.weights) + 1, dtype=t.dtype)).astype(np.int32)
+        # A term's entries, one for each block it is in: the block, its largest weight, its first posting, its first one of those that weigh more.
+        self.entries = np.searchsorted(t[first], np.arange(len(base) + 1, dtype=t.dtype)).astype(np.int32)
         self.blocks, self.first = blocks[first], np.append(first, np.int32(len(t)))
-        del t, blocks
-        most = np.maximum.reduceat(self.w, first) if len(first) else self.w
-        self.most = np.nextafter(most.astype(np.float32), np.float32(np.inf))
+        del blocks
+        self.more_at, self.more_first = self.at[where], np.searchsorted(where, self.first).astype(np.int32)
+        w = np.empty(len(t), np.float32)
+        # In pieces, since a whole column of a wider type would be much of a worker's memory.
+        for low in range(0, len(t), 1 << 18):
+            some = slice(low, low + (1 << 18))
+            w[some] = base[t[some]] * inverse[self.at[some]]
+        for low in range(0, len(where), 1 << 18):
+            some = slice(low, low + (1 << 18))
+            w[where[some]] *= 1 + self.more[some]
+        del t, where
+        # A little more than the largest, so that rounding never makes a bound too low.
+        self.most = np.maximum.reduceat(w, first) if len(first) else w
+        self.most *= np.float32(1 + 1e-6)
 
     def common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the common terms add to the cosine of each vector and example."""
-        q = np.zeros((len(vectors), len(self.rows)))
+        """What the common terms add to the cosine of each vector and example, up to half the ``slack``."""
+        q = np.zeros((len(vectors), len(self.rows)), np.float32)
         for i, (t, w) in enumerate(vectors):
             w = w[t < len(self.weights)]
             c = self.column[t[t < len(self.weights)]]
@@ -365,23 +475,34 @@ class BlockMaxIndex:
         t, w = (np.array(list(v), np.int64), np.array(list(v.values()))) if isinstance(v, dict) else v
         if not len(self.ids):
             return []
-        cosine = self.common([(t, w)])[0] if common is None else common.copy()
+        common = self.common([(t, w)])[0] if common is None else common
+        cosine = common.astype(np.float64)
         rare = t < len(self.weights)
+        column = self.column[t[rare]]
+        column, weighty = column[column >= 0, None], (w[rare] * self.base[t[rare]])[column >= 0]
+
+        def exact(cosine: np.ndarray, found: np.ndarray) -> np.ndarray:
+            """The cosines of examples, with the common terms in double precision."""
+            inexact, full = common[found].astype(np.float64), weighty @ self.values[self.codes[column, found]]
+            return cosine[found] - inexact + full * self.inverse[found]
+
         rare[rare] = self.entries[t[rare]] < self.entries[t[rare] + 1]
         t, w = t[rare], w[rare]
         low, high = self.entries[t], self.entries[t + 1]
         none = [np.zeros(0, np.int64)]
+        x = w * self.base[t]
 
         def whole(cosine: np.ndarray) -> np.ndarray:
             """``cosine`` with what all lists add."""
-            a, b = self.first[low], self.first[high]
-            spans = list(zip(a.tolist(), b.tolist()))
-            x = np.concatenate([self.w[i:j] for i, j in spans] or none)
-            return cosine + np.bincount(np.concatenate([self.at[i:j] for i, j in spans] or none), x * np.repeat(w, b - a), len(cosine))
+            both = self._summed(self.at, None, self.first[low], self.first[high], x)
+            both += self._summed(self.more_at, self.more, self.more_first[low], self.more_first[high], x)
+            both *= self.inverse
+            both += cosine
+            return both
 
         if (self.first[high] - self.first[low]).sum() < self.WORTH * (high - low).sum():
             # The blocks hold so few postings that to read their weights would take longer than to read all of them.
-            return self._nearest(whole(cosine), None, k, ties)
+            return self._nearest(whole(cosine), None, k, ties, exact)
         spans = list(zip(low.tolist(), high.tolist()))
         blocks = np.concatenate([self.blocks[a:b] for a, b in spans] or none)
         most = np.concatenate([self.most[a:b] for a, b in spans] or none)
@@ -397,9 +518,9 @@ class BlockMaxIndex:
             mine = np.flatnonzero(into[blocks])
             term = np.searchsorted(ends, mine, "right")
             entries = mine + (high - ends)[term]
-            n = self.first[entries + 1] - self.first[entries]
-            at = _ranges(self.first[entries], n)
-            cosine[:] += np.bincount(self.at[at], np.repeat(w[term], n) * self.w[at], len(cosine))
+            both = self._summed(self.at, None, self.first[entries], self.first[entries + 1], x[term])
+            both += self._summed(self.more_at, self.more, self.more_first[entries], self.more_first[entries + 1], x[term])
+            cosine[:] += both * self.inverse
 
         def best_of(seen: np.ndarray) -> np.ndarray:
             found = np.flatnonzero(np.repeat(seen, self.block)[: len(cosine)])
@@ -409,27 +530,54 @@ class BlockMaxIndex:
         look(into)
         found = best_of(into)
         least = np.partition(cosine[found], -k)[-k] if len(found) >= k else 0.0
-        more = ~into & (bounds > 0) & (bounds >= least - 1e-9)
+        more = ~into & (bounds > 0) & (bounds >= least - self.slack - 1e-9)
         if more.sum() * 4 > len(more):
             # Most lists would be read in pieces; whole ones are read faster.
-            return self._nearest(whole(partial), None, k, ties)
+            return self._nearest(whole(partial), None, k, ties, exact)
         if more.any():
             look(more)
             found = best_of(into | more)
-        return self._nearest(cosine, found, k, ties)
+        return self._nearest(cosine, found, k, ties, exact)
+
+    def _summed(self, at: np.ndarray, weights: np.ndarray | None, low: np.ndarray, high: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """For each example the sum, over the lists from ``low`` to ``high`` that it is in, of the list's ``x``, times ``weights``."""
+        n = (high - low).astype(np.int64)
+        some = n > self.SHORT
+        long, short = np.flatnonzero(some), np.flatnonzero(~some & (n > 0))
+        out = np.zeros(len(self.ids))
+        for lists in self._portions(short, n):
+            i = _ranges(low[lists], n[lists])
+            each = np.repeat(x[lists], n[lists])
+            out += np.bincount(at[i], each if weights is None else each * weights[i], len(out))
+        for lists in self._portions(long, n):
+            spans = [slice(i, j) for i, j in zip(low[lists].tolist(), high[lists].tolist())]
+            each = np.repeat(x[lists], n[lists])
+            if weights is not None:
+                each *= np.concatenate([weights[i] for i in spans])
+            out += np.bincount(np.concatenate([at[i] for i in spans]), each, len(out))
+        return out
+
+    def _portions(self, lists: np.ndarray, n: np.ndarray):
+        """``lists`` in portions of about ``AT_ONCE`` postings, so that long texts take no more memory."""
+        ends = np.cumsum(n[lists])
+        if not len(lists) or ends[-1] <= self.AT_ONCE:
+            return [lists] if len(lists) else []
+        return np.split(lists, np.flatnonzero(np.diff(ends // self.AT_ONCE)) + 1)
 
-    def _nearest(self, cosine: np.ndarray, found: np.ndarray | None, k: int, ties: bool) -> list[tuple[float, int]]:
+    def _nearest(self, cosine: np.ndarray, found: np.ndarray | None, k: int, ties: bool, exact: Callable) -> list[tuple[float, int]]:
         """The k best of the examples ``found`` (all without it), as ``search`` gives them."""
         if found is None:
-            # Rounding keeps the order, so what is equal to the k-th when rounded is not far below it.
-            least = np.partition(cosine, -k)[-k] - 2e-9 if len(cosine) > k else 0.0
-            found = np.flatnonzero((cosine > 0) & (cosine >= least))
-        rounded = np.round(cosine[found], 9)
+            found = np.flatnonzero(cosine >= np.partition(cosine, -k)[-k] - self.slack - 2e-9) if len(cosine) > k else np.arange(len(cosine))
+            found = found[cosine[found] > 0]
+        cosine = exact(cosine, found)
+        # Rounding keeps the order, so what is equal to the k-th when rounded is not far below it.
+        rounded = np.round(cosine, 9)
         if len(found) > k:
             near = rounded >= np.partition(rounded, -k)[-k]
             found, rounded = found[near], rounded[near]
-        best = found[np.lexsort((self.ids[found], -rounded))]
-        return [(round(float(cosine[i]), 9), int(i)) for i in (best if ties else best[:k])]
+        best = np.lexsort((self.ids[found], -rounded))
+        best = best if ties else best[:k]
+        return list(zip(rounded[best].tolist(), found[best].tolist()))
 
 
 def learned(documents: DataFrame, labels: DataFrame, params: ToxicityParams | None = None, label: str = "toxic",
@@ -438,32 +586,32 @@ def learned(documents: DataFrame, labels: DataFrame, params: ToxicityParams | No
     params = params or ToxicityParams()
     sample = staged(labelled_sample(documents, labels, label, modulus, remainder, params.max_labelled), "labelled")
     terms, strengths = term_strengths(sample)
-    n, df = document_frequencies(documents, terms)
+    return indexed(sample, terms, strengths, *document_frequencies(documents, terms), params)
+
+
+def indexed(sample: DataFrame, terms: Vocabulary, strengths: np.ndarray, n: int, df: np.ndarray, params: ToxicityParams) -> BlockMaxIndex:
+    """The index of the written ``sample``, whose terms are in ``df`` of ``n`` documents."""
     weights = (np.log((1 + n) / (1 + df)) + 1) * strengths
     # A term that none of the examples has weighs like one that a single document in as many as there are examples has.
     index = BlockMaxIndex(terms, weights, params.block, math.log(1 + sample.count()) + 1)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = Lookup(terms).counted(batch.column("text").to_pylist())
-        pack = zstandard.ZstdCompressor().compress
-        counts = [np.concatenate([t, n]).astype(np.uint32) for t, n in found]
         return pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
                 "y": batch.column("y"),
                 "n": pa.array([len(t) for t, _ in found], pa.int64()),
-                "packed": pa.array([pack(c.tobytes()) for c in counts], pa.binary()),
+                "packed": pa.array([pack(t, n) for t, n in found], pa.binary()),
             }
         )
 
     rows = map_batches(sample, run, "doc_id long, y int, n long, packed binary").toArrow()
     lengths = rows.column("n").to_numpy()
-    unpack = zstandard.ZstdDecompressor().decompress
     t, tf = np.empty(int(lengths.sum()), np.int32), np.empty(int(lengths.sum()), np.int32)
     at = 0
     for packed, n in zip(rows.column("packed"), lengths.tolist()):
-        both = np.frombuffer(unpack(packed.as_py()), np.uint32)
-        t[at : at + n], tf[at : at + n] = both[:n], both[n:]
+        t[at : at + n], tf[at : at + n] = unpack(packed.as_py())
         at += n
     ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy().astype(np.int64)
     del rows
@@ -481,16 +629,14 @@ def vote(index: BlockMaxIndex, v: tuple[np.ndarray, np.ndarray], params: Toxicit
     return votes / (float(w.sum()) + params.prior_votes), near
 
 
-def votes(index: BlockMaxIndex, texts: list[str], params: ToxicityParams):
-    """(score, neighbours, vector) of each text."""
-    for at in range(0, len(texts), AT_ONCE):
-        vectors = index.vectors(texts[at : at + AT_ONCE])
-        for v, common in zip(vectors, index.common(vectors)):
-            yield *vote(index, v, params, common), v
+def votes(index: BlockMaxIndex, vectors: list[tuple[np.ndarray, np.ndarray]], params: ToxicityParams):
+    """(score, neighbours) of each vector."""
+    for v, common in zip(vectors, index.common(vectors)):
+        yield vote(index, v, params, common)
 
 
-def scored(documents: DataFrame, index: BlockMaxIndex, params: ToxicityParams | None = None) -> DataFrame:
-    """(doc_id, score, evidence, terms) for every document, from its whole text.
+def scored(counts: DataFrame, index: BlockMaxIndex, params: ToxicityParams | None = None) -> DataFrame:
+    """(doc_id, score, evidence, terms) for every document, from the ``counted`` terms of its whole text.
 
     Every word weighs, by its frequency here and in all documents and by how well it tells the classes apart.
     Neighbours vote with their label, weighted by exp(-distance / width); ``prior_votes`` of the examples' base
@@ -499,31 +645,36 @@ def scored(documents: DataFrame, index: BlockMaxIndex, params: ToxicityParams |
     the ``SHOWN`` heaviest terms met that examples have too. Only text is looked at. Repeated rows score alike.
     """
     params = params or ToxicityParams()
-    shared = documents.sparkSession.sparkContext.broadcast(index)
+    shared = counts.sparkSession.sparkContext.broadcast(index)
+    shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
+
+    def judged(own: BlockMaxIndex, batch: pa.RecordBatch) -> pa.RecordBatch:
+        scores, evidence, terms = [], [], []
+        packed, rest = batch.column("packed").to_pylist(), batch.column("rest").to_pylist()
+        vectors = [own.weighed(*unpack(x), y) for x, y in zip(packed, rest)]
+        for (score, near), (t, w) in zip(votes(own, vectors, params), vectors):
+            scores.append(score)
+            evidence.append([{"doc_id": int(own.ids[i]), "cosine": c, "label": int(own.y[i])} for c, i in near[:5]])
+            known = t < len(own.terms)
+            terms.append(t[known][np.lexsort((t[known], -w[known]))[:SHOWN]])
+        ends = np.cumsum([0, *map(len, terms)]).astype(np.int32)
+        names = own.terms.names.take(pa.array(np.concatenate(terms)))
+        return pa.record_batch(
+            {
+                "doc_id": batch.column("doc_id"),
+                "score": pa.array(scores, pa.float64()),
+                "evidence": pa.array(evidence, shape),
+                "terms": pa.ListArray.from_arrays(pa.array(ends), names),
+            }
+        )
 
     def run(batches):
         own = shared.value
-        for batch in slices(batches):
-            scores, evidence, terms = [], [], []
-            texts = batch.column("text").to_pylist()
-            for score, near, (t, w) in votes(own, texts, params):
-                scores.append(score)
-                evidence.append([{"doc_id": int(own.ids[i]), "cosine": c, "label": int(own.y[i])} for c, i in near[:5]])
-                known = t < len(own.terms)
-                heavy = t[known][np.lexsort((t[known], -w[known]))[:SHOWN]].tolist()
-                terms.append([own.lookup.names[i] for i in heavy])
-            shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "score": pa.array(scores, pa.float64()),
-                    "evidence": pa.array(evidence, shape),
-                    "terms": pa.array(terms, pa.list_(pa.string())),
-                }
-            )
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                yield judged(own, batch.slice(at, AT_ONCE))
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return docs.mapInArrow(
+    return counts.mapInArrow(
         run, "doc_id long, score double, evidence array<struct<doc_id: bigint, cosine: double, label: int>>, terms array<string>"
     )
 
@@ -533,7 +684,13 @@ def toxicity(documents: DataFrame, labels: DataFrame, params: ToxicityParams | N
 
     Without labels there are no examples and every score is the base rate. No rows give no rows.
     """
-    return scored(documents, learned(documents, labels, params), params).select(
+    params = params or ToxicityParams()
+    sample = staged(labelled_sample(documents, labels, "toxic", 5, 0, params.max_labelled), "labelled")
+    terms, strengths = term_strengths(sample)
+    # Words are found and looked up once; frequencies and scores are made from the counts.
+    counts = staged(counted(documents, terms), "counted")
+    index = indexed(sample, terms, strengths, *counted_frequencies(counts, terms), params)
+    return scored(counts, index, params).select(
         "doc_id",
         held_out(F.col("doc_id"), 5, 0).alias("held_out"),
         "score",
@@ -555,8 +712,9 @@ def accepted(documents: DataFrame, labels: DataFrame, params: ToxicityParams | N
     def run(batches):
         own, p = shared.value
         for batch in slices(batches):
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            keep = [score < 0.5 for score, _, _ in votes(own, texts, p)]
+            texts, keep = [text or "" for text in batch.column("text").to_pylist()], []
+            for at in range(0, len(texts), AT_ONCE):
+                keep += [score < 0.5 for score, _ in votes(own, own.vectors(texts[at : at + AT_ONCE]), p)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, schema)

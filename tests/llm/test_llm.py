@@ -28,6 +28,7 @@ from signalloom.llm import (
     toxicity,
     warc,
 )
+from signalloom.operators import staging
 from signalloom.operators.staging import staging_path
 
 DOCS = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, fp STRING, score STRING, size STRING"
@@ -809,3 +810,45 @@ def test_names_of_terms_are_forgotten_with_their_words_and_documents_are_counted
         assert len(lookup.names) <= 2 * 100
     want = {toxicity.hash_of(t): sum(t in {x for w in toxicity.words(text) for x in toxicity.terms_of(w)} for text in texts) for t in known}
     assert dict(zip(terms.hashes.tolist(), counts.tolist())) == want
+
+
+def test_documents_are_scored_from_stored_counts_as_from_their_texts(spark):
+    """Words are found once: counts make the same frequencies and, to the ninth digit, the same scores as texts."""
+    rng = random.Random(11)
+    data = [(i, text_of(rng, 30) + (f" snargle{rng.randrange(3)} fool fool" if i % 6 == 0 else ""), "s") for i in range(80)]
+    docs = frame(spark, [*data, (900, None, "s"), (901, "unheard zzzzzzzz", "s"), (902, "", "s")])
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id LONG, toxic INT")
+    index = toxicity.learned(docs, labels)
+    counts = staging.staged(toxicity.counted(docs, index.terms), "counts")
+    for a, b in zip(toxicity.counted_frequencies(counts, index.terms), toxicity.document_frequencies(docs, index.terms)):
+        assert np.array_equal(a, b)
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    sent, params = pickle.loads(pickle.dumps(index)), toxicity.ToxicityParams()
+    for i, text in texts.items():
+        v = index.vectors([text])[0]
+        score, near = toxicity.vote(sent, v, params)
+        assert got[i].score == pytest.approx(score, abs=1e-8)
+        assert [e.doc_id for e in got[i].evidence] == [int(sent.ids[e]) for _, e in near[:5]]
+        assert set(got[i].terms) <= {t for w in toxicity.words(text) for t in toxicity.terms_of(w)}
+
+
+def test_common_terms_in_single_precision_leave_cosines_exact():
+    rng = np.random.default_rng(12)
+    n, n_terms = 600, 400
+    lengths = rng.integers(1, 60, n)
+    t = np.concatenate([np.sort(rng.choice(n_terms, k, replace=False, p=(p := 1 / np.arange(1, n_terms + 1)) / p.sum())) for k in lengths]).astype(np.int32)
+    tf = rng.integers(1, 9, len(t)).astype(np.int32)
+    index = toxicity.BlockMaxIndex(toxicity.Vocabulary(np.arange(n_terms, dtype=np.int64)), rng.random(n_terms) + 1, 16)
+    index.build_counts(np.arange(n), rng.integers(0, 2, n), lengths, t, tf)
+    found = pickle.loads(pickle.dumps(index))
+    assert found.rows.dtype == np.float32 and len(found.rows) > 10
+    dense = np.zeros((n, n_terms))
+    dense[np.repeat(np.arange(n), lengths), t] = (1 + np.log(tf)) * index.weights[t]
+    dense /= np.sqrt((dense**2).sum(axis=1, keepdims=True))
+    for e in range(0, n, 20):
+        q = np.flatnonzero(dense[e])
+        near = found.search((q, dense[e][q]), 10)
+        want = np.sort(np.round(dense @ dense[e], 9))[::-1][:10]
+        assert [c for c, _ in near] == pytest.approx([x for x in want if x > 0], abs=1.1e-9)
+        assert all(c == pytest.approx(dense[found.ids[i]] @ dense[e], abs=1.1e-9) for c, i in near)
