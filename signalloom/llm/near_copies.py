@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from signalloom.llm.common import free_name, map_batches, whole_text
 from signalloom.llm.components import components
 from signalloom.llm.simhash import SEED, fingerprint_groups, majority
-from signalloom.operators.staging import staged
+from signalloom.operators.staging import broadcast_if_small, staged, staging_area, staging_path
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -188,8 +188,13 @@ def verified_links(rows: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame
     filed = staged(by_bands.union(by_bits), "filed")
     ranges = filed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     shared = staged(ranges.where("a < z").select("key", "a"), "shared")
-    candidates = components(filed.join(shared, "key").select("a", F.col("node").alias("b")))
+    candidates = staged(components(filed.join(shared, "key").select("a", F.col("node").alias("b"))), "candidates")
 
+    # Most sets are no candidates; while the nodes of those that are can be broadcast, the others never travel.
+    nodes = candidates.select("node")
+    bounded = broadcast_if_small(nodes)
+    if bounded is not nodes:
+        some = some.join(bounded, "node", "left_semi")
     # Hashing the short side spares sorting all shingles.
     sets = some.select("node", "sketch", "shingles").join(candidates.hint("shuffle_hash"), "node").dropDuplicates(["node"])
     members = staged(sets, "members")
@@ -212,19 +217,23 @@ def deduplicated(documents: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFr
     what such links connect. Null and wordless texts are copies of each other and of nothing else; texts under five
     words are one shingle. Of repeated rows one stays, and one of a group without ids. An empty table gives no rows.
     """
-    rows = staged(described(documents), "described")
-    roots = staged(components(verified_links(rows, piece_bytes)), "roots")
-    rooted = rows.select("doc_id", "text_hash", "node").join(roots, "node", "left")
-    group = F.coalesce("root", "node").alias("group")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("first")
-    kept = staged(
-        rooted.groupBy(group, "doc_id", "text_hash")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("group")
-        .agg(first)
-        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"), F.col("first.n").alias("n")),
-        "kept",
-    )
+    path = staging_path(documents.sparkSession, "kept")
+    # Shingles take more room than texts: they are deleted before the texts are shuffled.
+    with staging_area(documents.sparkSession, "near-copies"):
+        rows = staged(described(documents), "described")
+        roots = staged(components(verified_links(rows, piece_bytes)), "roots")
+        rooted = rows.select("doc_id", "text_hash", "node").join(roots, "node", "left")
+        group = F.coalesce("root", "node").alias("group")
+        first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("first")
+        firsts = (
+            rooted.groupBy(group, "doc_id", "text_hash")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("group")
+            .agg(first)
+            .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"), F.col("first.n").alias("n"))
+        )
+        firsts.write.parquet(path)
+    kept = documents.sparkSession.read.schema(firsts.schema).parquet(path)
     own = free_name(documents, "text_hash_of_row")
     marked = documents.withColumn(own, F.xxhash64(whole_text()))
 

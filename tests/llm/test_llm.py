@@ -812,6 +812,31 @@ def test_names_of_terms_are_forgotten_with_their_words_and_documents_are_counted
     assert dict(zip(terms.hashes.tolist(), counts.tolist())) == want
 
 
+def test_shingles_are_gone_before_the_texts_of_kept_documents_are_read(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [text_of(rng, 60) for _ in range(30)]
+    docs = frame(spark, [(i, t + (" end" if i >= 30 else ""), "s") for i, t in enumerate(texts + texts)])
+    token = staging._area.set(str(tmp_path / "area"))
+    try:
+        found = near_copies.deduplicated(docs)
+        left = {x.name.split("-")[0] for x in (tmp_path / "area").iterdir()}
+    finally:
+        staging._area.reset(token)
+    assert left == {"kept"}
+    assert sorted(r.doc_id for r in found.collect()) == list(range(30))
+
+
+def test_sets_that_cannot_be_broadcast_give_the_same_links(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [text_of(rng, 60) for _ in range(30)]
+    docs = frame(spark, [(i, t + (" end" if i >= 20 else ""), "s") for i, t in enumerate(texts + texts[:15])])
+    rows = staging.staged(near_copies.described(docs), "rows")
+    links = [sorted(map(tuple, near_copies.verified_links(rows).collect()))]
+    monkeypatch.setattr(near_copies, "broadcast_if_small", lambda df: df)
+    links.append(sorted(map(tuple, near_copies.verified_links(rows).collect())))
+    assert links[0] == links[1] and len(links[0]) == 15
+
+
 def test_documents_are_scored_from_stored_counts_as_from_their_texts(spark):
     """Words are found once: counts make the same frequencies and, to the ninth digit, the same scores as texts."""
     rng = random.Random(11)
