@@ -59,18 +59,21 @@ def record_extract(
         df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in columns])
         for df, columns in ((_marked(extract, at), [*keys, *facts, SEEN, GONE]), (before, [*keys, *facts, SEEN, GONE]))
     )
-    last = latest_state(before, keys)
-    known = last.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_state").alias("_before"))
+    # One shuffle and one sort: each row of this extract lies next to its key's last recorded state.
+    along = Window.partitionBy(*keys).orderBy(SEEN)
     state = F.struct(GONE, *facts)
-    changed = now.join(known, _same(keys, "_k_"), "left").where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state))
-    out = changed.select(*now.columns)
+    told = before.unionByName(now).withColumn("_before", F.lag(state).over(along)).where(F.col(SEEN) == F.lit(at))
+    out = told.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state)).select(*now.columns)
     if complete:
+        last = latest_state(before, keys)
         named = extract.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         lost = last.where(~F.col(f"_state.{GONE}")).join(named, _same(keys, "_k_"), "left_anti")
         out = out.unionByName(
             lost.select(*keys, *[F.col(f"_state.{c}").alias(c) for c in facts], F.lit(at).alias(SEEN), F.lit(True).alias(GONE))
         )
-    staged(out, "changes").write.mode("overwrite").parquet(f"{path}/{name}")
+    # A folder that is there is among the files that are read, so what replaces it is written beside it first.
+    out = staged(out, "changes") if name in taken else out
+    out.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from signalloom.operators import versions
+from signalloom.operators import staging, versions
 from signalloom.plans import executive
 from signalloom.session import scratch_path
 
@@ -111,3 +111,16 @@ def test_an_order_delivered_later_is_open_on_the_days_before(spark):
     assert recorded == expected
     # Today's states alone hide the open days of the delivered order.
     assert set(by_day(states.where("valid_to IS NULL").drop("valid_from", "valid_to")).values()) <= {None, 10.0}
+
+
+def test_a_new_extract_is_written_once(spark, monkeypatch):
+    """Only one that is recorded again, whose folder is read, is written beside it first."""
+    written = []
+    monkeypatch.setattr(versions, "staged", lambda df, label: written.append(label) or staging.staged(df, label))
+    extracts = [(0, {"a": "open", None: "open"}), (3, {"a": "done", None: "open"}), (5, {"a": "done", "b": "open"})]
+    path = record(spark, extracts)
+    assert written == []
+    expected = [(None, "open", 0, None), ("a", "open", 0, 3), ("a", "done", 3, None), ("b", "open", 5, None)]
+    assert spans(spark, path) == expected
+    versions.record_extract(spark, extract(spark, extracts[1][1]), path, ["order_id"], day(3))
+    assert written == ["changes"] and spans(spark, path) == expected
