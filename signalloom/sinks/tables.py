@@ -26,6 +26,8 @@ from signalloom.session import hadoop_path, stored_bytes
 BUCKET = "key_bucket_no"
 # A merge that finds more files than this per bucket also compacts.
 MOST_FILES = 8
+# Up to so many buckets a task of 128 MB leaves files of 8 MB or more, which needn't be brought together.
+FEW_BUCKETS = 16
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -172,6 +174,37 @@ def without_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str])
     return target.join(_renamed(source_keys, keys), match, "left_anti")
 
 
+def _repeats(path: str, keys: Sequence[str]) -> ValueError:
+    return ValueError(f"source of the merge into {path} repeats a key ({', '.join(keys)})")
+
+
+def _most_of(rows: DataFrame, *by: Column) -> int:
+    """Rows of the largest group."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+
+
+def _create(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], n_buckets: int, is_unique: bool) -> None:
+    """Make the table of ``source``, which is computed once: its rows are written in place and their keys checked afterwards.
+
+    Nothing is committed if a key repeats. Rows of few buckets are written by the tasks that have them, in a file for each
+    bucket; those of many are brought together first.
+    """
+    written = f"{path}/_merge-{uuid.uuid4().hex}"
+    write_partitions(source, written, [BUCKET], arrange=n_buckets > FEW_BUCKETS)
+    fs, where = hadoop_path(spark, written)
+    folders = [x.getPath().getName() for x in fs.listStatus(where)]
+    buckets = [int(name.split("=")[1]) for name in folders if name.startswith(f"{BUCKET}=")]
+    stored = spark.read.schema(source.schema).parquet(written) if buckets else None
+    # A hash says whether keys can repeat at all, and only then the keys themselves are shuffled.
+    if buckets and not is_unique and _most_of(stored, F.xxhash64(*keys)) > 1 and _most_of(stored, *map(F.col, keys)) > 1:
+        fs.delete(where, True)
+        raise _repeats(path, keys)
+    if buckets:
+        _commit(spark, path, written, buckets, _layout(keys, n_buckets, source.schema))
+    else:
+        fs.delete(where, True)
+
+
 def upsert(
     spark: SparkSession,
     source: DataFrame,
@@ -190,7 +223,7 @@ def upsert(
     columns are added, a column that changes its type is an error. ``source`` must hold a key once, else the result
     would depend on row order: that is an error, unless ``newest`` names a column whose highest
     value wins. ``is_written`` says that ``source`` reads a written table and need not be written
-    once more to be read several times.
+    once more to be read several times. The first merge makes the table: its source is computed and written once.
 
     When the source's keys are small enough to broadcast, stored rows are not shuffled: they are
     read, filtered and written bucket by bucket. Otherwise stored and new rows are brought together
@@ -206,6 +239,9 @@ def upsert(
             raise ValueError(f"{path} is merged by {', '.join(layout['keys'])}, not by {', '.join(keys)}")
         n_buckets = layout["n_buckets"]
     source = source.withColumn(BUCKET, key_bucket(keys, n_buckets))
+    if not table_exists(spark, path):
+        _create(spark, source, path, keys, n_buckets, is_unique=newest is not None)
+        return
     if not is_written or newest is not None:
         source = staged(source, "upsert-source")
     # One pass tells whether keys repeat, which buckets are met (at most n_buckets numbers) and
@@ -219,13 +255,8 @@ def upsert(
     if facts["most"] is None:
         return
     if facts["most"] > 1:
-        raise ValueError(f"source of the merge into {path} repeats a key ({', '.join(keys)})")
+        raise _repeats(path, keys)
     written = f"{path}/_merge-{uuid.uuid4().hex}"
-    if not table_exists(spark, path):
-        write_partitions(source, written, [BUCKET])
-        _commit(spark, path, written, facts["buckets"], _layout(keys, n_buckets, source.schema))
-        return
-
     schema = _agreed_schema(_stored(spark, path).schema, source.schema, path)
     stored = _stored(spark, path).where(F.col(BUCKET).isin(facts["buckets"]))
     crowded = len(stored.inputFiles()) > MOST_FILES * len(facts["buckets"])

@@ -32,9 +32,9 @@ def export_extracts(spark, sf_dir, names) -> str:
         "inventory": lambda: retail.inventory(spark, sf_dir),
         "orders": lambda: retail.orders(spark, sf_dir).withColumn("status", status),
         # Extracts hold a key once.
-        "order_items": lambda: retail.order_items(spark, sf_dir).groupBy("order_id", "sku").agg(
-            F.sum("qty").alias("qty"), F.max("unit_price").alias("unit_price")
-        ),
+        "order_items": lambda: retail.table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+            F.sum(F.col("l_quantity").cast("int")).alias("qty"), F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")
+        ).select(F.concat(F.lit("O"), "l_orderkey").alias("order_id"), F.concat(F.lit("SKU"), "l_partkey").alias("sku"), "qty", "unit_price"),
         "shipments": lambda: retail.shipments(spark, sf_dir).withColumn("status", status),
     }
     for extract in EXTRACTS:

@@ -240,3 +240,20 @@ def test_upsert_keeps_columns_and_buckets_and_refuses_other_types(spark):
     with pytest.raises(ValueError, match="merged by k"):
         tables.upsert(spark, first, path, ["v"])
     assert tables.read_table(spark, path).count() == 20
+
+
+def test_a_new_table_is_made_in_one_pass(spark, monkeypatch):
+    """Its source is neither written beside it first nor shuffled, and what repeats is still found, whatever the hashes."""
+    monkeypatch.setattr(tables, "staged", lambda *_: pytest.fail("the source was written twice"))
+    monkeypatch.setattr(tables, "_most_of", lambda rows, *by, f=tables._most_of: asked.append(len(by)) or f(rows, *by))
+    asked, path = [], scratch_path(spark, "t")
+    # Hashes skip nulls: both rows have the same one.
+    data = frame(spark, ("a", None, 1), (None, "a", 2), ("b", "x", 3))
+    tables.upsert(spark, data, path, ["k1", "k2"], n_buckets=4)
+    assert asked == [1, 2] and rows(tables.read_table(spark, path)) == rows(data)
+    twice = scratch_path(spark, "t")
+    with pytest.raises(ValueError, match="repeats a key"):
+        tables.upsert(spark, data.unionByName(frame(spark, (None, "a", 2))), twice, ["k1", "k2"], n_buckets=4)
+    assert not tables.table_exists(spark, twice)
+    tables.upsert(spark, data.where("v = 9"), twice, ["k1", "k2"])
+    assert not tables.table_exists(spark, twice)
