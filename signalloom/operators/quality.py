@@ -17,6 +17,7 @@ from signalloom.operators.staging import staging_path
 
 FAIL, WARN = "fail", "warn"
 REASONS, WARNINGS = "_dq_fail_reasons", "_dq_warnings"
+CLEAN_FOLDER = "_clean=true"
 
 
 @dataclass(frozen=True)
@@ -100,10 +101,14 @@ def split_once(df: DataFrame, rules: Iterable[Rule], label: str) -> tuple[DataFr
     The tagged rows are written to the shared folder in one directory per verdict; each side
     then reads its own directory only.
     """
-    checked = tag(df, rules).withColumn("_clean", F.size(REASONS) == 0)
-    path = staging_path(df.sparkSession, label)
-    checked.write.partitionBy("_clean").parquet(path)
-    stored = df.sparkSession.read.schema(checked.schema).parquet(path)
+    return write_checked(tag(df, rules), staging_path(df.sparkSession, label))
+
+
+def write_checked(tagged: DataFrame, path: str, by: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Write tagged rows below ``path``, clean ones in ``CLEAN_FOLDER``, both by ``by``; the two sides as read from there."""
+    checked = tagged.withColumn("_clean", F.size(REASONS) == 0)
+    checked.write.partitionBy("_clean", *by).parquet(path)
+    stored = tagged.sparkSession.read.schema(checked.schema).parquet(path)
     return (
         stored.where(F.col("_clean")).drop("_clean", REASONS),
         stored.where(~F.col("_clean")).drop("_clean", WARNINGS),

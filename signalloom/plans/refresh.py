@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -11,16 +12,20 @@ from pyspark.sql import functions as F
 from signalloom.functions.clock import AsOf
 from signalloom.model import EventNames, OrderStates
 from signalloom.operators import quality
-from signalloom.operators.staging import staged, staging_area
+from signalloom.operators.staging import staged, staging_area, staging_path
 from signalloom.operators.standardize import STANDARD_FORMS
 from signalloom.plans.cart_recovery import cart_recovery_signal
 from signalloom.plans.executive import daily_summary
 from signalloom.plans.fulfillment_risk import fulfillment_risk_signal
-from signalloom.session import size_shuffles, stored_bytes
+from signalloom.session import hadoop_path, size_shuffles, stored_bytes
 from signalloom.sinks.audit import audited, counted
 from signalloom.sinks.tables import (
+    BUCKET,
+    commit_new,
+    key_bucket,
     read_snapshot,
     read_table,
+    starts_in_place,
     table_exists,
     upsert,
     write_quarantine,
@@ -123,15 +128,27 @@ def conform_table(
             if full_contract:
                 if table.name == "orders":
                     rules.append(quality.order_clock_rule(F.col("_bronze_ingested_at")))
-            clean, bad = (side.drop(*flags) for side in quality.split_once(rows, rules, "checked"))
-            quarantine = lake.path("silver", f"{table.name}_quarantine")
-            write_quarantine(bad, quarantine, spark.conf.get(RUN_ID_SETTING, None) or content_id(bad))
-            clean, seen = counted(clean)
-            upsert(
-                spark, clean, lake.path("silver", table.name), table.keys, n_buckets=n_buckets, is_written=True
-            )
+            path, quarantine = lake.path("silver", table.name), lake.path("silver", f"{table.name}_quarantine")
+            tagged = quality.tag(rows, rules).drop(*flags)
+            in_place = starts_in_place(spark, path, n_buckets)
+            # A table that isn't there yet is made of the checked rows as they are written; its files keep their empty reasons.
+            checked = f"{path}/_checked-{uuid.uuid4().hex}" if in_place else staging_path(spark, "checked")
+            if in_place:
+                tagged = tagged.withColumn(BUCKET, key_bucket(table.keys, n_buckets))
+            clean, bad = quality.write_checked(tagged, checked, [BUCKET] if in_place else [])
+            aside = bad.drop(BUCKET)
+            write_quarantine(aside, quarantine, spark.conf.get(RUN_ID_SETTING, None) or content_id(aside))
             counts.quarantined_count = bad.count()
-        counts.row_count = seen.get["n_rows"]
+            if in_place:
+                counts.row_count = clean.count()
+                commit_new(spark, f"{checked}/{quality.CLEAN_FOLDER}", clean.schema, path, table.keys, n_buckets)
+                # Only now: a commit that died is finished from this folder.
+                fs, where = hadoop_path(spark, checked)
+                fs.delete(where, True)
+            else:
+                clean, seen = counted(clean)
+                upsert(spark, clean, path, table.keys, n_buckets=n_buckets, is_written=True)
+                counts.row_count = seen.get["n_rows"]
 
 
 def publish(spark: SparkSession, lake: Lake, name: str, build: Callable[[], DataFrame]) -> None:

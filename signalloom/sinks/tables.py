@@ -191,16 +191,29 @@ def _create(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[st
     """
     written = f"{path}/_merge-{uuid.uuid4().hex}"
     write_partitions(source, written, [BUCKET], arrange=n_buckets > FEW_BUCKETS)
+    commit_new(spark, written, source.schema, path, keys, n_buckets, is_unique)
+
+
+def starts_in_place(spark: SparkSession, path: str, n_buckets: int) -> bool:
+    """Whether the table is still to be made, of so few buckets that its rows are written where they are."""
+    _finish_commit(spark, path)
+    return n_buckets <= FEW_BUCKETS and not table_exists(spark, path)
+
+
+def commit_new(
+    spark: SparkSession, written: str, schema: T.StructType, path: str, keys: Sequence[str], n_buckets: int, is_unique: bool = False
+) -> None:
+    """Make the folder ``written`` below ``path``, with one folder a bucket, the table; ``schema`` is what it shows."""
     fs, where = hadoop_path(spark, written)
-    folders = [x.getPath().getName() for x in fs.listStatus(where)]
+    folders = [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
     buckets = [int(name.split("=")[1]) for name in folders if name.startswith(f"{BUCKET}=")]
-    stored = spark.read.schema(source.schema).parquet(written) if buckets else None
+    stored = spark.read.schema(schema).parquet(written) if buckets else None
     # A hash says whether keys can repeat at all, and only then the keys themselves are shuffled.
     if buckets and not is_unique and _most_of(stored, F.xxhash64(*keys)) > 1 and _most_of(stored, *map(F.col, keys)) > 1:
         fs.delete(where, True)
         raise _repeats(path, keys)
     if buckets:
-        _commit(spark, path, written, buckets, _layout(keys, n_buckets, source.schema))
+        _commit(spark, path, written, buckets, _layout(keys, n_buckets, schema))
     else:
         fs.delete(where, True)
 

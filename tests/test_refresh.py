@@ -6,8 +6,10 @@ from test_sources import write_lines
 
 from pyspark.sql import functions as F
 
+from signalloom.plans import refresh as plan
 from signalloom.plans.refresh import CONFORMINGS, conform_table, content_id, ingest_extract, refresh
 from signalloom.session import scratch_path
+from signalloom.sinks import tables as sinks
 from signalloom.sinks.audit import read_audit_log
 from signalloom.sinks.tables import read_snapshot, read_table, write_partitions
 from signalloom.sources.files import EXTRACTS as EXTRACT_SPECS
@@ -131,3 +133,36 @@ def test_runs_without_an_id_keep_each_others_quarantine(spark):
     one, other = (spark.createDataFrame([(i, "x", str(i))], "k INT, v STRING, _batch STRING") for i in (1, 2))
     again = one.withColumn("_batch", F.lit("another run"))
     assert content_id(one) == content_id(again) != content_id(other)
+
+
+def test_a_new_conformed_table_is_written_with_its_checks(spark, monkeypatch):
+    """Once, with what goes aside; a commit that dies is finished, and a second run merges into it as before."""
+    lake, folder = Lake(scratch_path(spark, "lake")), scratch_path(spark, "extracts")
+    spec, table = ({x.name: x for x in xs}["order_items"] for xs in (EXTRACT_SPECS, CONFORMINGS))
+    write_lines(spark, f"{folder}/order_items.csv", "order_id,sku,qty,unit_price", "o1,S,1,1.0", "o1,T,0,1.0", "o2,S,2,1.0", ",,-1,1.0", ",,-1,1.0")
+    with pytest.raises(ValueError, match="repeats a key"):
+        ingest_extract(spark, lake, folder, spec, 2)
+    folder = scratch_path(spark, "extracts")
+    write_lines(spark, f"{folder}/order_items.csv", "order_id,sku,qty,unit_price", "o1,S,1,1.0", "o1,T,0,1.0", "o2,S,2,1.0", ",,-1,1.0")
+    ingest_extract(spark, lake, folder, spec, 2)
+    path = lake.path("silver", "order_items")
+    with monkeypatch.context() as m:
+        m.setattr(plan, "upsert", lambda *_, **__: pytest.fail("the clean rows were written twice"))
+        m.setattr(sinks, "_move_in", lambda *_: (_ for _ in ()).throw(OSError("died")))
+        with pytest.raises(OSError, match="died"):
+            conform_table(spark, lake, table, 2)
+    expected = [("o1", "S", 1), ("o2", "S", 2)]
+    for again in range(3):
+        stored = read_table(spark, path)
+        assert rows(stored, "order_id", "sku", "qty") == expected and "_dq_fail_reasons" not in stored.columns
+        bad = spark.read.parquet(lake.path("silver", "order_items_quarantine"))
+        assert rows(bad, "order_id", "sku") == [("o1", "T"), (None, None)] and "key_bucket_no" not in bad.columns
+        conform_table(spark, lake, table, 2)
+    log = rows(spark.read.parquet(lake.path("gold", "pipeline_audit_log")).where("job_name = 'conform_order_items' AND status = 'success'"), "row_count", "quarantined_count")
+    assert log == [(2, 2)] * 3
+    fresh = Lake(scratch_path(spark, "lake"))
+    ingest_extract(spark, fresh, folder, spec, 2)
+    conform_table(spark, fresh, table, 2)
+    assert rows(read_table(spark, fresh.path("silver", "order_items")), "order_id", "sku", "qty") == expected
+    fs, where = sinks.hadoop_path(spark, fresh.path("silver", "order_items"))
+    assert not [x for x in fs.listStatus(where) if x.getPath().getName().startswith(("_checked", "_merge"))]
