@@ -877,3 +877,50 @@ def test_common_terms_in_single_precision_leave_cosines_exact():
         want = np.sort(np.round(dense @ dense[e], 9))[::-1][:10]
         assert [c for c, _ in near] == pytest.approx([x for x in want if x > 0], abs=1.1e-9)
         assert all(c == pytest.approx(dense[found.ids[i]] @ dense[e], abs=1.1e-9) for c, i in near)
+
+
+def test_lists_without_blocks_and_tables_of_parts_take_little_memory_and_leave_results_exact(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(toxicity, "PART", 100)
+    rng = np.random.default_rng(15)
+    n, own_terms, rare, languages = 1200, 300, 20_000, 3
+    n_terms = languages * own_terms + rare
+    examples = []
+    for e in range(n):
+        # Words of its language, frequent and less so, some of the next one, and many that few examples have.
+        share = 1 / np.arange(1, own_terms + 1)
+        mine = rng.choice(own_terms, 60, replace=False, p=share / share.sum()) + e % languages * own_terms
+        other = rng.choice(own_terms, 3, replace=False) + (e + 1) % languages * own_terms
+        examples.append(np.sort(np.concatenate([mine, other, rng.choice(rare, 200, replace=False) + languages * own_terms])))
+    lengths, t = np.array([len(x) for x in examples]), np.concatenate(examples).astype(np.int32)
+    tf = np.where(rng.random(len(t)) < 0.1, rng.integers(2, 900, len(t)), 1).astype(np.int32)
+    index = toxicity.BlockMaxIndex(toxicity.Vocabulary(np.arange(n_terms, dtype=np.int64)), rng.random(n_terms) + 1, 64)
+    index.build_counts(np.arange(n), rng.integers(0, 2, n), lengths, t, tf)
+    sent = pickle.dumps(index)
+    tracemalloc.start()
+    try:
+        found = pickle.loads(sent)
+        kept, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    # Apart from what each term and each cell takes: two bytes a posting and ten for those that weigh more, not blocks of one posting.
+    fixed = found.lookup.word.nbytes * 2 + found.rows.nbytes + 100 * n_terms
+    assert len(found.tables) > 1 and kept < fixed + 5 * len(t)
+    dense = np.zeros((n, n_terms))
+    dense[np.repeat(np.arange(n), lengths), t] = (1 + np.log(tf)) * index.weights[t]
+    dense /= np.sqrt((dense**2).sum(axis=1, keepdims=True))
+    queries = [(np.flatnonzero(dense[e]), dense[e][dense[e] > 0]) for e in range(0, n, 24)]
+    queries += [(np.zeros(0, np.int64), np.zeros(0)), (np.array([n_terms + 5]), np.ones(1))]
+    for (q, w), near in zip(queries, found.nearest(queries, 10, ties=True)):
+        v = np.zeros(n_terms)
+        v[q[q < n_terms]] = w[q < n_terms]
+        want = np.sort(np.round(dense @ v, 9))[::-1][:10]
+        assert [c for c, _ in near][:10] == pytest.approx([x for x in want if x > 0], abs=1.1e-9)
+        assert all(c == pytest.approx(dense[found.ids[i]] @ v, abs=1.1e-9) for c, i in near)
+        assert near[:10] == found.search((q, w), 10)
+    # Lists that are kept in blocks, and are looked into block by block, give the same.
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "WORTH", 1)
+    blocks = pickle.loads(sent)
+    assert len(blocks.blocks) > len(found.blocks)
+    assert list(blocks.nearest(queries, 10)) == list(found.nearest(queries, 10))
